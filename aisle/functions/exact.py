@@ -53,4 +53,5 @@ def round_to(x: Column, digits: int) -> Column:
     cases of the scaled double round the same way in every engine, unlike
     round(x, d), whose decimal half-way points are not representable."""
     s = float(10 ** digits)
-    return F.round(x * F.lit(s)) / F.lit(s)
+    # "+ 0.0" turns a negative zero into 0.0 so equal values print equally
+    return F.round(x * F.lit(s)) / F.lit(s) + F.lit(0.0)

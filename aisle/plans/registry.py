@@ -76,3 +76,208 @@ def _(m: Marts) -> DataFrame:
 def _(m: Marts) -> DataFrame:
     from aisle.operators.rfm import segment_counts
     return segment_counts(m.rfm)
+
+
+@query("rfm_naive_fanout")
+def _(m: Marts) -> DataFrame:
+    return m.rfm_v1
+
+
+# ---- clusters (J4, J16) ---------------------------------------------------------
+@query("cluster_assignment")
+def _(m: Marts) -> DataFrame:
+    return m.clusters
+
+
+@query("cluster_zscores")
+def _(m: Marts) -> DataFrame:
+    return m.clusters.select("customer_id", "cluster_id", "session_score", "frequency_score",
+                             "monetary_score", "aov_score", "returns_score")
+
+
+@query("cluster_stats")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.clusters import cluster_stats
+    return cluster_stats(m.clusters)
+
+
+# ---- journey (J5) ---------------------------------------------------------------
+@query("event_timeline")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.journey import event_timeline
+    return event_timeline(m.journey_events)
+
+
+@query("journey_milestones")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.journey import milestones
+    return milestones(m.journey_events)
+
+
+@query("journey_paths")
+def _(m: Marts) -> DataFrame:
+    return m.journey
+
+
+# ---- early signals and scoring (J6, J11, J23) -----------------------------------
+@query("early_signals")
+def _(m: Marts) -> DataFrame:
+    return m.early_signals
+
+
+def _scored(m: Marts) -> DataFrame:
+    from aisle.operators.early import as_records, score_early
+    return score_early(as_records(m.early_signals), m.p)
+
+
+@query("early_persona_score")
+def _(m: Marts) -> DataFrame:
+    return _scored(m).withColumn("recommended_actions", F.array_join("recommended_actions", " | "))
+
+
+@query("rejected_inputs")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.early import as_records, rejected_inputs
+    return rejected_inputs(as_records(m.early_signals))
+
+
+@query("early_persona_confusion")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.early import prediction_confusion
+    return prediction_confusion(_scored(m), m.clusters)
+
+
+@query("early_persona_precision")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.early import prediction_confusion, prediction_precision
+    return prediction_precision(prediction_confusion(_scored(m), m.clusters))
+
+
+# ---- LTV (J7a, J7b, J19) --------------------------------------------------------
+@query("ltv_forecast_v2")
+def _(m: Marts) -> DataFrame:
+    return m.ltv_v2
+
+
+@query("ltv_cohort_curve")
+def _(m: Marts) -> DataFrame:
+    return m.cohort_curve.drop("monthly_revenue_nano")
+
+
+@query("ltv_forecast_v1")
+def _(m: Marts) -> DataFrame:
+    return m.ltv_v1
+
+
+@query("ltv_by_persona")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.ltv import ltv_by_persona
+    return ltv_by_persona(m.ltv_v2)
+
+
+# ---- baskets (J8, J9, J10, J20) -------------------------------------------------
+@query("basket_expansion")
+def _(m: Marts) -> DataFrame:
+    return m.basket_items
+
+
+@query("lineitem_enriched")
+def _(m: Marts) -> DataFrame:
+    return m.line_items
+
+
+@query("product_affinity")
+def _(m: Marts) -> DataFrame:
+    return m.product_affinity
+
+
+@query("category_affinity")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.basket import category_affinity
+    return category_affinity(m.orders, m.clusters, m.p)
+
+
+@query("category_preferences")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.basket import category_preferences
+    return category_preferences(m.orders, m.clusters)
+
+
+@query("affinity_matrix")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import affinity_matrix
+    return affinity_matrix(m.product_affinity, m.p)
+
+
+# ---- serving (J12-J22) -----------------------------------------------------------
+@query("customer_profile")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import customer_profile
+    return customer_profile(m.ltv_v2).withColumn(
+        "recommended_actions", F.array_join("recommended_actions", " | "))
+
+
+@query("at_risk_list")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import at_risk_list
+    return at_risk_list(m.ltv_v2, m.p)
+
+
+@query("at_risk_summary")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import at_risk_list, at_risk_summary
+    return at_risk_summary(at_risk_list(m.ltv_v2, m.p))
+
+
+@query("portfolio_metrics")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import portfolio_metrics
+    return portfolio_metrics(m.ltv_v2)
+
+
+@query("risk_distribution")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import risk_distribution
+    return risk_distribution(m.ltv_v2)
+
+
+@query("risk_by_persona")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import at_risk_list, risk_by_persona
+    return risk_by_persona(at_risk_list(m.ltv_v2, m.p, apply_min_ltv=False))
+
+
+@query("campaign_tiers")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import campaign_targets, campaign_tiers
+    return campaign_tiers(campaign_targets(m.ltv_v2, m.clusters, m.p))
+
+
+@query("campaign_roi")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import campaign_roi, campaign_targets, campaign_tiers
+    return campaign_roi(campaign_tiers(campaign_targets(m.ltv_v2, m.clusters, m.p)), m.p)
+
+
+@query("persona_recommendations")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import persona_recommendations
+    return persona_recommendations(m.product_affinity, m.p)
+
+
+@query("persona_strategy")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import persona_strategy
+    return persona_strategy(m.product_affinity, m.p)
+
+
+@query("cart_recommendations")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import cart_recommendations, carts_from_lines
+    return cart_recommendations(carts_from_lines(m.line_items), m.product_affinity, m.products, m.p)
+
+
+@query("default_recommendations")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import default_recommendations
+    return default_recommendations(m.product_affinity, m.products, m.p)
