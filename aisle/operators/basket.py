@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.exact import pct2, ratio2
-from aisle.operators.relational import explode_count, pair_counts, row_number_by, with_group_total
+from aisle.operators.relational import (basket_lines, explode_count, pair_counts, row_number_by,
+                                       with_group_total)
 from aisle.params import DEFAULT, Params
 
 CATEGORIES = ["accessories", "bottoms", "dresses", "outerwear", "shoes", "tops"]
@@ -72,24 +73,26 @@ def enrich_lines(lines: DataFrame, orders: DataFrame, clusters: DataFrame) -> Da
 
 
 def product_affinity(items: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    it = items.filter(F.col("cluster_name").isNotNull()).select("cluster_name", "order_id", "product_id",
-                                                               "category", "brand")
-    pairs = pair_counts(it, "cluster_name", "order_id", "product_id")
-    totals = it.groupBy("cluster_name", "product_id").agg(F.countDistinct("order_id").alias("total_orders"))
-    attrs = it.select("product_id", "category", "brand").dropDuplicates(["product_id"])
-    orders_in_cluster = it.groupBy("cluster_name").agg(F.countDistinct("order_id").alias("cluster_orders"))
+    it = items.filter(F.col("cluster_name").isNotNull())
+    # one (cluster, order, product) table feeds every branch below, so the
+    # items are read and shuffled once
+    lines = basket_lines(it, "cluster_name", "order_id", "product_id", carry=["category", "brand"])
+    pairs = pair_counts(lines, "cluster_name", "order_id", "product_id", deduped=True)
+    totals = lines.groupBy("cluster_name", "product_id").agg(F.count(F.lit(1)).alias("total_orders"))
+    attrs = lines.groupBy("product_id").agg(F.first("category").alias("category"), F.first("brand").alias("brand"))
+    orders_in_cluster = lines.groupBy("cluster_name").agg(F.countDistinct("order_id").alias("cluster_orders"))
     ta = totals.select("cluster_name", F.col("product_id").alias("item_a"), F.col("total_orders").alias("total_a"))
     tb = totals.select("cluster_name", F.col("product_id").alias("item_b"), F.col("total_orders").alias("total_b"))
     aa = attrs.select(F.col("product_id").alias("item_a"), F.col("category").alias("category_a"),
                       F.col("brand").alias("brand_a"))
     ab = attrs.select(F.col("product_id").alias("item_b"), F.col("category").alias("category_b"),
                       F.col("brand").alias("brand_b"))
-    m = (pairs.join(ta, ["cluster_name", "item_a"], "left").join(tb, ["cluster_name", "item_b"], "left")
+    pt = pairs.join(ta, ["cluster_name", "item_a"], "left").join(tb, ["cluster_name", "item_b"], "left")
+    # both per-cluster sums over pair rows in one aggregate: <= 6 rows, broadcast back
+    sums = pt.groupBy("cluster_name").agg(F.sum("baskets").alias("_sum_both"), F.sum("total_b").alias("_sum_b"))
+    m = (pt.join(F.broadcast(sums), "cluster_name", "left")
+         .join(F.broadcast(orders_in_cluster), "cluster_name", "left")
          .join(aa, "item_a", "left").join(ab, "item_b", "left"))
-    # per-cluster sums over pair rows: one row per cluster (<= 6), broadcast back
-    m = with_group_total(m, "cluster_name", "baskets", "_sum_both")
-    m = with_group_total(m, "cluster_name", "total_b", "_sum_b")
-    m = m.join(F.broadcast(orders_in_cluster), "cluster_name", "left")
     both = F.col("baskets")
     m = m.select(
         "cluster_name", F.col("item_a").alias("product_a"), "category_a", "brand_a",

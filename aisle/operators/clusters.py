@@ -51,12 +51,13 @@ def _cluster_rules(p: Params) -> list[Column]:
 
 def behavioral_clusters(rfm: DataFrame, p: Params = DEFAULT) -> DataFrame:
     buyers = rfm.filter(F.col("frequency_orders") > 0)
-    stats = buyers.agg(*[e for c, z, _ in FEATURES
-                         for e in (F.avg(c).alias(f"avg_{z}"), F.stddev_samp(c).alias(f"std_{z}"))])
+    # one global aggregate, evaluated once as a single scalar subquery
+    stats = buyers.agg(F.struct(*[e for c, z, _ in FEATURES
+                                  for e in (F.avg(c).alias(f"avg_{z}"), F.stddev_samp(c).alias(f"std_{z}"))])
+                       .alias("s")).scalar()
     zcols = []
     for c, z, _ in FEATURES:
-        mean = stats.select(f"avg_{z}").scalar()
-        std = stats.select(f"std_{z}").scalar()
+        mean, std = stats.getField(f"avg_{z}"), stats.getField(f"std_{z}")
         zcols.append(((F.col(c) - mean) / F.when(std != 0, std)).alias(z))
     scored = buyers.select("*", *zcols)
     conds = _cluster_rules(p)

@@ -165,8 +165,16 @@ def _pair_aggregator(group: list[str], basket: str, item: str, ordered: bool):
     return run
 
 
+def basket_lines(items: DataFrame, group: Sequence[str] | str, basket: str, item: str,
+                 carry: Sequence[str] = ()) -> DataFrame:
+    """One row per (group, basket, item) with its multiplicity ``_cnt``
+    (partially aggregated, so a hot basket is combined map-side). ``carry``
+    columns must be functionally dependent on the item."""
+    return items.groupBy(*_cols(group), basket, item, *carry).agg(F.count(F.lit(1)).alias("_cnt"))
+
+
 def pair_counts(items: DataFrame, group: Sequence[str] | str, basket: str, item: str,
-                ordered: bool = False) -> DataFrame:
+                ordered: bool = False, deduped: bool = False) -> DataFrame:
     """For every pair of distinct items in the same basket (item_a < item_b, or
     both orders when ``ordered``), per ``group``:
 
@@ -182,7 +190,8 @@ def pair_counts(items: DataFrame, group: Sequence[str] | str, basket: str, item:
     per distinct pair per task.
     """
     g = _cols(group)
-    dedup = items.groupBy(*g, basket, item).agg(F.count(F.lit(1)).alias("_cnt"))
+    dedup = items if deduped else basket_lines(items, g, basket, item)
+    dedup = dedup.select(*g, basket, item, "_cnt")
     parts = dedup.repartition(basket).sortWithinPartitions(basket)
     fields = {f.name: f for f in dedup.schema.fields}
     schema = T.StructType(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from aisle.operators import staging
@@ -20,10 +21,19 @@ from aisle.sources import tpch_adapter as adapter
 
 
 class Marts:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
-        self.spark, self.sf_dir, self.p = spark, sf_dir, params
+    """``keep=True`` persists the derived marts that several queries read
+    (the reference materialises them as tables): RFM, clusters, LTV and
+    product affinity. They are one row per customer or per pair, far smaller
+    than the facts; raw facts are never persisted, only re-scanned. A lost
+    cached block is recomputed from lineage."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, keep: bool = True):
+        self.spark, self.sf_dir, self.p, self.keep = spark, sf_dir, params, keep
         self.t = adapter.Tables(spark, sf_dir)
 
+    def _kept(self, df: DataFrame) -> DataFrame:
+        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
+
     # ---- staging -----------------------------------------------------------
     @cached_property
     def customers(self) -> DataFrame:
@@ -49,7 +59,7 @@ class Marts:
     @cached_property
     def rfm(self) -> DataFrame:
         from aisle.operators.rfm import rfm_v2
-        return rfm_v2(self.customers, self.orders, self.sessions, self.p)
+        return self._kept(rfm_v2(self.customers, self.orders, self.sessions, self.p))
 
     @cached_property
     def rfm_v1(self) -> DataFrame:
@@ -59,7 +69,7 @@ class Marts:
     @cached_property
     def clusters(self) -> DataFrame:
         from aisle.operators.clusters import behavioral_clusters
-        return behavioral_clusters(self.rfm, self.p)
+        return self._kept(behavioral_clusters(self.rfm, self.p))
 
     @cached_property
     def journey_events(self) -> DataFrame:
@@ -80,7 +90,7 @@ class Marts:
     @cached_property
     def ltv_v2(self) -> DataFrame:
         from aisle.operators.ltv import ltv_forecast_v2
-        return ltv_forecast_v2(self.customers, self.orders, self.clusters, self.p)
+        return self._kept(ltv_forecast_v2(self.customers, self.orders, self.clusters, self.p))
 
     @cached_property
     def cohort_curve(self) -> DataFrame:
@@ -106,4 +116,4 @@ class Marts:
     @cached_property
     def product_affinity(self) -> DataFrame:
         from aisle.operators.basket import product_affinity
-        return product_affinity(self.line_items, self.p)
+        return self._kept(product_affinity(self.line_items, self.p))
