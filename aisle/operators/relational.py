@@ -86,7 +86,13 @@ def row_number_by(df: DataFrame, partition_by: Sequence[str] | str,
                  .sortWithinPartitions(*keys)
                  .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(sorted_df.schema.fields + [T.StructField("_lrn", T.LongType())])
-    local = sorted_df.mapInPandas(_local_row_numbers(pcols), schema)
+    # Range bounds come from sampling shuffle output, whose order is not
+    # deterministic, so the numbered partitions are written once to the
+    # shared checkpoint folder: the offsets and the rows then read the same
+    # partitioning, also after an executor is lost.
+    from aisle.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    local = sorted_df.mapInPandas(_local_row_numbers(pcols), schema).checkpoint(eager=True)
 
     per_part = local.groupBy("_pid", *pcols).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*pcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
