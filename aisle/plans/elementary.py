@@ -457,3 +457,12 @@ def _(m: Marts) -> DataFrame:
     keys = at_risk_list(m.ltv_v2, m.p).select("customer_id")
     return m.ltv_v2.join(keys, "customer_id", "left_semi").select("customer_id", "cluster_name", "risk_status",
                                                                    "churn_probability")
+
+
+# ---- 2K streaming extension -------------------------------------------------------
+@both("stream_first_week", """
+SELECT customer_id, sessions_first_7d, avg_cart_adds, avg_products_viewed, purchases_first_7d, days_to_first_purchase
+FROM early_sessions""")
+def _(m: Marts) -> DataFrame:
+    from aisle.streaming.first_week import run_first_week
+    return run_first_week(m.spark, m.sf_dir, m.p)

@@ -113,7 +113,12 @@ def raw_orders(t: Tables) -> DataFrame:
 
 
 def raw_sessions(t: Tables) -> DataFrame:
-    e = t["events"].select("event_id", "user_id", "ts", "event_type")
+    return sessions_from_events(t["events"])
+
+
+def sessions_from_events(events: DataFrame) -> DataFrame:
+    """Events as sessions; works on a batch or a streaming DataFrame."""
+    e = events.select("event_id", "user_id", "ts", "event_type")
     start = F.expr(
         f"timestampadd(MICROSECOND, {TIME_STRETCH} * timestampdiff(MICROSECOND, "
         f"TIMESTAMP_NTZ'{EVENT_ORIGIN}', ts), TIMESTAMP_NTZ'{SESSION_ORIGIN}')")
