@@ -257,15 +257,20 @@ def _sample_products(recs: DataFrame, products: DataFrame, key: str, k: int) ->
 
 def cart_recommendations(carts: DataFrame, affinity: DataFrame, products: DataFrame,
                          p: Params = DEFAULT) -> DataFrame:
+    # pre-aggregate the pair rows to (persona, category_a, category_b): at most
+    # 6 x 6 rows per persona, so a cart category joins to <= 6 rows instead of
+    # to every product pair; sums of integer hundredths keep the averages exact
     a = (affinity.filter(F.col("recommendation_strength").isin(STRONG))
-         .select(F.col("cluster_name").alias("persona"), "category_a", "category_b", "confidence_pct", "lift"))
+         .groupBy(F.col("cluster_name").alias("persona"), "category_a", "category_b")
+         .agg(F.sum(F.round(F.col("confidence_pct") * 100)).alias("_conf"),
+              F.sum(F.round(F.col("lift") * 100)).alias("_lift"),
+              F.count(F.lit(1)).alias("_n")))
     j = carts.join(a, (carts.persona == a.persona) & (carts.category == a.category_a), "inner").drop(a.persona)
     g = j.groupBy("cart_id", "persona", F.col("category_b").alias("recommended_category")).agg(
-        (F.sum(F.round(F.col("confidence_pct") * 100)).cast("double") / (F.count(F.lit(1)) * 100).cast("double"))
-        .alias("avg_confidence"),
-        (F.sum(F.round(F.col("lift") * 100)).cast("double") / (F.count(F.lit(1)) * 100).cast("double"))
-        .alias("avg_lift"),
-        F.array_join(F.array_sort(F.collect_list("category_a")), ", ").alias("pairs_with"))
+        (F.sum("_conf").cast("double") / (F.sum("_n") * 100).cast("double")).alias("avg_confidence"),
+        (F.sum("_lift").cast("double") / (F.sum("_n") * 100).cast("double")).alias("avg_lift"),
+        F.array_join(F.array_sort(F.flatten(F.collect_list(F.array_repeat("category_a", F.col("_n").cast("int"))))),
+                     ", ").alias("pairs_with"))
     top = top_k_per_group(g, "cart_id", [F.col("avg_confidence").desc(), F.col("recommended_category")],
                           p.cart_limit, rank_col="rec_rank")
     return _sample_products(top, products, "cart_id", p.products_per_category)
