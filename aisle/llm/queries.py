@@ -12,9 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: query -> module; the function has the query's name
 MODULES = {
+    "op1_order_minhash": "fingerprints",
+    "op2_minhash_dedup": "neardup",
     "op3_byte_shards": "sharding",
     "op4_warc_history": "warc",
     "op5_curriculum_mix": "mixing",
+    "op6_importance_resampling": "importance",
+    "op7_piece_viterbi": "pieces",
+    "op8_cross_parsing": "language",
     "op9_adaptive_rules": "rules",
     "op10_bit_planes": "tokens",
 }
