@@ -18,10 +18,11 @@ Byte planes: plane p holds byte p of every id. Bit planes: plane p holds bit p
 of every id, eight ids a byte.
 
 Encoding: the vocabulary's pre-tokenizer always ends a token before a blank or
-newline that stands between two non-blank characters, so texts are cut there
-and the library encodes each distinct piece once per batch of rows; frequent
-pieces stay in a cache of at most ``CACHE_PIECES`` entries. Other white space
-is never cut. The pieces' ids, joined, equal those of the whole text.
+newline that stands between two non-blank characters, and such a newline is a
+token of its own. Texts are cut there, so that words repeat: the library encodes
+a word once, many new words in one call with newlines between them, and at most
+``CACHE_WORDS`` frequent ones stay in memory. A text with other white space is cut
+only where the rule holds. The words' ids, joined, equal those of the whole text.
 
 Defined results: a null or empty text gives only the end id; a null ``doc_id``
 sorts first; rows with one ``doc_id`` are ordered by their text; an empty table
@@ -48,16 +49,19 @@ TAIL = struct.Struct("<6q8s")
 CHUNK_IDS = 1 << 16
 FILE_IDS = 1 << 26                # a task begins a new file beyond this
 END_ID = 0
-CACHE_PIECES = 300_000
+CACHE_WORDS = 800_000
+CALL_WORDS = 8192
 
-_BLANKS = re.compile(r"\s\s|^\s|\s$")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 # ---- encoding --------------------------------------------------------------
 
 class Encoder:
-    """Whole texts to little-endian uint32 ids."""
+    """Whole texts to little-endian uint32 ids.
+
+    A word's key is the word if a blank stands before it, else a newline and the
+    word; the first word of a text counts as one after a newline."""
 
     def __init__(self, path: str):
         import os
@@ -65,32 +69,59 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.newline = self._ids("\n")
+        if len(self.newline) != 1:
+            raise ValueError("the vocabulary has no token for a newline")
         self.cache: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        if _BLANKS.search(text):
-            return _CUT.split(text)
-        out: list[str] = []
-        for i, line in enumerate(text.split("\n")):
-            first, *rest = line.split(" ")
-            out.append("\n" + first if i else first)
-            out += [" " + w for w in rest]
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def keys(self, text: str) -> list[str]:
+        if " ".join(text.split()) == text.replace("\n", " "):     # single blanks and newlines only
+            return ("\n" + text.replace("\n", " \n")).split(" ")
+        first, *rest = _CUT.split(text)
+        return ["\n" + first, *[p[1:] if p[0] == " " else p for p in rest]]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        mark, nl = np.array(self.newline, "<u4").tobytes(), self.newline[0]
+        out: dict[str, bytes] = {}
+        for spaced in (True, False):
+            todo = [k for k in new if (k[:1] != "\n") == spaced]
+            plain = [k for k in todo if (k if spaced else k[1:]).split() == [k if spaced else k[1:]]]
+            for at in range(0, len(plain), CALL_WORDS):
+                group = plain[at:at + CALL_WORDS]
+                text = "\n".join([" " + k for k in group]) if spaced else "".join(group)[1:]
+                ids = np.array(self._ids(text), "<u4")
+                cut = np.flatnonzero(ids == nl)
+                if len(cut) != len(group) - 1:
+                    raise ValueError("the vocabulary joins newlines with words")
+                raw, off = ids.tobytes(), np.concatenate(([-1], cut, [len(ids)]))
+                for k, i, j in zip(group, ((off[:-1] + 1) * 4).tolist(), (off[1:] * 4).tolist()):
+                    out[k] = raw[i:j] if spaced else mark + raw[i:j]
+            for k in todo:
+                if k not in out:
+                    ids = np.array(self._ids(" " + k if spaced else k[1:]), "<u4").tobytes()
+                    out[k] = ids if spaced else mark + ids
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.pieces(x) if x else [] for x in texts]
-        cache = self.cache
-        new = list({p for c in cut for p in c if p not in cache})
-        here: dict[str, bytes] = {}
-        for at in range(0, len(new), 4096):
-            group = new[at:at + 4096]
-            for p, e in zip(group, self.tokenizer.encode_batch_fast(group, add_special_tokens=False)):
-                here[p] = np.array(e.ids, "<u4").tobytes()
-        if len(cache) + len(here) <= CACHE_PIECES:
-            cache.update(here)
-            here = cache
-            return [b"".join([cache[p] for p in c]) for c in cut]
-        return [b"".join([cache.get(p) or here[p] for p in c]) for c in cut]
+        flat: list[str] = []
+        ends = []
+        for t in texts:
+            if t:
+                flat += self.keys(t)
+            ends.append(len(flat))
+        got = list(map(self.cache.get, flat))
+        missing = [i for i, g in enumerate(got) if g is None]
+        if missing:
+            here = self._learn(list(dict.fromkeys([flat[i] for i in missing])))
+            for i in missing:
+                got[i] = here[flat[i]]
+            room = CACHE_WORDS - len(self.cache)
+            if room > 0:
+                self.cache.update(here if len(here) <= room else dict(list(here.items())[:room]))
+        return [b"".join(got[i:j])[4:] for i, j in zip([0, *ends], ends)]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -36,7 +36,8 @@ def test_pieces_give_the_ids_of_the_whole_text():
 def test_a_full_cache_changes_nothing(monkeypatch):
     texts = [t for t in edge_texts() if t]
     want = tokens.Encoder(tokens.vocabulary_path()).encode(texts)
-    monkeypatch.setattr(tokens, "CACHE_PIECES", 10)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 10)
+    monkeypatch.setattr(tokens, "CALL_WORDS", 7)
     enc = tokens.Encoder(tokens.vocabulary_path())
     assert [enc.encode([t])[0] for t in texts] == want and len(enc.cache) <= 10
 
