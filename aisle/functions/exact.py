@@ -25,14 +25,23 @@ def half_up_div(num: Column, den: Column) -> Column:
     return idiv(num * 2 + den, den * 2)
 
 
-def units_to_money(units: Column) -> Column:
-    return units.cast("double") / F.lit(MONEY_SCALE)
-
-
 def money_to_units(money: Column) -> Column:
     return F.round(money * F.lit(MONEY_SCALE)).cast("long")
 
 
+def cents_of(units: Column) -> Column:
+    """An exact sum of money units, half-up to whole cents, as dollars."""
+    return half_up_div(units, F.lit(MONEY_SCALE // 100)).cast("double") / F.lit(100.0)
+
+
+def mean_to(units: Column, count: Column, scale: int, digits: int) -> Column:
+    """The mean of integer units (``scale`` of them are 1), half-up to ``digits``
+    decimals, from exact sums; NULL over no rows."""
+    num = (units.cast("decimal(38,0)") * (10 ** digits)).cast("decimal(38,0)")
+    den = (count.cast("decimal(38,0)") * scale).cast("decimal(38,0)")
+    return F.when(den > 0, half_up_div(num, den).cast("double") / F.lit(float(10 ** digits)))
+
+
 def pct2(num: Column, den: Column) -> Column:
     """round(100 * num / den, 2) on the exact ratio of two counts; NULL if den
     is 0 or NULL."""

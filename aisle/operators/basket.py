@@ -7,9 +7,9 @@ J8 has two sources of items:
   deterministic, distributed stand-in for the reference's random pick;
 * ``enrich_lines``: real order lines with customer and cluster context.
 
-J9 counts product pairs per basket with ``pair_counts`` (no per-basket pair
-rows in any shuffle) and derives support, confidence and lift from exact
-integer counts; per-cluster totals come from a <= 6-row grouped table.
+J9 counts pairs of product families (category and ``product_id % 4``) over the
+expanded items with ``pair_counts`` and derives support, confidence and lift from
+exact integer counts; per-cluster totals come from a <= 6-row grouped table.
 """
 
 from __future__ import annotations
@@ -72,11 +72,27 @@ def enrich_lines(lines: DataFrame, orders: DataFrame, clusters: DataFrame) -> Da
                     "persona_hidden"))
 
 
-def product_affinity(items: DataFrame, p: Params = DEFAULT) -> DataFrame:
+FAMILIES = 4            # product families per category
+
+
+def affinity_items(items: DataFrame) -> DataFrame:
+    """Expanded items as (cluster_name, order_id, product_id, category, brand) of
+    their product family; items of unclustered customers or of a category
+    without products belong to no pair."""
+    family = F.pmod(F.col("product_id"), F.lit(FAMILIES)).cast("string")
+    return items.filter(F.col("cluster_name").isNotNull() & F.col("product_id").isNotNull()).select(
+        "cluster_name", "order_id", F.concat("category", F.lit("-"), family).alias("product_id"), "category",
+        F.concat(F.lit("b"), family).alias("brand"))
+
+
+def affinity_lines(items: DataFrame) -> DataFrame:
+    """One row per (cluster, order, product): what every branch of
+    ``product_affinity`` reads, so it is worth keeping."""
     it = items.filter(F.col("cluster_name").isNotNull())
-    # one (cluster, order, product) table feeds every branch below, so the
-    # items are read and shuffled once
-    lines = basket_lines(it, "cluster_name", "order_id", "product_id", carry=["category", "brand"])
+    return basket_lines(it, "cluster_name", "order_id", "product_id", carry=["category", "brand"])
+
+
+def product_affinity(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
     pairs = pair_counts(lines, "cluster_name", "order_id", "product_id", deduped=True)
     totals = lines.groupBy("cluster_name", "product_id").agg(F.count(F.lit(1)).alias("total_orders"))
     attrs = lines.groupBy("product_id").agg(F.first("category").alias("category"), F.first("brand").alias("brand"))

@@ -1,10 +1,10 @@
 """J4 behavioural clusters and J16 cluster statistics.
 
 Buyers only. Each feature is standardised with the global mean and sample
-standard deviation of the buyers; the statistics are one global aggregate
-that Spark evaluates once as a scalar subquery (no join at all), then a
-first-match rule ladder assigns one of six clusters. Classification uses the
-unrounded z-scores; only the reported scores are rounded to 2 decimals.
+standard deviation of the buyers. The moments are sums of integers (features in
+units of 1e-5), so they are the same bits for every partitioning; they are one
+row, joined once by broadcast. A first-match ladder over the unrounded z-scores
+assigns one of six clusters; only the reported scores are rounded to 2 decimals.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aisle.functions.exact import round_to
+from aisle.functions.exact import MONEY_SCALE, half_up_div, idiv, mean_to, round_to
 from aisle.functions.rules import ladder
 from aisle.params import DEFAULT, Params
 
@@ -49,23 +49,40 @@ def _cluster_rules(p: Params) -> list[Column]:
     ]
 
 
+def _scaled(feature: str) -> Column:
+    """A feature as an exact integer number of 1e-5 units."""
+    if feature == "monetary_total":
+        return F.col("monetary_units")
+    if feature == "avg_order_value":
+        return half_up_div(F.col("monetary_units"), F.col("frequency_orders"))
+    return F.col(feature).cast("long") * MONEY_SCALE
+
+
 def behavioral_clusters(rfm: DataFrame, p: Params = DEFAULT) -> DataFrame:
     buyers = rfm.filter(F.col("frequency_orders") > 0)
-    # one global aggregate, evaluated once as a single scalar subquery
-    stats = buyers.agg(F.struct(*[e for c, z, _ in FEATURES
-                                  for e in (F.avg(c).alias(f"avg_{z}"), F.stddev_samp(c).alias(f"std_{z}"))])
-                       .alias("s")).scalar()
-    zcols = []
-    for c, z, _ in FEATURES:
-        mean, std = stats.getField(f"avg_{z}"), stats.getField(f"std_{z}")
-        zcols.append(((F.col(c) - mean) / F.when(std != 0, std)).alias(z))
-    scored = buyers.select("*", *zcols)
+    buyers = buyers.select("*", *[_scaled(c).alias(f"_x{i}") for i, (c, _, _) in enumerate(FEATURES)])
+    big = "decimal(38,0)"
+    sums = []
+    for i in range(len(FEATURES)):
+        x = F.col(f"_x{i}").cast(big)
+        sums += [F.sum(F.col(f"_x{i}")).cast(big).alias(f"_s{i}"), F.sum((x * x).cast("decimal(28,0)")).cast(big).alias(f"_q{i}")]
+    sums = buyers.agg(F.count(F.lit(1)).cast("long").alias("_n"), *sums)
+    n = F.col("_n").cast("decimal(18,0)")
+    # sample variance n*q - s*s over n*(n-1), as an integer; null for one buyer
+    stats = sums.select("_n", *[F.col(f"_s{i}").cast("long").alias(f"_s{i}") for i in range(len(FEATURES))], *[
+        F.when(F.col("_n") > 1, idiv((n * F.col(f"_q{i}")).cast(big) - (F.col(f"_s{i}") * F.col(f"_s{i}")).cast(big),
+                                     (n * (n - 1)).cast(big))).cast("long").alias(f"_v{i}") for i in range(len(FEATURES))])
+    # one row by construction: the broadcast is bounded
+    scored = buyers.join(F.broadcast(stats))
+    for i, (_, z, _) in enumerate(FEATURES):
+        std = F.sqrt(F.col(f"_v{i}").cast("double"))
+        away = (F.col(f"_x{i}") * F.col("_n") - F.col(f"_s{i}")).cast("double")
+        scored = scored.withColumn(z, F.when(F.col(f"_v{i}") > 0, away / (F.col("_n").cast("double") * std)))
     conds = _cluster_rules(p)
-    cid = ladder(list(zip(conds, [i for i, _ in CLUSTERS[:5]])), CLUSTERS[5][0])
-    cname = ladder(list(zip(conds, CLUSTER_NAMES[:5])), CLUSTER_NAMES[5])
+    scored = scored.withColumn("cluster_id", ladder(list(zip(conds, [i for i, _ in CLUSTERS[:5]])), CLUSTERS[5][0]))
+    names = F.array(*[F.lit(name) for name in CLUSTER_NAMES])
     return scored.select(
-        "customer_id", "persona_hidden",
-        cid.alias("cluster_id"), cname.alias("cluster_name"),
+        "customer_id", "persona_hidden", "cluster_id", F.element_at(names, F.col("cluster_id")).alias("cluster_name"),
         "total_sessions", "frequency_orders", "monetary_total", "avg_order_value", "returned_orders",
         "is_browser_only", "high_returner", "discount_seeker",
         *[round_to(F.col(z), 2).alias(s) for _, z, s in FEATURES],
@@ -75,12 +92,12 @@ def behavioral_clusters(rfm: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 def cluster_stats(clusters: DataFrame) -> DataFrame:
     """Per cluster: size, average LTV, sessions, orders and order value."""
+    aov = half_up_div(F.col("monetary_units"), F.col("frequency_orders"))
+    n = F.count(F.lit(1))
     return clusters.groupBy("cluster_name").agg(
-        F.count(F.lit(1)).alias("customers"),
-        round_to(F.avg("monetary_total"), 2).alias("avg_ltv"),
-        round_to(F.avg("total_sessions"), 1).alias("avg_sessions"),
-        round_to(F.avg("frequency_orders"), 1).alias("avg_orders"),
-        round_to(F.avg(F.col("monetary_total") / F.when(F.col("frequency_orders") != 0,
-                                                         F.col("frequency_orders"))), 2)
-        .alias("avg_order_value"),
+        n.alias("customers"),
+        mean_to(F.sum("monetary_units"), n, MONEY_SCALE, 2).alias("avg_ltv"),
+        mean_to(F.sum("total_sessions"), n, 1, 1).alias("avg_sessions"),
+        mean_to(F.sum("frequency_orders"), n, 1, 1).alias("avg_orders"),
+        mean_to(F.sum(aov), n, MONEY_SCALE, 2).alias("avg_order_value"),
     )

@@ -21,16 +21,22 @@ from aisle.params import DEFAULT, Params
 def early_signals(customers: DataFrame, sessions: DataFrame, orders: DataFrame,
                   clusters: DataFrame, p: Params = DEFAULT) -> DataFrame:
     c = customers.select("customer_id", "signed_up_at", "acquisition_channel")
-    days = day_boundaries(F.col("signed_up_at"), F.col("session_started_at"))
-    es = (sessions.select("customer_id", "session_started_at", "num_cart_adds", "num_products_viewed", "purchased")
-          .join(c.select("customer_id", "signed_up_at"), "customer_id", "inner")
+    # one row per customer and day before the join: a hot customer's sessions
+    # are combined map-side and never meet in one task
+    daily = sessions.groupBy("customer_id", F.to_date("session_started_at").alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("num_cart_adds").alias("_adds"), F.count("num_cart_adds").alias("_n_adds"),
+        F.sum("num_products_viewed").alias("_views"), F.count("num_products_viewed").alias("_n_views"),
+        F.sum(F.when(F.col("purchased"), 1).otherwise(0)).cast("long").alias("_bought"))
+    days = day_boundaries(F.col("signed_up_at"), F.col("_day"))
+    mean = lambda total, n: F.try_divide(F.sum(total).cast("double"), F.sum(n).cast("double"))
+    es = (daily.join(c.select("customer_id", "signed_up_at"), "customer_id", "inner")
           .filter(days <= p.early_days)
           .groupBy("customer_id").agg(
-              F.count(F.lit(1)).alias("sessions_first_7d"),
-              F.avg("num_cart_adds").alias("avg_cart_adds"),
-              F.avg("num_products_viewed").alias("avg_products_viewed"),
-              F.sum(F.when(F.col("purchased"), 1).otherwise(0)).cast("long").alias("purchases_first_7d"),
-              F.min(F.when(F.col("purchased"), days)).alias("days_to_first_purchase")))
+              F.sum("_n").alias("sessions_first_7d"),
+              mean("_adds", "_n_adds").alias("avg_cart_adds"),
+              mean("_views", "_n_views").alias("avg_products_viewed"),
+              F.sum("_bought").alias("purchases_first_7d"),
+              F.min(F.when(F.col("_bought") > 0, days)).alias("days_to_first_purchase")))
     disc = F.when(F.col("used_discount"), 1).otherwise(0)
     if p.first_order == "true":
         order_key = F.struct("ordered_at", "order_id")
@@ -71,7 +77,7 @@ def as_records(signals: DataFrame) -> DataFrame:
 
 
 def predicted_persona(p: Params = DEFAULT) -> F.Column:
-    s, n = F.col("sessions_first_7d"), F.col("purchases_first_7d")
+    s, n = F.col("sessions_first_7d"), F.coalesce(F.col("purchases_first_7d"), F.lit(0))
     d, v, u = F.col("days_to_first_purchase"), F.col("first_order_value"), F.col("used_discount")
     # Python truthiness of the reference: 0 / None / False are false
     quick = d.isNotNull() & ((d != 0) | F.lit(p.include_day_zero)) & (d <= 2)
@@ -100,7 +106,7 @@ def score_early(records: DataFrame, p: Params = DEFAULT) -> DataFrame:
     dim = F.broadcast(personas.scorer_dim(records.sparkSession))
     return scored.join(dim, "predicted_persona", "left").select(
         "customer_id", "predicted_persona", "confidence", "ltv_forecast", "typical_ltv",
-        "typical_sessions", "typical_orders", "monthly_velocity", "recommended_actions")
+        "typical_sessions", "typical_orders", "monthly_velocity", "traits", "recommended_actions")
 
 
 def rejected_inputs(records: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 """J5 customer journey: event timeline, milestones and first-30-day paths.
 
 Sessions, purchases and returns (purchase date + 7 days) form one event
-relation (G1 union with type coercion). Milestones are conditional
-aggregates per customer (partially aggregated, so a hot customer is combined
-map-side). The event sequence number uses the skew-safe row number; the
-path is an ordered string aggregate with a total order (ts, type, id).
+relation (G1 union with type coercion). Milestones need only counts and the
+first time of each (customer, type, day), so the events are reduced to that
+before any join; a hot customer is combined map-side. Paths are built in two
+levels: the events of a customer's day are concatenated first, the days after
+the join with the signup date. The event sequence number uses the skew-safe row
+number. Order is total: (ts, type, id).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from aisle.operators.relational import row_number_by
 from aisle.params import DEFAULT, Params
 
 PATH_SEPARATOR = " → "
+DAY_MARK = "\x01"            # stands for the day since signup until the join
 WEEKS = range(5)
 
 
@@ -58,20 +61,27 @@ def event_timeline(events: DataFrame) -> DataFrame:
                          out="event_sequence")
 
 
-def milestones(events: DataFrame) -> DataFrame:
-    t, ty, w = F.col("event_timestamp"), F.col("event_type"), F.col("week_since_signup")
-    d = F.col("days_since_signup")
-    aggs = [
-        F.min(F.when(ty == "Session", t)).alias("first_session"),
-        F.min(F.when(ty == "Purchase", t)).alias("first_purchase"),
-        F.min(F.when(ty == "Return", t)).alias("first_return"),
-        F.min(F.when(ty == "Session", d)).alias("days_to_first_session"),
-        F.min(F.when(ty == "Purchase", d)).alias("days_to_first_purchase"),
-        F.min(F.when(ty == "Return", d)).alias("days_to_first_return"),
-    ]
-    aggs += [F.count(F.when(w == k, 1)).alias(f"week_{k}_events") for k in WEEKS]
-    aggs += [F.count(F.when((w == k) & (ty == "Purchase"), 1)).alias(f"week_{k}_purchases") for k in WEEKS]
-    return events.groupBy("customer_id", "cluster_name", "persona_hidden", "signed_up_at").agg(*aggs)
+def daily_events(events: DataFrame) -> DataFrame:
+    """(customer_id, event_type, event_date, events, first_at)."""
+    return (events.groupBy("customer_id", "event_type", F.to_date("event_timestamp").alias("event_date"))
+            .agg(F.count(F.lit(1)).alias("events"), F.min("event_timestamp").alias("first_at")))
+
+
+def milestones(daily: DataFrame, customers: DataFrame, clusters: DataFrame) -> DataFrame:
+    day = day_boundaries(F.col("signed_up_at"), F.col("event_date"))
+    known = (daily.join(customers.select("customer_id", "signed_up_at"), "customer_id", "inner")
+             .withColumn("_day", day).withColumn("_week", week_bucket(day)))
+    is_a = lambda kind: F.col("event_type") == kind
+    n_in = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("events"))), F.lit(0)).cast("long")
+    kinds = ["Session", "Purchase", "Return"]
+    aggs = [F.min(F.when(is_a(k), F.col("first_at"))).alias(f"first_{k.lower()}") for k in kinds]
+    aggs += [F.min(F.when(is_a(k), F.col("_day"))).alias(f"days_to_first_{k.lower()}") for k in kinds]
+    aggs += [n_in(F.col("_week") == w).alias(f"week_{w}_events") for w in WEEKS]
+    aggs += [n_in((F.col("_week") == w) & is_a("Purchase")).alias(f"week_{w}_purchases") for w in WEEKS]
+    per = known.groupBy("customer_id", "signed_up_at").agg(*aggs)
+    cl = clusters.select("customer_id", "cluster_name", "persona_hidden")
+    return per.join(cl, "customer_id", "left").select(
+        "customer_id", "cluster_name", "persona_hidden", *[c for c in per.columns if c != "customer_id"])
 
 
 def path_element() -> F.Column:
@@ -79,18 +89,23 @@ def path_element() -> F.Column:
     detail = (F.when(ty == "Purchase", F.concat(F.lit(" ($"), F.round(v, 0).cast("string"), F.lit(")")))
               .when(ty == "Session", F.concat(F.lit(" ("), F.round(v, 0).cast("string"), F.lit(" views)")))
               .otherwise(F.lit("")))
-    return F.concat(ty, detail, F.lit(" [Day "), F.col("days_since_signup").cast("string"), F.lit("]"))
+    return F.concat(ty, detail, F.lit(DAY_MARK))
+
 
+def journey_paths(events: DataFrame, customers: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    def joined(column: str, order: str) -> F.Column:
+        return F.expr(f"listagg({column}, '{PATH_SEPARATOR}') WITHIN GROUP (ORDER BY {order})")
 
-def journey_paths(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    e = (events.filter(F.col("days_since_signup") <= p.journey_days)
-         .withColumn("_elem", path_element()))
-    path = F.expr(f"listagg(_elem, '{PATH_SEPARATOR}') WITHIN GROUP "
-                  "(ORDER BY event_timestamp, event_type, source_id)")
-    return e.groupBy("customer_id", "cluster_name").agg(path.alias("journey_path"))
+    daily = (events.withColumn("_element", path_element()).withColumn("event_date", F.to_date("event_timestamp"))
+             .groupBy("customer_id", "event_date")
+             .agg(joined("_element", "event_timestamp, event_type, source_id").alias("_part")))
+    day = day_boundaries(F.col("signed_up_at"), F.col("event_date"))
+    shown = F.replace(F.col("_part"), F.lit(DAY_MARK), F.concat(F.lit(" [Day "), day.cast("string"), F.lit("]")))
+    return (daily.join(customers.select("customer_id", "signed_up_at"), "customer_id", "inner")
+            .filter(day <= p.journey_days).withColumn("_shown", shown)
+            .groupBy("customer_id").agg(joined("_shown", "event_date").alias("journey_path")))
 
 
-def customer_journey(events: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    m = milestones(events)
-    paths = journey_paths(events, p).select("customer_id", "journey_path")
-    return m.join(paths, "customer_id", "left")
+def customer_journey(events: DataFrame, customers: DataFrame, clusters: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    m = milestones(daily_events(events), customers, clusters)
+    return m.join(journey_paths(events, customers, p), "customer_id", "left")

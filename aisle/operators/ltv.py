@@ -5,9 +5,11 @@ a rule ladder; the cluster's average monthly spend (a <= 6-row table, joined
 by broadcast) times the remaining months times retention.
 
 v1: cohort-month x cluster x months-since-signup revenue, averaged per
-cluster and month into a curve (<= 6 x 13 rows, broadcast), joined to each
-customer's future months with a range residual (C6), grouped with the curve
-value in the key, and summed per customer over those grouped rows (E3).
+cluster and month into a curve, joined to each customer's future months with a
+range residual (C6), grouped with the curve value in the key, and summed per
+customer over those grouped rows (E3). The curve also holds months before
+signup (orders may come first) and so grows with the calendar; the join needs
+months 1 to 12 only (no signup lies after ``as_of``), 6 x 12 rows, broadcast.
 Money per month is carried as integer nano-dollars so equal curve values
 group together exactly and sums do not depend on order.
 """
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.dates import lit_date, month_boundaries, trunc_date
-from aisle.functions.exact import MONEY_SCALE, RATE_SCALE, half_up_div, round_to
+from aisle.functions.exact import MONEY_SCALE, RATE_SCALE, cents_of, half_up_div, mean_to, money_to_units
 from aisle.params import DEFAULT, Params
 
 UNITS_TO_NANO = RATE_SCALE // MONEY_SCALE     # 1e-5 dollar units -> 1e-9 dollars
@@ -99,16 +101,21 @@ def cluster_revenue_curve(customers: DataFrame, orders: DataFrame, clusters: Dat
     )
 
 
+def future_curve(curve: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The curve's months 1 to the horizon: at most 12 rows per cluster."""
+    return curve.filter(F.col("months_since_signup").between(1, p.horizon_months)).select(
+        "cluster_name", "months_since_signup", "monthly_revenue_nano")
+
+
 def ltv_forecast_v1(customers: DataFrame, orders: DataFrame, clusters: DataFrame, curve: DataFrame,
                     p: Params = DEFAULT) -> DataFrame:
     state = _current_state(customers, orders, clusters, p).withColumn(
         "months_remaining", F.lit(p.horizon_months) - F.col("months_active"))
     churn = rules.churn_probability(F.col("days_since_last_order"), null_is_never=False)
-    crv = F.broadcast(curve.select("cluster_name", "months_since_signup", "monthly_revenue_nano"))
+    crv = F.broadcast(future_curve(curve, p))
     s, c = state.alias("s"), crv.alias("c")
     cond = ((F.col("s.cluster_name") == F.col("c.cluster_name"))
-            & (F.col("c.months_since_signup") > F.col("s.months_active"))
-            & (F.col("c.months_since_signup") <= p.horizon_months))
+            & (F.col("c.months_since_signup") > F.col("s.months_active")))
     keys = ["customer_id", "signed_up_at", "cluster_name", "actual_ltv_to_date", "orders_to_date",
             "months_active", "months_remaining", "days_since_last_order"]
     j = s.join(c, cond, "left").select(*[F.col(f"s.{k}") for k in keys],
@@ -117,7 +124,7 @@ def ltv_forecast_v1(customers: DataFrame, orders: DataFrame, clusters: DataFrame
     month_k = [F.max(F.when(F.col("months_since_signup") == F.col("months_active") + k, rev).otherwise(0))
                .alias(f"_m{k}") for k in (1, 2, 3)]
     g = j.groupBy(*keys, "monthly_revenue_nano").agg(*month_k)
-    # rows per customer <= distinct curve values (<= 13): a bounded window
+    # rows per customer <= distinct curve values (<= 12): a bounded window
     w = Window.partitionBy("customer_id")
     g = (g.withColumn("churn_probability", churn)
          .withColumn("_sum", F.sum("monthly_revenue_nano").over(w)))
@@ -135,15 +142,18 @@ def ltv_forecast_v1(customers: DataFrame, orders: DataFrame, clusters: DataFrame
 
 def ltv_by_persona(ltv: DataFrame) -> DataFrame:
     """Per cluster totals and averages of the v2 forecast."""
-    d = ltv.filter(F.col("cluster_name").isNotNull())
-    cur = half_up_div(F.sum("actual_ltv_units"), F.lit(1000)).cast("double") / F.lit(100.0)
+    d = ltv.filter(F.col("cluster_name").isNotNull()).withColumns({
+        "_pred": money_to_units(F.col("predicted_12m_ltv")),
+        "_future": money_to_units(F.col("predicted_future_revenue")),
+        "_churn": F.round(F.col("churn_probability") * 100).cast("long")})
+    n = F.count(F.lit(1))
     return d.groupBy("cluster_name").agg(
-        F.count(F.lit(1)).alias("customers"),
-        cur.alias("total_current_ltv"),
-        round_to(F.sum("predicted_12m_ltv"), 2).alias("total_predicted_ltv"),
-        round_to(F.sum("predicted_future_revenue"), 2).alias("total_future_revenue"),
-        round_to(F.avg("actual_ltv_to_date"), 2).alias("avg_current_ltv"),
-        round_to(F.avg("predicted_12m_ltv"), 2).alias("avg_predicted_ltv"),
-        round_to(F.avg("predicted_future_revenue"), 2).alias("avg_future_revenue"),
-        round_to(F.avg("churn_probability") * 100, 1).alias("avg_churn_pct"),
+        n.alias("customers"),
+        cents_of(F.sum("actual_ltv_units")).alias("total_current_ltv"),
+        cents_of(F.sum("_pred")).alias("total_predicted_ltv"),
+        cents_of(F.sum("_future")).alias("total_future_revenue"),
+        mean_to(F.sum("actual_ltv_units"), n, MONEY_SCALE, 2).alias("avg_current_ltv"),
+        mean_to(F.sum("_pred"), n, MONEY_SCALE, 2).alias("avg_predicted_ltv"),
+        mean_to(F.sum("_future"), F.count("_future"), MONEY_SCALE, 2).alias("avg_future_revenue"),
+        mean_to(F.sum("_churn"), n, 1, 1).alias("avg_churn_pct"),
     )

@@ -11,60 +11,61 @@ from pyspark.sql import types as T
 
 # ---- fixed values: personas -------------------------------------------------
 # (persona, cluster name used by the behavioural clusters, description,
-#  typical ltv, monthly velocity, sessions, orders, detection accuracy,
+#  typical ltv, monthly velocity, sessions, orders, returns per customer,
+#  average order value, detection accuracy,
 #  key traits, marketing strategy)
 PERSONAS = [
     ("VIP Loyalist", "VIP Loyalists", "Frequent buyers with high lifetime value",
-     2356.0, 280.0, 52.0, 8.4, "92%", ["Fast conversion", "High Frequency", "Low Returns"],
+     2356.0, 280.0, 52.0, 8.4, None, None, "92%", ["Fast conversion", "High Frequency", "Low Returns"],
      "Retain at all costs, VIP perks, early access"),
     ("Serial Returner", "Serial Returns", "High spenders but return frequently",
-     2323.0, 267.0, 61.0, 8.4, "Cannot predict early (need return data)",
+     2323.0, 267.0, 61.0, 8.4, 2.8, None, "Cannot predict early (need return data)",
      ["High spend", "High returns", "Same revenue as VIPs"],
      "Implement return fees, improve descriptions"),
     ("Big Ticket Buyer", "Big Ticket Buyers", "Infrequent but high-value purchases",
-     674.0, 95.0, 20.0, 1.8, "79%", ["High AOV", "Seasonal", "Gift shoppers"],
+     674.0, 95.0, 20.0, 1.8, None, 379.0, "79%", ["High AOV", "Seasonal", "Gift shoppers"],
      "Holiday campaigns, gift guides, bundling"),
     ("Window Browser", "Window Browsers", "Browser heavily but rarely purchase",
-     154.0, 17.0, 70.0, 1.5, "95%", ["High sessions", "Low conversion", "Research shoppers"],
+     154.0, 17.0, 70.0, 1.5, None, None, "95%", ["High sessions", "Low conversion", "Research shoppers"],
      "Cart abandonment, browser retargeting, minimal investment"),
     ("Deal Hunter", "Deal Hunters", "Price-sensitive, waits for sales",
-     312.0, 56.0, 34.0, 1.9, "65%", ["Discount seekers", "Flash sale buyers"],
+     312.0, 56.0, 34.0, 1.9, None, None, "65%", ["Discount seekers", "Flash sale buyers"],
      "Flash sales, loyalty rewards, clearance alerts"),
     ("Casual Shopper", "Casual Shoppers", "Standard customers, steady but unexciting",
-     525.0, 73.0, 40.0, 2.6, "Default category", ["Average engagement", "Mixed Behavior"],
+     525.0, 73.0, 40.0, 2.6, None, None, "Default category", ["Average engagement", "Mixed Behavior"],
      "Standard nurture, occasional promotions"),
 ]
 
 # ---- fixed values: early-signal scorer outputs per persona ------------------
 # (persona, confidence, ltv forecast, typical ltv, typical sessions,
-#  typical orders, monthly velocity, recommended actions)
+#  typical orders, monthly velocity, traits, recommended actions)
 SCORER = [
-    ("Window Browser", 0.95, 173.0, 154.0, 70.0, 1.5, 17.0, [
+    ("Window Browser", 0.95, 173.0, 154.0, 70.0, 1.5, 17.0, ["browse_heavy"], [
         "Trigger card abandonment email after 3 sessions",
         "Offer first-purchase discount (15% off)",
         "Send browser retargeting ads",
         "Add to 'High Intent Browser' nurture campaign",
         "Show social proof (reviews, bestsellers)"]),
-    ("VIP Loyalist", 0.92, 3111.0, 2356.0, 52.0, 8.4, 280.0, [
+    ("VIP Loyalist", 0.92, 3111.0, 2356.0, 52.0, 8.4, 280.0, ["high_value"], [
         "⭐️ IMMEDIATE: Invite to VIP loyalty program",
         "Offer early access to new products",
         "Assign dedicated account manager",
         "Send personalized thank-you with exclusive perks",
         "Free shipping on all future orders",
         "Birthday/anniversary recognition"]),
-    ("Big Ticket Buyer", 0.79, 891.0, 674.0, 20.0, 1.8, 95.0, [
+    ("Big Ticket Buyer", 0.79, 891.0, 674.0, 20.0, 1.8, 95.0, ["high_aov", "likely_gift_shopper"], [
         "Send gift guide recommendations",
         "Offer bundling discounts for multiple items",
         "Target with holiday/seasonal campaigns (Nov-Dec, Feb, May)",
         "Add to 'Gift Shopper' segment to Q4 marketing",
         "Show gift wrapping options prominently"]),
-    ("Deal Hunter", 0.65, 557.0, 312.0, 34.0, 1.9, 56.0, [
+    ("Deal Hunter", 0.65, 557.0, 312.0, 34.0, 1.9, 56.0, ["price_sensitive"], [
         "Send flash sale notifications",
         "Offer loyalty rewards program",
         "Target with clearance/sale campaigns",
         "Limit full-price marketing",
         "Show 'Deal of the Day' prominently"]),
-    ("Casual Shopper", 0.70, 682.0, 525.0, 40.0, 2.6, 73.0, [
+    ("Casual Shopper", 0.70, 682.0, 525.0, 40.0, 2.6, 73.0, ["standard_buyer"], [
         "Standard nurture email campaign (Weekly)",
         "Send new arrival notifications",
         "Offer occasional promotions (20% off)",
@@ -72,6 +73,12 @@ SCORER = [
         "Cross-sell complementary products"]),
 ]
 
+# ---- fixed values: spellings that callers use besides persona and cluster names
+MISSPELT = [
+    ("window browers", "Window Browsers"),
+    ("serial returners", "Serial Returns"),
+]
+
 # ---- fixed values: next actions by LTV risk status --------------------------
 RISK_ACTIONS = [
     ("High Value At Risk", [
@@ -128,7 +135,8 @@ def persona_dim(spark: SparkSession) -> DataFrame:
         T.StructField("persona", T.StringType()), T.StructField("cluster_name", T.StringType()),
         T.StructField("description", T.StringType()), T.StructField("ltv", T.DoubleType()),
         T.StructField("monthly_velocity", T.DoubleType()), T.StructField("sessions", T.DoubleType()),
-        T.StructField("orders", T.DoubleType()), T.StructField("detection_accuracy", T.StringType()),
+        T.StructField("orders", T.DoubleType()), T.StructField("returns_per_customer", T.DoubleType()),
+        T.StructField("avg_order_value", T.DoubleType()), T.StructField("detection_accuracy", T.StringType()),
         T.StructField("key_traits", T.ArrayType(T.StringType())),
         T.StructField("marketing_strategy", T.StringType()),
     ])
@@ -141,11 +149,22 @@ def scorer_dim(spark: SparkSession) -> DataFrame:
         T.StructField("ltv_forecast", T.DoubleType()), T.StructField("typical_ltv", T.DoubleType()),
         T.StructField("typical_sessions", T.DoubleType()), T.StructField("typical_orders", T.DoubleType()),
         T.StructField("monthly_velocity", T.DoubleType()),
+        T.StructField("traits", T.ArrayType(T.StringType())),
         T.StructField("recommended_actions", T.ArrayType(T.StringType())),
     ])
     return spark.createDataFrame(SCORER, schema)
 
 
+def persona_aliases() -> list[tuple[str, str]]:
+    """(spelling in lower case, cluster name): the persona and cluster names of
+    the dimension, and the known misspellings."""
+    return sorted({(n.lower(), c) for persona, c, *_ in PERSONAS for n in (persona, c)} | set(MISSPELT))
+
+
+def alias_dim(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(persona_aliases(), "alias string, alias_cluster string")
+
+
 def risk_actions_dim(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("risk_status", T.StringType()),
                            T.StructField("recommended_actions", T.ArrayType(T.StringType()))])

@@ -2,211 +2,134 @@
 
 * ``row_number_by``   row_number() over (partition by g order by k) without
                       sending a whole group to one task (E1).
-* ``explode_count``   unnest(generate_series(1, n)) that splits huge n (H1).
-* ``pair_counts``     co-occurrence counts of item pairs per basket without
-                      emitting per-basket pair rows into a shuffle (C4/C5).
+* ``explode_count``   unnest(generate_series(1, n)) chunk by chunk (H1).
+* ``pair_counts``     co-occurrence counts of item pairs per basket, a large
+                      basket being many block pairs (C4/C5).
 * ``with_group_total`` sum(x) over (partition by g) for a small, bounded
                       number of groups as groupBy + broadcast join (E2).
 * ``top_k_per_group`` row_number() <= k, which Spark plans with a map-side
                       WindowGroupLimit, so a hot group ships at most k rows
                       per map task.
+
+All are native expressions; none runs a job while it is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aisle.operators.prefix import running_totals
+
 
 def _cols(names: Sequence[str] | str) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def _null_safe_eq(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    cond = None
-    for n in names:
-        c = left[n].eqNullSafe(right[n])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 # --------------------------------------------------------------------------
 # row_number over a possibly skewed partition key
 # --------------------------------------------------------------------------
 
-def _local_row_numbers(keys: list[str]):
-    """Per sorted partition: running count within runs of equal ``keys``,
-    carried across Arrow batches."""
-
-    def run(batches):
-        prev = None      # key tuple of the last row of the previous batch
-        carry = 0        # its running count
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_lrn=pd.Series(dtype="int64"))
-                continue
-            k = pdf[keys]
-            shifted = k.shift(1)
-            same = ((k == shifted) | (k.isna() & shifted.isna())).all(axis=1)
-            first = tuple(k.iloc[0])
-            same.iloc[0] = prev is not None and all(
-                (a == b) or (pd.isna(a) and pd.isna(b)) for a, b in zip(first, prev))
-            run_id = (~same).cumsum()
-            lrn = pdf.groupby(run_id.values).cumcount() + 1
-            if same.iloc[0]:
-                lrn = lrn.where(run_id != run_id.iloc[0], lrn + carry)
-            prev = tuple(k.iloc[-1])
-            carry = int(lrn.iloc[-1])
-            yield pdf.assign(_lrn=lrn.astype("int64").values)
-
-    return run
-
-
-def row_number_by(df: DataFrame, partition_by: Sequence[str] | str,
-                  order_by: Sequence[str] | str, out: str = "row_number",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Exact ``row_number() over (partition by P order by O)``.
-
-    The order key must be unique within a group (add a tiebreak). The rows are
-    range-partitioned on (P, O), so one hot group is spread over many tasks;
-    each task numbers its sorted rows locally, and a group that continues from
-    earlier partitions gets their row count as an offset. Only the first group
-    of a partition can continue, so the offset table has at most one row per
-    range partition and is broadcast with that proven bound.
+ID_BLOCK_BITS = 12      # consecutive integer keys in one bucket
+
+
+def order_bucket(df: DataFrame, column: str) -> Column:
+    """A bucket that rises with the column: the day of a date or timestamp, a
+    block of 4096 values of an integer; the least bucket for null."""
+    kind = df.schema[column].dataType
+    c = F.col(column)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.coalesce(F.unix_date(F.to_date(c)).cast("long"), F.lit(-(2 ** 62)))
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(F.shiftright(c.cast("long"), ID_BLOCK_BITS), F.lit(-(2 ** 62)))
+    raise ValueError(f"give a bucket for the order column {column} of type {kind.simpleString()}")
+
+
+def row_number_by(df: DataFrame, partition_by: Sequence[str] | str, order_by: Sequence[str] | str,
+                  out: str = "row_number", bucket: Column | None = None) -> DataFrame:
+    """Exact ``row_number() over (partition by P order by O)``, nulls first.
+
+    The order key must be unique within a group (add a tiebreak). ``bucket`` is a
+    column that never falls as the order key rises (default: see
+    ``order_bucket`` of the first order column). Rows are counted per (group,
+    bucket) with a partial aggregate, the counts are summed up per group, and
+    only rows of one (group, bucket) meet in a task.
     """
-    spark = df.sparkSession
     pcols, ocols = _cols(partition_by), _cols(order_by)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = pcols + ocols
-    sorted_df = (df.repartitionByRange(n, *keys)
-                 .sortWithinPartitions(*keys)
-                 .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(sorted_df.schema.fields + [T.StructField("_lrn", T.LongType())])
-    # Range bounds come from sampling shuffle output, whose order is not
-    # deterministic, so the numbered partitions are written once to the
-    # shared checkpoint folder: the offsets and the rows then read the same
-    # partitioning, also after an executor is lost.
-    from aisle.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    local = sorted_df.mapInPandas(_local_row_numbers(pcols), schema).checkpoint(eager=True)
-
-    per_part = local.groupBy("_pid", *pcols).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*pcols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (per_part.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-               .filter(F.col("_off") > 0)
-               .select("_pid", *pcols, "_off"))
-    o = F.broadcast(offsets).alias("_o")
-    l = local.alias("_l")
-    cond = F.col("_l._pid") == F.col("_o._pid")
-    for c in pcols:
-        cond = cond & F.col(f"_l.`{c}`").eqNullSafe(F.col(f"_o.`{c}`"))
-    joined = l.join(o, cond, "left")
-    return joined.select(
-        *[F.col(f"_l.`{c}`") for c in df.columns],
-        (F.col("_l._lrn") + F.coalesce(F.col("_o._off"), F.lit(0))).alias(out))
+    rows = df.withColumn("_bucket", order_bucket(df, ocols[0]) if bucket is None else bucket)
+    order = [F.col(c).asc_nulls_first() for c in ocols]
+    summed = running_totals(rows, pcols, "_bucket", order, {out: F.lit(1)})
+    return summed.withColumn(out, F.col(out) + 1).select(*[F.col(f"`{c}`") for c in df.columns], out)
 
 
 # --------------------------------------------------------------------------
-# unnest(generate_series(1, n)) with huge-n splitting
+# unnest(generate_series(1, n))
 # --------------------------------------------------------------------------
 
-def explode_count(df: DataFrame, n_col: str, out: str, chunk: int = 4096) -> DataFrame:
+def explode_count(df: DataFrame, n_col: str, out: str, chunk: int = 4096, spread: Sequence[str] = ()) -> DataFrame:
     """One row per i in 1..n for rows with n >= 1 (rows with n < 1 or NULL
-    vanish, as an empty series does). Rows with n above ``chunk`` are first cut
-    into chunk ranges and redistributed, so one huge row is expanded by many
-    tasks instead of one."""
-    n = F.col(n_col)
-    small = df.filter((n >= 1) & (n <= chunk)).withColumn(out, F.explode(F.sequence(F.lit(1), n.cast("int"))))
-    big = (df.filter(n > chunk)
-           .withColumn("_c", F.explode(F.sequence(F.lit(0), ((n - 1) / chunk).cast("int"))))
-           .repartition("_c", *[c for c in df.columns if c != n_col][:1])
-           .withColumn(out, F.explode(F.sequence(
-               (F.col("_c") * chunk + 1).cast("int"),
-               F.least((F.col("_c") + 1) * chunk, n).cast("int"))))
-           .drop("_c"))
-    return small.unionByName(big)
+    vanish, as an empty series does). Every row is cut into chunks of at most
+    ``chunk`` values, so no array is larger than that. With ``spread``, columns
+    that name a row, the chunks are dealt out by (those, chunk) first, so that
+    many tasks share one huge row."""
+    n = F.col(n_col).cast("long")
+    last = F.expr(f"cast((cast(`{n_col}` as bigint) - 1) div {chunk} as int)")
+    chunks = df.filter(n >= 1).withColumn("_chunk", F.explode(F.sequence(F.lit(0), last)))
+    if spread:
+        chunks = chunks.repartition(*spread, "_chunk")
+    begin = F.col("_chunk").cast("long") * chunk
+    values = F.sequence((begin + 1).cast("int"), F.least(begin + chunk, n).cast("int"))
+    return chunks.withColumn(out, F.explode(values)).drop("_chunk")
 
 
 # --------------------------------------------------------------------------
 # item-pair co-occurrence per basket
 # --------------------------------------------------------------------------
 
-def _pair_aggregator(group: list[str], basket: str, item: str, ordered: bool):
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf.rename(columns={item: "item_a", "_cnt": "_na"})
-        right = pdf[[basket, item, "_cnt"]].rename(columns={item: "item_b", "_cnt": "_nb"})
-        m = left.merge(right, on=basket)
-        m = m[m["item_a"] != m["item_b"]] if ordered else m[m["item_a"] < m["item_b"]]
-        m = m.assign(times=m["_na"] * m["_nb"], baskets=1)
-        return m.groupby(group + ["item_a", "item_b"], as_index=False, dropna=False)[["times", "baskets"]].sum()
-
-    def combine(parts):
-        d = pd.concat(parts, ignore_index=True)
-        return d.groupby(group + ["item_a", "item_b"], as_index=False, dropna=False)[["times", "baskets"]].sum()
-
-    def run(batches):
-        acc, carry = [], None
-        for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if pdf.empty:
-                continue
-            last = pdf[basket].iloc[-1]
-            tail = pdf[basket] == last
-            carry, done = pdf[tail], pdf[~tail]
-            if len(done):
-                acc.append(local(done))
-            if len(acc) >= 8:
-                acc = [combine(acc)]
-        if carry is not None and len(carry):
-            acc.append(local(carry))
-        if acc:
-            out = combine(acc)
-            yield out.astype({"times": "int64", "baskets": "int64"})
-
-    return run
-
-
 def basket_lines(items: DataFrame, group: Sequence[str] | str, basket: str, item: str,
                  carry: Sequence[str] = ()) -> DataFrame:
     """One row per (group, basket, item) with its multiplicity ``_cnt``
     (partially aggregated, so a hot basket is combined map-side). ``carry``
-    columns must be functionally dependent on the item."""
-    return items.groupBy(*_cols(group), basket, item, *carry).agg(F.count(F.lit(1)).alias("_cnt"))
+    columns must be functionally dependent on the item. Rows without a basket or
+    an item belong to no pair and are dropped."""
+    known = items.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
+    return known.groupBy(*_cols(group), basket, item, *carry).agg(F.count(F.lit(1)).alias("_cnt"))
 
 
 def pair_counts(items: DataFrame, group: Sequence[str] | str, basket: str, item: str,
-                ordered: bool = False, deduped: bool = False) -> DataFrame:
+                ordered: bool = False, deduped: bool = False, block: int = 1024) -> DataFrame:
     """For every pair of distinct items in the same basket (item_a < item_b, or
-    both orders when ``ordered``), per ``group``:
+    both orders when ``ordered``), per ``group`` (a function of the basket):
 
     * ``times``   = number of (row, row) pairs, i.e. sum over baskets of
                     count(a) * count(b) (a self-join's row count);
     * ``baskets`` = number of baskets containing both.
 
-    Rows are first reduced to one row per (basket, item) with its count by a
-    partially aggregated groupBy (a hot basket is combined map-side), then
-    co-located by basket; each task multiplies its baskets out in pandas and
-    emits pair counts already summed over all of its baskets. No per-basket
-    pair row ever enters a shuffle; the final groupBy sums at most one row
-    per distinct pair per task.
+    Rows are first reduced to one row per (basket, item). The items of a basket
+    are dealt to blocks of about ``block`` items, and the self-join is keyed by
+    (basket, block of a, block of b): an ordinary basket is one block, a huge one
+    many tasks of at most about block * block pairs. The pairs go straight into a
+    partial aggregate, which spills.
     """
     g = _cols(group)
-    dedup = items if deduped else basket_lines(items, g, basket, item)
-    dedup = dedup.select(*g, basket, item, "_cnt")
-    parts = dedup.repartition(basket).sortWithinPartitions(basket)
-    fields = {f.name: f for f in dedup.schema.fields}
-    schema = T.StructType(
-        [fields[c] for c in g]
-        + [T.StructField("item_a", fields[item].dataType), T.StructField("item_b", fields[item].dataType),
-           T.StructField("times", T.LongType()), T.StructField("baskets", T.LongType())])
-    partial = parts.mapInPandas(_pair_aggregator(g, basket, item, ordered), schema)
-    return (partial.groupBy(*g, "item_a", "item_b")
-            .agg(F.sum("times").alias("times"), F.sum("baskets").alias("baskets")))
+    lines = items if deduped else basket_lines(items, g, basket, item)
+    lines = lines.select(*g, basket, item, "_cnt").filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
+    sizes = (lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
+             .select(basket, F.ceil(F.col("_n") / block).cast("int").alias("_blocks")))
+    cut = (lines.join(sizes, basket, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+           .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
+           .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))))
+    a = cut.select(*g, F.col(basket).alias("_basket"), F.col("_own").alias("_a"), F.col("_other").alias("_b"),
+                   F.col(item).alias("item_a"), F.col("_cnt").alias("_na"))
+    b = cut.select(F.col(basket).alias("_basket"), F.col("_other").alias("_a"), F.col("_own").alias("_b"),
+                   F.col(item).alias("item_b"), F.col("_cnt").alias("_nb"))
+    residual = F.col("item_a") != F.col("item_b") if ordered else F.col("item_a") < F.col("item_b")
+    return (a.join(b, ["_basket", "_a", "_b"]).filter(residual)
+            .groupBy(*g, "item_a", "item_b")
+            .agg(F.sum(F.col("_na") * F.col("_nb")).alias("times"), F.count(F.lit(1)).alias("baskets")))
 
 
 # --------------------------------------------------------------------------

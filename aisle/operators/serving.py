@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aisle.functions.exact import half_up_div, round_to
+from aisle.functions.exact import cents_of, money_to_units, round_to
 from aisle.operators import personas
 from aisle.operators.basket import STRONG, ranked_catalogue
 from aisle.operators.relational import top_k_per_group
@@ -26,11 +26,6 @@ def cents(x: Column) -> Column:
     return F.round(x * F.lit(100.0)).cast("long")
 
 
-def units_to_cents_amount(units_sum: Column) -> Column:
-    """Exact sum of 1e-5 money units shown in dollars rounded to cents."""
-    return half_up_div(units_sum, F.lit(1000)).cast("double") / F.lit(100.0)
-
-
 # ---- J12 customer profile -----------------------------------------------------
 def customer_profile(ltv: DataFrame, keys: DataFrame | Sequence | None = None) -> DataFrame:
     d = ltv
@@ -86,15 +81,14 @@ def at_risk_summary(at_risk: DataFrame) -> DataFrame:
 # ---- J17 portfolio, J18 risk distribution -------------------------------------
 def portfolio_metrics(ltv: DataFrame) -> DataFrame:
     at_risk = F.col("risk_status").isin(AT_RISK)
-    cur = units_to_cents_amount(F.sum("actual_ltv_units"))
-    fut = round_to(F.sum("predicted_future_revenue"), 2)
+    pred = money_to_units(F.col("predicted_12m_ltv"))
     m = ltv.agg(
         F.count(F.lit(1)).alias("total_customers"),
-        cur.alias("current_value"),
-        round_to(F.sum("predicted_12m_ltv"), 2).alias("predicted_value"),
-        fut.alias("future_opportunity"),
+        cents_of(F.sum("actual_ltv_units")).alias("current_value"),
+        cents_of(F.sum(pred)).alias("predicted_value"),
+        cents_of(F.sum(money_to_units(F.col("predicted_future_revenue")))).alias("future_opportunity"),
         F.count(F.when(at_risk, 1)).alias("at_risk_count"),
-        round_to(F.sum(F.when(at_risk, F.col("predicted_12m_ltv")).otherwise(0.0)), 2).alias("at_risk_value"))
+        cents_of(F.sum(F.when(at_risk, pred).otherwise(0))).alias("at_risk_value"))
     return m.withColumn("growth_potential_pct", F.when(
         F.col("current_value") > 0,
         round_to(F.col("future_opportunity") / F.col("current_value") * 100, 1)).otherwise(F.lit(0.0)))
@@ -103,7 +97,7 @@ def portfolio_metrics(ltv: DataFrame) -> DataFrame:
 def risk_distribution(ltv: DataFrame) -> DataFrame:
     return ltv.groupBy("risk_status").agg(
         F.count(F.lit(1)).alias("customers"),
-        round_to(F.sum("predicted_12m_ltv"), 2).alias("value"))
+        cents_of(F.sum(money_to_units(F.col("predicted_12m_ltv")))).alias("value"))
 
 
 def risk_by_persona(at_risk: DataFrame) -> DataFrame:
@@ -230,6 +224,33 @@ def carts_from_lines(line_items: DataFrame) -> DataFrame:
             .distinct())
 
 
+def carts_from_strings(carts: DataFrame) -> DataFrame:
+    """(cart_id, persona, category) from rows whose ``cart`` is a comma-separated
+    list of categories: split, stripped, lower-cased, without blanks or repeats."""
+    part = F.explode(F.split(F.col("cart"), ","))
+    return (carts.select("cart_id", "persona", part.alias("category"))
+            .select("cart_id", "persona", F.lower(F.trim("category")).alias("category"))
+            .filter(F.col("category") != "").distinct())
+
+
+def resolve_personas(requests: DataFrame, name: str = "persona") -> DataFrame:
+    """``requests`` with ``cluster_name``: the cluster that a persona name in any
+    known spelling means, else the name in title case with blanks."""
+    plain = F.trim(F.lower(F.replace(F.col(name), F.lit("_"), F.lit(" "))))
+    dim = F.broadcast(personas.alias_dim(requests.sparkSession))
+    return (requests.withColumn("_alias", plain).join(dim, F.col("_alias") == dim["alias"], "left")
+            .withColumn("cluster_name", F.coalesce(F.col("alias_cluster"), F.initcap(F.col("_alias"))))
+            .drop("_alias", "alias", "alias_cluster"))
+
+
+def persona_dimension(cluster_stats: DataFrame) -> DataFrame:
+    """The published persona figures next to the measured clusters."""
+    dim = personas.persona_dim(cluster_stats.sparkSession).withColumn("key_traits", F.array_join("key_traits", " | "))
+    measured = cluster_stats.select("cluster_name", *[F.col(c).alias(f"measured_{c}") for c in
+                                                      ["customers", "avg_ltv", "avg_sessions", "avg_orders", "avg_order_value"]])
+    return dim.join(measured, "cluster_name", "left")
+
+
 def category_index(c: Column) -> Column:
     from aisle.operators.basket import CATEGORIES
     expr = F.lit(None).cast("int")

@@ -4,14 +4,13 @@ is a field so a caller can change it without touching operator code."""
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
 class Params:
-    # "today" for recency, months active and churn (the reference hard-codes
-    # the last day of its data year; the adapter keeps that shape in 1995)
-    as_of: dt.date = dt.date(1995, 12, 31)
+    # "today" for recency, months active and churn: the day after the last order
+    as_of: dt.date = dt.date(2001, 8, 2)
 
     # J2/J3 RFM flags
     high_returner_rate: float = 0.2
@@ -55,8 +54,6 @@ class Params:
     exclude_churn_at_least: float = 0.90
     exclude_return_rate_above: float = 0.5
 
-    extra: dict = field(default_factory=dict)
-
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 

@@ -74,12 +74,11 @@ def _(m: Marts) -> DataFrame:
 @both("join_range_residual", """
 SELECT customer_id, months_active, months_since_signup, monthly_revenue_nano FROM ltv1_joined""")
 def _(m: Marts) -> DataFrame:
-    from aisle.operators.ltv import _current_state
+    from aisle.operators.ltv import _current_state, future_curve
     st = _current_state(m.customers, m.orders, m.clusters, m.p).alias("s")
-    c = F.broadcast(m.cohort_curve.select("cluster_name", "months_since_signup", "monthly_revenue_nano")).alias("c")
+    c = F.broadcast(future_curve(m.cohort_curve, m.p)).alias("c")
     cond = ((F.col("s.cluster_name") == F.col("c.cluster_name"))
-            & (F.col("c.months_since_signup") > F.col("s.months_active"))
-            & (F.col("c.months_since_signup") <= m.p.horizon_months))
+            & (F.col("c.months_since_signup") > F.col("s.months_active")))
     return st.join(c, cond, "left").select("s.customer_id", "s.months_active", "c.months_since_signup",
                                            "c.monthly_revenue_nano")
 
@@ -99,7 +98,7 @@ SELECT b.cluster_name, b.order_id, b.product_id, t.total_orders
 FROM (SELECT DISTINCT cluster_name, order_id, product_id FROM pa_items) b
 LEFT JOIN pa_totals t ON b.cluster_name = t.cluster_name AND b.product_id = t.product_id""")
 def _(m: Marts) -> DataFrame:
-    it = m.line_items.filter(F.col("cluster_name").isNotNull())
+    it = m.affinity_items
     b = it.select("cluster_name", "order_id", "product_id").distinct()
     t = it.groupBy("cluster_name", "product_id").agg(F.countDistinct("order_id").alias("total_orders"))
     return b.join(t, ["cluster_name", "product_id"], "left").select("cluster_name", "order_id", "product_id",
@@ -295,7 +294,7 @@ def _(m: Marts) -> DataFrame:
               .agg(F.sum("total_units").alias("revenue_units")))
     g = cohort.groupBy("cluster_name", "months_since_signup").agg(
         F.count(F.lit(1)).alias("cohorts"), F.sum("revenue_units").alias("_u"))
-    # <= 13 grouped rows per cluster: a bounded window
+    # a grouped row per cluster and month since signup: months, not customers
     return g.select("cluster_name", "months_since_signup", "cohorts",
                     F.sum("_u").over(Window.partitionBy("cluster_name")).alias("cluster_units"))
 
@@ -338,8 +337,7 @@ def _(m: Marts) -> DataFrame:
 
 @both("set_union_all", "SELECT * FROM all_events")
 def _(m: Marts) -> DataFrame:
-    from aisle.operators.journey import all_events
-    return all_events(m.sessions, m.orders, m.p)
+    return m.events
 
 
 # ---- 2B / 2H / 2I row-level -----------------------------------------------------
@@ -392,7 +390,7 @@ FROM stg_customers""")
 def _(m: Marts) -> DataFrame:
     c = m.customers
     return c.select("customer_id", "acquisition_channel", "country",
-                    F.concat(F.upper(F.substring("country", 1, 1)), F.substring("country", 2, 1 << 20)).alias("country_title"),
+                    F.concat(F.upper(F.substring("country", 1, 1)), F.expr("substr(country, 2)")).alias("country_title"),
                     F.split_part(F.col("acquisition_channel"), F.lit("e"), F.lit(1)).alias("channel_head"))
 
 
@@ -466,3 +464,31 @@ FROM early_sessions""")
 def _(m: Marts) -> DataFrame:
     from aisle.streaming.first_week import run_first_week
     return run_first_week(m.spark, m.sf_dir, m.p)
+
+
+# ---- 2I names and lists ------------------------------------------------------------
+REQUESTS = ["VIP Loyalist", "vip_loyalists", "serial_returner", "Serial Returners", "Window Browers",
+            "BIG TICKET BUYER", " deal hunters", "casual shopper", "nobody"]
+
+
+@both("persona_name_lookup", """
+SELECT customer_id, requested, coalesce(a.cluster_name, upper(plain[1]) || substr(plain, 2)) AS cluster_name
+FROM (SELECT c.customer_id, n.requested, trim(lower(replace(n.requested, '_', ' '))) AS plain
+      FROM stg_customers c JOIN """ + oracle.values_sql(list(enumerate(REQUESTS)), ["slot", "requested"]) + f""" n
+        ON c.customer_id % {len(REQUESTS)} = n.slot) r
+LEFT JOIN aliases a ON a.alias = r.plain""")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import resolve_personas
+    names = F.array(*[F.lit(n) for n in REQUESTS])
+    asked = m.customers.select("customer_id", F.element_at(
+        names, (F.pmod(F.col("customer_id"), F.lit(len(REQUESTS))) + 1).cast("int")).alias("requested"))
+    return resolve_personas(asked, "requested")
+
+
+@both("cart_strings", "SELECT cart_id, persona, category FROM carts")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import carts_from_strings
+    written = F.concat(F.lit(" "), F.array_join(F.collect_list(F.upper("category")), " , "), F.lit(",,"))
+    carts = (m.line_items.filter(F.col("cluster_name").isNotNull())
+             .groupBy(F.col("order_id").alias("cart_id"), F.col("cluster_name").alias("persona")).agg(written.alias("cart")))
+    return carts_from_strings(carts)

@@ -22,17 +22,35 @@ from aisle.sources import tpch_adapter as adapter
 
 class Marts:
     """``keep=True`` persists the derived marts that several queries read
-    (the reference materialises them as tables): RFM, clusters, LTV and
-    product affinity. They are one row per customer or per pair, far smaller
-    than the facts; raw facts are never persisted, only re-scanned. A lost
-    cached block is recomputed from lineage."""
+    (the reference materialises them as tables): RFM, clusters, LTV, product
+    affinity and the basket lines that it reads six times. Raw facts are never
+    persisted, only re-scanned. A lost cached block is recomputed from lineage;
+    ``release`` drops what this object keeps."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, keep: bool = True):
         self.spark, self.sf_dir, self.p, self.keep = spark, sf_dir, params, keep
         self.t = adapter.Tables(spark, sf_dir)
+        self._held: list[DataFrame] = []
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return df.persist(StorageLevel.MEMORY_AND_DISK) if self.keep else df
+        if self.keep:
+            self._held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
+        return df
+
+    def release(self) -> None:
+        """Drop what this object has persisted."""
+        while self._held:
+            self._held.pop().unpersist()
+
+    def materialise(self, folder: str) -> dict[str, str]:
+        """Write the derived marts as tables, replacing earlier ones (A2, A6);
+        returns their paths by name."""
+        from aisle.sources.files import write_table
+        paths = {}
+        for name in ("rfm", "clusters", "ltv_v2", "product_affinity"):
+            paths[name] = f"{folder.rstrip('/')}/{name}"
+            write_table(getattr(self, name), paths[name])
+        return paths
 
     # ---- staging -----------------------------------------------------------
     @cached_property
@@ -71,6 +89,11 @@ class Marts:
         from aisle.operators.clusters import behavioral_clusters
         return self._kept(behavioral_clusters(self.rfm, self.p))
 
+    @cached_property
+    def events(self) -> DataFrame:
+        from aisle.operators.journey import all_events
+        return all_events(self.sessions, self.orders, self.p)
+
     @cached_property
     def journey_events(self) -> DataFrame:
         from aisle.operators.journey import events_with_context
@@ -79,7 +102,7 @@ class Marts:
     @cached_property
     def journey(self) -> DataFrame:
         from aisle.operators.journey import customer_journey
-        return customer_journey(self.journey_events, self.p)
+        return customer_journey(self.events, self.customers, self.clusters, self.p)
 
     @cached_property
     def early_signals(self) -> DataFrame:
@@ -116,4 +139,14 @@ class Marts:
     @cached_property
     def product_affinity(self) -> DataFrame:
         from aisle.operators.basket import product_affinity
-        return self._kept(product_affinity(self.line_items, self.p))
+        return self._kept(product_affinity(self.affinity_lines, self.p))
+
+    @cached_property
+    def affinity_lines(self) -> DataFrame:
+        from aisle.operators.basket import affinity_lines
+        return self._kept(affinity_lines(self.affinity_items))
+
+    @cached_property
+    def affinity_items(self) -> DataFrame:
+        from aisle.operators.basket import affinity_items
+        return affinity_items(self.basket_items)

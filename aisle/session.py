@@ -43,10 +43,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; only when it is unset (local tests) set a
-    fresh private folder. On a cluster the operator names a shared folder."""
+    """Return ``spark.checkpoint.dir``, the folder that all executors share. Only a
+    local master may leave it unset (as in tests) and gets a private folder."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="aisle-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

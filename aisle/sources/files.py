@@ -5,6 +5,7 @@
 * ``read_table``    parquet table by path (A4).
 * ``write_table``   full-refresh (overwrite) materialisation (A2, A6).
 * ``table_counts``  row count per table as one DataFrame (A3).
+* ``list_tables``   names of the session's tables and views (A3).
 """
 
 from __future__ import annotations
@@ -50,3 +51,8 @@ def table_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def list_tables(spark: SparkSession) -> DataFrame:
+    names = [(t.name, t.tableType) for t in spark.catalog.listTables()]
+    return spark.createDataFrame(names, "table_name string, table_type string")

@@ -1,17 +1,16 @@
-"""One-year adapter: the driver's TPC-H-style tables as the four raw retail
-tables (customers, sessions, orders, products) plus real order lines.
+"""Adapter from the driver's TPC-H-style tables to the four raw retail tables
+(customers, sessions, orders, products) plus real order lines.
 
-The reference data is one year of orders ending at its "as of" date; the
-adapter keeps that shape on 1995 (as_of 1995-12-31). All mappings are plain
-column expressions and joins, so the same rows come out of the oracle SQL.
+Every order, line, event and part is used. Signups are spread over the whole
+range of order dates; a customer's sessions begin at the signup (a few stand
+some hours before it, as early visits do). All mappings are plain column
+expressions and joins, so the same rows come out of the oracle SQL.
 Identifiers stay BIGINT (c_custkey, o_orderkey, p_partkey, event_id).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
-from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +18,12 @@ from pyspark.sql import functions as F
 from aisle.functions.rules import ladder
 
 # ---- fixed values of the adapter -------------------------------------------
-SIGNUP_ORIGIN = dt.date(1995, 1, 1)       # signup = origin + (custkey * 37) % 360 days
-ORDERS_BEFORE = dt.date(1996, 1, 1)       # orders kept: o_orderdate < this
+SIGNUP_ORIGIN = dt.date(1995, 1, 1)       # signup = origin + (custkey * 37) % SIGNUP_DAYS days
+SIGNUP_DAYS = 2400                        # 1995-01-01 to 2001-07-28; orders end 2001-08-01
 EVENT_ORIGIN = "2024-01-01 00:00:00"      # events start (January 2024)
-SESSION_ORIGIN = "1995-01-01 00:00:00"    # sessions start; time is stretched x12
-TIME_STRETCH = 12
-CUSTOMERS_PER_USER = 10                   # session customer = user_id*10 + event_id % 10
+TIME_SQUEEZE = 2                          # session time passes at half the events' pace
+EARLY_VISIT_HOURS = 6                     # sessions start this long before the signup day
+CUSTOMERS_PER_USER = 10                   # see session_customer
 DISCOUNT_SHARE_PCT = 5                    # discount kept when > 5 % of subtotal
 PRODUCT_VARIANTS = 4                      # pseudo products per category for line items
 # part type -> retail category (six types, six categories)
@@ -36,9 +35,18 @@ TYPE_TO_CATEGORY = [
     ("SMALL", "Shoes"),
     ("STANDARD", "Dresses"),
 ]
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events", "documents", "embeddings", "pages", "benchmark", "labels",
-                 "conversations"]
+# columns that the adapter reads; a declared schema saves a job per table
+DRIVER_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+              "o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+}
 
 
 class Tables:
@@ -48,20 +56,34 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
         self._cache: dict[str, DataFrame] = {}
 
+    def path(self, name: str) -> str:
+        return f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+            reader = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                reader = reader.schema(DRIVER_SCHEMAS[name])
+            self._cache[name] = reader.parquet(self.path(name))
         return self._cache[name]
 
-    def all(self) -> Mapping[str, DataFrame]:
-        return {n: self[n] for n in DRIVER_TABLES
-                if os.path.exists(os.path.join(self.sf_dir, f"{n}.parquet"))}
-
 
 def _category_of_type(p_type: Column) -> Column:
     return ladder([(p_type == t, c) for t, c in TYPE_TO_CATEGORY], F.lit(None).cast("string"))
 
 
+def signup_date(customer_id: Column) -> Column:
+    return F.date_add(F.lit(SIGNUP_ORIGIN), F.pmod(customer_id * 37, F.lit(SIGNUP_DAYS)).cast("int"))
+
+
+def session_customer(user_id: Column, event_id: Column) -> Column:
+    """A user's events are dealt to ten customers: every other block of ten
+    events goes to the first one (a frequent visitor), the rest one each."""
+    slot = F.when(F.pmod(F.floor(event_id / CUSTOMERS_PER_USER), F.lit(2)) == 0,
+                  F.pmod(event_id, F.lit(CUSTOMERS_PER_USER))).otherwise(F.lit(0))
+    return user_id * CUSTOMERS_PER_USER + slot
+
+
 def raw_customers(t: Tables) -> DataFrame:
     c = t["customer"].select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
     # nation is the fixed 25-row TPC-H dimension: a broadcast with a known bound
@@ -69,8 +91,7 @@ def raw_customers(t: Tables) -> DataFrame:
     return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(
                 F.col("c_custkey").alias("customer_id"),
-                F.date_add(F.lit(SIGNUP_ORIGIN), F.pmod(F.col("c_custkey") * 37, F.lit(360)).cast("int"))
-                .alias("signup_date"),
+                signup_date(F.col("c_custkey")).alias("signup_date"),
                 F.col("c_mktsegment").alias("acquisition_channel"),
                 F.col("n_name").alias("country"),
                 (F.col("c_acctbal") > 0).alias("email_subscriber"),
@@ -92,8 +113,7 @@ def order_lines(t: Tables) -> DataFrame:
 
 
 def raw_orders(t: Tables) -> DataFrame:
-    o = (t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-         .filter(F.col("o_orderdate") < F.lit(ORDERS_BEFORE).cast("timestamp_ntz")))
+    o = t["orders"].select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     lines = order_lines(t)
     j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
     price = F.coalesce(F.col("price_cents"), F.lit(0))
@@ -116,20 +136,23 @@ def raw_sessions(t: Tables) -> DataFrame:
     return sessions_from_events(t["events"])
 
 
-def sessions_from_events(events: DataFrame) -> DataFrame:
-    """Events as sessions; works on a batch or a streaming DataFrame."""
+def sessions_from_events(events: DataFrame, clock: bool = False) -> DataFrame:
+    """Events as sessions; works on a batch or a streaming DataFrame. ``clock``
+    adds ``event_time``, when the event itself was made."""
     e = events.select("event_id", "user_id", "ts", "event_type")
+    e = e.withColumn("customer_id", session_customer(F.col("user_id"), F.col("event_id")))
+    e = e.withColumn("signup", signup_date(F.col("customer_id")).cast("timestamp_ntz"))
     start = F.expr(
-        f"timestampadd(MICROSECOND, {TIME_STRETCH} * timestampdiff(MICROSECOND, "
-        f"TIMESTAMP_NTZ'{EVENT_ORIGIN}', ts), TIMESTAMP_NTZ'{SESSION_ORIGIN}')")
+        f"timestampadd(MICROSECOND, timestampdiff(MICROSECOND, TIMESTAMP_NTZ'{EVENT_ORIGIN}', ts) div {TIME_SQUEEZE}"
+        f" - {EARLY_VISIT_HOURS * 3_600_000_000}, signup)")
     return e.select(
         F.col("event_id").alias("session_id"),
-        (F.col("user_id") * CUSTOMERS_PER_USER + F.pmod(F.col("event_id"), F.lit(CUSTOMERS_PER_USER)))
-        .alias("customer_id"),
+        "customer_id",
         start.alias("session_start"),
         (F.pmod(F.col("event_id"), F.lit(12)) + 1).cast("int").alias("num_products_viewed"),
         F.pmod(F.col("event_id"), F.lit(4)).cast("int").alias("num_cart_adds"),
         (F.col("event_type") == "purchase").alias("purchased"),
+        *([F.col("ts").cast("timestamp").alias("event_time")] if clock else []),
     )
 
 
@@ -147,10 +170,10 @@ def raw_products(t: Tables) -> DataFrame:
 
 
 def raw_order_lines(t: Tables) -> DataFrame:
-    """Real order lines of the kept orders, each mapped to a pseudo product
-    (category + part variant), for basket analysis on actual baskets."""
-    o = (t["orders"].select("o_orderkey", "o_orderdate")
-         .filter(F.col("o_orderdate") < F.lit(ORDERS_BEFORE).cast("timestamp_ntz")))
+    """Real order lines, each mapped to a pseudo product (category + part
+    variant), for basket analysis on actual baskets. Lines without an order or a
+    part do not count."""
+    o = t["orders"].select("o_orderkey")
     li = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
     p = t["part"].select("p_partkey", "p_type")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(p, li.l_partkey == p.p_partkey, "inner")

@@ -1,20 +1,24 @@
 """K1 (extension): first-week session signals as a Structured Streaming job.
 
-Events arrive through a file stream; each micro-batch is mapped to sessions,
-joined to the static customer table (stream-static join) and filtered to the
-first ``early_days`` days after signup. Per-customer running aggregates are
-kept in Spark's state store (complete mode), and every micro-batch writes the
-current table to the shared checkpoint folder with ``foreachBatch``. With
-``trigger(availableNow=True)`` the job drains the source and stops, so the
-result equals the batch early-signal aggregate (J6).
+Sessions arrive through a file stream in the order of an event clock, are joined
+to the static customer table and kept while they lie in the first
+``early_days`` days after signup (or before it). A keyed state holds five
+numbers per customer whose week is open. When the watermark passes the end of a
+customer's week, its event-time timer fires: the customer's row is emitted once
+(append mode) and its state is dropped, so state is bounded by open weeks, and
+no micro-batch rewrites earlier output. Sessions that arrive after the week was
+closed are late and dropped, as the watermark says.
+
+With ``trigger(availableNow=True)`` the job drains the source and stops; the
+rows then equal the batch aggregate (J6) of all closed weeks.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aisle.functions.dates import day_boundaries
@@ -23,22 +27,53 @@ from aisle.params import DEFAULT, Params
 from aisle.session import shared_dir
 from aisle.sources import tpch_adapter as adapter
 
+OUT = ("customer_id long, sessions_first_7d long, avg_cart_adds double, avg_products_viewed double, "
+       "purchases_first_7d long, days_to_first_purchase int")
+STATE = "sessions long, adds long, views long, bought long, first_day int"
+
 
-def first_week_stream(events: DataFrame, customers: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    sessions = staging.stg_sessions(adapter.sessions_from_events(events))
+def first_week_stream(sessions: DataFrame, customers: DataFrame, pace: float = 1.0, lateness: str = "1 hour",
+                      p: Params = DEFAULT) -> DataFrame:
+    """Rows of ``OUT`` from a stream of sessions with ``event_time`` (the clock of
+    arrival). ``pace``: how much the event clock advances while session time
+    advances by one."""
     c = customers.select("customer_id", "signed_up_at")
     days = day_boundaries(F.col("signed_up_at"), F.col("session_started_at"))
-    # watermarks need a zoned TIMESTAMP; the session clock is zone-less
-    timed = sessions.withColumn("event_time", F.col("session_started_at").cast("timestamp"))
-    return (timed.withWatermark("event_time", "30 days")
-            .join(c, "customer_id", "inner")
-            .filter(days <= p.early_days)
-            .groupBy("customer_id").agg(
-                F.count(F.lit(1)).alias("sessions_first_7d"),
-                F.avg("num_cart_adds").alias("avg_cart_adds"),
-                F.avg("num_products_viewed").alias("avg_products_viewed"),
-                F.sum(F.when(F.col("purchased"), 1).otherwise(0)).cast("long").alias("purchases_first_7d"),
-                F.min(F.when(F.col("purchased"), days)).alias("days_to_first_purchase")))
+    left: Column = F.timestamp_diff("MICROSECOND", F.col("session_started_at"),
+                                    F.date_add("signed_up_at", p.early_days + 1).cast("timestamp_ntz"))
+    closes = F.unix_micros("event_time") + F.ceil(left * F.lit(pace))
+    timed = (sessions.withWatermark("event_time", lateness).join(c, "customer_id", "inner")
+             .withColumn("_day", days).filter(F.col("_day") <= p.early_days)
+             .select("customer_id", "event_time", "num_cart_adds", "num_products_viewed", "purchased", "_day",
+                     closes.alias("_closes")))
+
+    def week(key, batches, state):
+        n, adds, views, bought, first = state.get if state.exists else (0, 0, 0, 0, None)
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame({"customer_id": [key[0]], "sessions_first_7d": [n], "avg_cart_adds": [adds / n],
+                                "avg_products_viewed": [views / n], "purchases_first_7d": [bought],
+                                "days_to_first_purchase": pd.array([first], dtype="Int32")})
+            return
+        closes = 0
+        for pdf in batches:
+            n, adds, views = n + len(pdf), adds + int(pdf.num_cart_adds.sum()), views + int(pdf.num_products_viewed.sum())
+            days = pdf._day[pdf.purchased.fillna(False).astype(bool)]
+            bought += len(days)
+            if len(days):
+                first = int(days.min()) if first is None else min(first, int(days.min()))
+            closes = max(closes, int(pdf._closes.max()))
+        state.update((n, adds, views, bought, first))
+        state.setTimeoutTimestamp(max(closes // 1000, state.getCurrentWatermarkMs() + 1))
+
+    return timed.groupBy("customer_id").applyInPandasWithState(week, OUT, STATE, "append", "EventTimeTimeout")
+
+
+def event_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
+    """The events dataset as a stream, whether ``path`` is a file or a folder of
+    part files (a pattern that matches just this name serves both)."""
+    exact = f"{path[:-1]}[{path[-1]}]"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(exact)
 
 
 def run_first_week(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:
@@ -46,18 +81,12 @@ def run_first_week(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> Dat
     the sink table as a DataFrame."""
     t = adapter.Tables(spark, sf_dir)
     customers = staging.stg_customers(adapter.raw_customers(t))
-    schema = t["events"].schema
-    # a file stream source watches a folder; keep only the events files
-    events = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("pathGlobFilter", "events*.parquet").parquet(sf_dir))
+    events = event_stream(spark, t.path("events"), t["events"].schema)
+    sessions = adapter.sessions_from_events(events, clock=True).withColumnRenamed("session_start", "session_started_at")
     run = shared_dir(spark, f"stream-first-week-{uuid.uuid4().hex}")
-    out, ckpt = os.path.join(run, "table"), os.path.join(run, "checkpoint")
-
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (first_week_stream(events, customers, p).writeStream.outputMode("complete")
-         .option("checkpointLocation", ckpt).foreachBatch(write)
+    out = f"{run}/table"
+    q = (first_week_stream(sessions, customers, adapter.TIME_SQUEEZE, p=p).writeStream.outputMode("append")
+         .format("parquet").option("path", out).option("checkpointLocation", f"{run}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.schema(OUT).parquet(out)

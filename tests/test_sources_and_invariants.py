@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from aisle.plans.marts import Marts
@@ -18,6 +19,92 @@ def test_csv_round_trip(spark, small_dir):
     assert sorted(back.collect()) == sorted(raw.collect())
 
 
+def test_csv_with_the_raw_schemas(spark, tmp_path):
+    from aisle.sources.schemas import RAW
+    (tmp_path / "products.csv").write_text("product_id,product_name,category,brand,base_price,avg_rating,num_reviews\n"
+                                           "P1,Top One,Tops,BudgetStyle,67.12,4.34,102\nP2,,Shoes,,1,,\n")
+    got = files.read_csv(spark, str(tmp_path / "products.csv"), RAW["products"]).collect()
+    assert [tuple(r) for r in got] == [("P1", "Top One", "Tops", "BudgetStyle", 67.12, 4.34, 102),
+                                       ("P2", None, "Shoes", None, 1.0, None, None)]
+    assert files.read_csv(spark, str(tmp_path / "products.csv")).count() == 2
+    for name, schema in RAW.items():
+        assert spark.createDataFrame([], schema).columns == schema.names, name
+
+
+def test_overwrite_load_views_and_listing(spark, small_dir, tmp_path):
+    out = str(tmp_path / "t")
+    files.write_table(spark.range(5), out)
+    files.write_table(spark.range(3).withColumn("k", F.col("id") % 2), out, ["k"])
+    assert files.read_table(spark, out).count() == 3
+    m = Marts(spark, small_dir)
+    files.register_views({"v_customers": m.customers, "v_orders": m.orders})
+    assert spark.sql("SELECT count(*) FROM v_customers").first()[0] == m.customers.count()
+    assert {"v_customers", "v_orders"} <= {r.table_name for r in files.list_tables(spark).collect()}
+
+
+def test_marts_are_written_and_released(spark, small_dir, tmp_path):
+    m = Marts(spark, small_dir)
+    paths = m.materialise(str(tmp_path))
+    again = m.materialise(str(tmp_path))
+    assert paths == again
+    assert files.read_table(spark, paths["clusters"]).count() == m.clusters.count()
+    m.release()
+    assert not m.clusters.storageLevel.useMemory
+
+
+def test_checkpoint_folder_is_never_private_on_a_cluster():
+    from types import SimpleNamespace
+
+    from aisle.session import ensure_checkpoint_dir
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    for master in ("yarn", "spark://h:7077", "k8s://h", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+
+
+def test_every_order_is_read(spark, small_dir):
+    m = Marts(spark, small_dir)
+    assert m.orders.count() == m.t["orders"].count()
+    assert m.order_lines.count() == m.t["lineitem"].join(m.t["orders"], F.expr("l_orderkey = o_orderkey"), "left_semi").count()
+    assert m.orders.agg(F.max("ordered_at")).first()[0] < m.p.as_of
+
+
+def test_clusters_independent_of_partitioning(spark, small_dir):
+    old, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("3", "8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append(sorted(Marts(spark, small_dir, keep=False).clusters.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_facts_are_reduced_before_the_customer_exchange(spark, small_dir):
+    """With broadcast off, a partial aggregate stands below each shuffle of
+    sessions or events by customer."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        m = Marts(spark, small_dir, keep=False)
+        for df in (m.early_signals, m.journey):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            lines = plan.split("\n")
+            scans = [i for i, line in enumerate(lines) if "events.parquet" in line]
+            assert scans
+            for i in scans:
+                below = next(j for j in range(i, 0, -1) if "Exchange" in lines[j]) + 1
+                assert any("partial_" in x for x in lines[below:below + 2]), lines[below - 1:i]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_one_stats_join_no_subquery(spark, small_dir):
+    import __spark_entry__ as E
+    plan = E.queries()["cart_recommendations"](spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in plan
+
+
 def test_table_counts(spark, small_dir):
     m = Marts(spark, small_dir)
     got = {r.table_name: r.row_count for r in files.table_counts(
