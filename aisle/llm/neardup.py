@@ -17,10 +17,15 @@ the whole sequence is one shingle). Documents link when
    components are named.
 5. A bucket whose classes are still in different components may hide links
    between its members. Only there, members of different components are compared
-   by signature, in blocks of ``BLOCK`` rows (a hot bucket becomes many blocks),
-   and pairs whose estimate is at least ``LEAST_ESTIMATE`` (over five standard
-   deviations below 0.75) are confirmed on the full sets too.
-6. Components of all links, by alternating large and small stars.
+   by signature, in blocks of ``BLOCK`` rows (a hot bucket becomes many block
+   pairs). Components that some pair with an estimate of at least
+   ``LEAST_ESTIMATE`` (over five standard deviations below 0.75) joins form a
+   region; a block names each joined pair of components once.
+6. Inside a region, again in blocks, every such pair of members of different
+   components is tested on the full sets until its components are linked. Only
+   the links that join components leave the task, so what a group of copies
+   sends grows with its rows, not with its pairs.
+7. Components of all links, by alternating large and small stars.
 
 Nothing but counts reaches the driver, except where ``BROADCAST_IDS`` bounds a
 broadcast of ids by a count checked at run time; beyond it the same join is
@@ -47,7 +52,7 @@ SHINGLE = 5
 NEED, OF = 75, 100              # OF * intersection >= NEED * union
 BINS, BANDS = 128, 32
 ROWS = BINS // BANDS
-BLOCK = 512
+BLOCK = 256
 LEAST_ESTIMATE = 0.55
 BROADCAST_IDS = 500_000
 
@@ -176,55 +181,112 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def across_components(shared: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of classes that share a bucket, are in different
-    components, and may be similar by size and signature."""
-    label = labels.withColumnRenamed("node", "cid")
-    rows = shared.select("bucket", "cid").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    mixed = (rows.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-             .filter("_lo < _hi").select("bucket", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")))
-    rows = (rows.join(mixed, "bucket").join(classes.select("cid", "n", "sig"), "cid")
-            .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+def in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` with ``own`` (a block of about ``BLOCK`` rows of their ``key``),
+    repeated for every pair of blocks (``lo``, ``hi``) that theirs is in."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    return (rows.join(sizes, key).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .select("bucket", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
-                    "own", "cid", "comp", "n", "sig"))
-
-    def pairs(group):
-        own, cid, comp, n = (np.array(group[c], np.int64) for c in range(4))
-        sig = np.frombuffer(b"".join(group[4]), np.uint16).reshape(-1, BINS)
-        lo, hi = own.min(), own.max()
-        out_a, out_b = [], []
-        cross = group[5]
-        for i in np.flatnonzero(own == lo):
-            other = (own == hi) if cross else (np.arange(len(own)) > i)
-            ok = other & (comp != comp[i]) & (OF * np.minimum(n, n[i]) >= NEED * np.maximum(n, n[i]))
-            at = np.flatnonzero(ok)
-            if len(at):
-                at = at[(sig[at] == sig[i]).mean(axis=1) >= LEAST_ESTIMATE]
-                out_a.append(np.minimum(cid[at], cid[i]))
-                out_b.append(np.maximum(cid[at], cid[i]))
-        a = np.concatenate([np.zeros(0, np.int64), *out_a])
-        b = np.concatenate([np.zeros(0, np.int64), *out_b])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("blocks", "other"))
+
+
+def _groups(batches):
+    """Runs of rows with equal first three columns, as lists of columns."""
+    key, group = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[:3] != key:
+                if len(group) > 1:
+                    yield key[1] != key[2], list(zip(*group))
+                key, group = row[:3], []
+            group.append(row[3:])
+    if len(group) > 1:
+        yield key[1] != key[2], list(zip(*group))
+
+
+def _joins(cross: bool, own, label: np.ndarray, n: np.ndarray, sig: np.ndarray, test=None):
+    """Pairs of rows, of one block or across two, that join labels: candidates by
+    size and signature, best first, that pass ``test(row, rows)`` if it is given.
+    Labels are merged on the way, so every pair found joins two of them."""
+    own, label = np.array(own), label.copy()
+    first, second = own == own.min(), own == own.max()
+    for i in np.flatnonzero(first):
+        at = np.flatnonzero((second if cross else np.arange(len(own)) > i) & (label != label[i])
+                            & (OF * np.minimum(n, n[i]) >= NEED * np.maximum(n, n[i])))
+        if not len(at):
+            continue
+        like = (sig[at] == sig[i]).mean(axis=1)
+        order = np.argsort(-like, kind="stable")[:int((like >= LEAST_ESTIMATE).sum())]
+        at = at[order]
+        while len(at):
+            some, at = at[:32], at[32:]
+            for j in some if test is None else some[test(i, some)]:
+                if label[j] != label[i]:
+                    yield i, int(j)
+                    label[label == label[j]] = label[i]
+            at = at[label[at] != label[i]]
+
+
+def plausible(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of components that some bucket's members may link, from rows
+    (bucket, cid, comp) of buckets with several components."""
+    rows = in_blocks(mixed.join(classes.select("cid", "n", "sig"), "cid"), "bucket")
 
     def run(batches):
-        key, group = None, None
-        for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            for bucket, lo, hi, *row in zip(*cols):
-                if (bucket, lo, hi) != key:
-                    if group and len(group[0]) > 1:
-                        yield pairs(group)
-                    key, group = (bucket, lo, hi), [[], [], [], [], [], lo != hi]
-                for g, x in zip(group, row):
-                    g.append(x)
-        if group and len(group[0]) > 1:
-            yield pairs(group)
-
-    dealt = rows.repartition("bucket", "lo", "hi").sortWithinPartitions("bucket", "lo", "hi")
+        for cross, (own, comp, n, sig) in _groups(batches):
+            comp = np.array(comp, np.int64)
+            found = list(_joins(cross, own, comp, np.array(n), np.frombuffer(b"".join(sig), np.uint16).reshape(-1, BINS)))
+            a, b = comp[[i for i, _ in found]], comp[[j for _, j in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    dealt = (rows.select("bucket", "lo", "hi", "own", "comp", "n", "sig").repartition("bucket", "lo", "hi")
+             .sortWithinPartitions("bucket", "lo", "hi"))
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def hidden_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between classes (cid, comp, region) of different
+    components of a region; at least one between any two components that have
+    one inside the same blocks."""
+    members = kept(members)
+    side = F.broadcast(members.select("cid")) if members.count() <= BROADCAST_IDS else members.select("cid")
+    texts = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").join(side, "cid", "left_semi")
+    rows = in_blocks(members.join(classes.select("cid", "n", "sig"), "cid").join(texts, "cid"), "region")
+
+    def run(batches):
+        for cross, (own, comp, cid, n, sig, text) in _groups(batches):
+            sets, off = K.shingle_sets(K.texts_of(pa.array(text, pa.large_string())), SHINGLE)
+            size = np.diff(off)
+
+            def linked(i, at):
+                x = sets[off[i]:off[i + 1]]
+                y = np.concatenate([sets[off[j]:off[j + 1]] for j in at])
+                hit = x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y
+                both = np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(size[at])[:-1])))
+                return OF * both >= NEED * (len(x) + size[at] - both)
+
+            found = list(_joins(cross, own, np.array(comp, np.int64), np.array(n),
+                                np.frombuffer(b"".join(sig), np.uint16).reshape(-1, BINS), linked))
+            a, b = [cid[i] for i, _ in found], [cid[j] for _, j in found]
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    dealt = (rows.select("region", "lo", "hi", "own", "comp", "cid", "n", "sig", "text").repartition("region", "lo", "hi")
+             .sortWithinPartitions("region", "lo", "hi"))
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def across_components(shared: DataFrame, classes: DataFrame, links: DataFrame, docs: DataFrame) -> DataFrame:
+    """The links (a, b) that the stars of the buckets (bucket, cid) hide."""
+    label = components(links).withColumnRenamed("node", "cid")
+    rows = shared.select("bucket", "cid").join(label, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    several = (rows.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+               .filter("_lo < _hi").select("bucket"))
+    mixed = kept(rows.join(several, "bucket"))
+    regions = components(plausible(mixed, classes)).select(F.col("node").alias("comp"), F.col("comp").alias("region"))
+    members = mixed.select("cid", "comp").distinct().join(regions, "comp")
+    return hidden_links(members, classes, docs)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     sets = kept(sketched(docs))
@@ -238,8 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = (some.join(classes.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"]).filter("doc_id <> cid")
             .select(F.col("cid").alias("a"), F.col("doc_id").alias("b")))
     links = kept(confirmed(first.select("a", "b"), docs))
-    later = kept(across_components(shared, classes, components(links)))
-    links = links.unionByName(confirmed(later, docs))
+    links = links.unionByName(kept(across_components(shared, classes, links, docs)))
     # members of a class hang on it as leaves, so one labelling names every document
     names = components(links.unionByName(same))
     return (sets.join(names, sets["doc_id"] == names["node"], "left")

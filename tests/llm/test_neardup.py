@@ -85,17 +85,31 @@ def test_hidden_links_behind_a_star(spark, monkeypatch):
     assert got == brute(rows)[0]
 
 
-def test_pairs_in_blocks_find_all(spark, monkeypatch):
+def test_blocks_join_every_component(spark, monkeypatch):
+    """A group of one bucket in many blocks, no star: the joins alone connect it
+    as brute force does, and send no more rows than there are."""
     monkeypatch.setattr(neardup, "BLOCK", 4)
     rng = random.Random(3)
-    base = prose(rng, 300).split()
-    rows = [(i, " ".join(base[:-1] + [f"z{i}"])) for i in range(23)]
-    sets = neardup.sketched(frame(spark, rows))
-    classes = sets.selectExpr("doc_id AS cid", "n", "sig")
+    base = prose(rng, 200).split()
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.randint(1, 9)):
+            w[rng.randrange(200)] = f"z{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    docs = frame(spark, rows)
+    classes = neardup.sketched(docs).selectExpr("doc_id AS cid", "n", "sig")
     shared = classes.selectExpr("1L AS bucket", "cid")
-    none = spark.createDataFrame([], "node long, comp long")
-    got = {(r.a, r.b) for r in neardup.across_components(shared, classes, none).collect()}
-    assert got == {(a, b) for b in range(23) for a in range(b)}
+    none = spark.createDataFrame([], "a long, b long")
+    links = neardup.across_components(shared, classes, none, docs)
+    names = {r.node: r.comp for r in neardup.components(links).collect()}
+    want = brute(rows)[0]
+    assert {d: names.get(d, d) for d in want} == want and len(set(want.values())) > 1
+    sets = {d: shingles(t) for d, t in rows}
+    for r in links.collect():
+        x, y = sets[r.a], sets[r.b]
+        assert 100 * len(x & y) >= 75 * len(x | y)
+    assert neardup.plausible(shared.withColumn("comp", shared.cid), classes).count() <= 40 * 10
 
 
 def test_null_ids_shared_ids_and_filter(spark, empty_docs):
