@@ -47,7 +47,7 @@ REACH = 3.0                                   # interquartile ranges
 #: statistic -> (value, least slack below the lower quartile, above the upper one)
 STATISTICS: dict[str, tuple[str, float | None, float | None]] = {
     "mean_word": ("try_divide(word_chars, n_words)", 2.5, 5.0),
-    "symbol_share": ("try_divide(n_symbols, n_words)", None, 0.75),
+    "symbol_share": ("try_divide(n_symbols, n_words)", None, 0.3),
     "dup_line_share": ("try_divide(n_dup_lines, n_lines)", None, 0.4),
     "upper_share": ("try_divide(n_upper, word_chars)", None, 0.4),
 }
