@@ -94,21 +94,16 @@ def affinity_lines(items: DataFrame) -> DataFrame:
 
 def product_affinity(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
     pairs = pair_counts(lines, "cluster_name", "order_id", "product_id", deduped=True)
-    totals = lines.groupBy("cluster_name", "product_id").agg(F.count(F.lit(1)).alias("total_orders"))
-    attrs = lines.groupBy("product_id").agg(F.first("category").alias("category"), F.first("brand").alias("brand"))
+    totals = lines.groupBy("cluster_name", "product_id").agg(
+        F.count(F.lit(1)).alias("total"), F.first("category").alias("category"), F.first("brand").alias("brand"))
     orders_in_cluster = lines.groupBy("cluster_name").agg(F.countDistinct("order_id").alias("cluster_orders"))
-    ta = totals.select("cluster_name", F.col("product_id").alias("item_a"), F.col("total_orders").alias("total_a"))
-    tb = totals.select("cluster_name", F.col("product_id").alias("item_b"), F.col("total_orders").alias("total_b"))
-    aa = attrs.select(F.col("product_id").alias("item_a"), F.col("category").alias("category_a"),
-                      F.col("brand").alias("brand_a"))
-    ab = attrs.select(F.col("product_id").alias("item_b"), F.col("category").alias("category_b"),
-                      F.col("brand").alias("brand_b"))
-    pt = pairs.join(ta, ["cluster_name", "item_a"], "left").join(tb, ["cluster_name", "item_b"], "left")
+    side = lambda x: totals.select("cluster_name", F.col("product_id").alias(f"item_{x}"), F.col("total").alias(f"total_{x}"),
+                                   F.col("category").alias(f"category_{x}"), F.col("brand").alias(f"brand_{x}"))
+    pt = (pairs.join(side("a"), ["cluster_name", "item_a"], "left").join(side("b"), ["cluster_name", "item_b"], "left"))
     # both per-cluster sums over pair rows in one aggregate: <= 6 rows, broadcast back
     sums = pt.groupBy("cluster_name").agg(F.sum("baskets").alias("_sum_both"), F.sum("total_b").alias("_sum_b"))
     m = (pt.join(F.broadcast(sums), "cluster_name", "left")
-         .join(F.broadcast(orders_in_cluster), "cluster_name", "left")
-         .join(aa, "item_a", "left").join(ab, "item_b", "left"))
+         .join(F.broadcast(orders_in_cluster), "cluster_name", "left"))
     both = F.col("baskets")
     m = m.select(
         "cluster_name", F.col("item_a").alias("product_a"), "category_a", "brand_a",

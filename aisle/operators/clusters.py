@@ -34,6 +34,7 @@ CLUSTERS = [
     (5, "Deal Hunters"),
     (6, "Casual Shoppers"),
 ]
+BIG = "decimal(38,0)"
 CLUSTER_NAMES = [n for _, n in CLUSTERS]
 
 
@@ -58,26 +59,33 @@ def _scaled(feature: str) -> Column:
     return F.col(feature).cast("long") * MONEY_SCALE
 
 
+def exact_moments(x: str) -> list[Column]:
+    """Aggregates: the sum and the sum of squares of an integer column."""
+    v = F.col(x).cast("decimal(19,0)")
+    return [F.sum(F.col(x)).cast(BIG).alias(f"{x}_sum"), F.sum((v * v).cast("decimal(28,0)")).cast(BIG).alias(f"{x}_sq")]
+
+
+def exact_std(x: str, count: Column) -> Column:
+    """The sample standard deviation from the moments: the root of the integer
+    variance n*q - s*s over n*(n-1); null for fewer than two rows."""
+    n, s, q = count.cast("decimal(18,0)"), F.col(f"{x}_sum"), F.col(f"{x}_sq")
+    var = idiv((n * q).cast(BIG) - (s * s).cast(BIG), (n * (n - 1)).cast(BIG))
+    return F.when(count > 1, F.sqrt(var.cast("long").cast("double")))
+
+
 def behavioral_clusters(rfm: DataFrame, p: Params = DEFAULT) -> DataFrame:
     buyers = rfm.filter(F.col("frequency_orders") > 0)
     buyers = buyers.select("*", *[_scaled(c).alias(f"_x{i}") for i, (c, _, _) in enumerate(FEATURES)])
-    big = "decimal(38,0)"
-    sums = []
-    for i in range(len(FEATURES)):
-        x = F.col(f"_x{i}").cast(big)
-        sums += [F.sum(F.col(f"_x{i}")).cast(big).alias(f"_s{i}"), F.sum((x * x).cast("decimal(28,0)")).cast(big).alias(f"_q{i}")]
-    sums = buyers.agg(F.count(F.lit(1)).cast("long").alias("_n"), *sums)
-    n = F.col("_n").cast("decimal(18,0)")
-    # sample variance n*q - s*s over n*(n-1), as an integer; null for one buyer
-    stats = sums.select("_n", *[F.col(f"_s{i}").cast("long").alias(f"_s{i}") for i in range(len(FEATURES))], *[
-        F.when(F.col("_n") > 1, idiv((n * F.col(f"_q{i}")).cast(big) - (F.col(f"_s{i}") * F.col(f"_s{i}")).cast(big),
-                                     (n * (n - 1)).cast(big))).cast("long").alias(f"_v{i}") for i in range(len(FEATURES))])
+    xs = [f"_x{i}" for i in range(len(FEATURES))]
+    sums = buyers.agg(F.count(F.lit(1)).cast("long").alias("_n"), *[e for x in xs for e in exact_moments(x)])
+    stats = sums.select("_n", *[F.col(f"{x}_sum").cast("long").alias(f"{x}_sum") for x in xs],
+                        *[exact_std(x, F.col("_n")).alias(f"{x}_std") for x in xs])
     # one row by construction: the broadcast is bounded
     scored = buyers.join(F.broadcast(stats))
-    for i, (_, z, _) in enumerate(FEATURES):
-        std = F.sqrt(F.col(f"_v{i}").cast("double"))
-        away = (F.col(f"_x{i}") * F.col("_n") - F.col(f"_s{i}")).cast("double")
-        scored = scored.withColumn(z, F.when(F.col(f"_v{i}") > 0, away / (F.col("_n").cast("double") * std)))
+    for x, (_, z, _) in zip(xs, FEATURES):
+        std = F.col(f"{x}_std")
+        away = (F.col(x) * F.col("_n") - F.col(f"{x}_sum")).cast("double")
+        scored = scored.withColumn(z, F.when(std > 0, away / (F.col("_n").cast("double") * std)))
     conds = _cluster_rules(p)
     scored = scored.withColumn("cluster_id", ladder(list(zip(conds, [i for i, _ in CLUSTERS[:5]])), CLUSTERS[5][0]))
     names = F.array(*[F.lit(name) for name in CLUSTER_NAMES])

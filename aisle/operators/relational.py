@@ -5,6 +5,7 @@
 * ``explode_count``   unnest(generate_series(1, n)) chunk by chunk (H1).
 * ``pair_counts``     co-occurrence counts of item pairs per basket, a large
                       basket being many block pairs (C4/C5).
+* ``ordered_concat``  string aggregation in two levels (D11, D12).
 * ``with_group_total`` sum(x) over (partition by g) for a small, bounded
                       number of groups as groupBy + broadcast join (E2).
 * ``top_k_per_group`` row_number() <= k, which Spark plans with a map-side
@@ -132,6 +133,25 @@ def pair_counts(items: DataFrame, group: Sequence[str] | str, basket: str, item:
             .agg(F.sum(F.col("_na") * F.col("_nb")).alias("times"), F.count(F.lit(1)).alias("baskets")))
 
 
+# --------------------------------------------------------------------------
+# ordered string aggregation
+# --------------------------------------------------------------------------
+
+def ordered_concat(df: DataFrame, keys: Sequence[str] | str, element: str, order_by: Sequence[str],
+                   bucket: Column, separator: str, out: str) -> DataFrame:
+    """The elements of each key, joined by ``separator`` in the total order
+    ``order_by``; null elements are skipped (D11, D12). Two levels: rows meet per
+    (key, ``bucket``), a column that never falls as the order rises, and a key's
+    task sees one string per bucket."""
+    k = _cols(keys)
+
+    def joined(column: str, order: str) -> Column:
+        return F.expr(f"listagg({column}, '{separator}') WITHIN GROUP (ORDER BY {order})")
+
+    parts = df.withColumn("_bucket", bucket).groupBy(*k, "_bucket").agg(joined(element, ", ".join(order_by)).alias("_part"))
+    return parts.groupBy(*k).agg(joined("_part", "_bucket").alias(out))
+
+
 # --------------------------------------------------------------------------
 # partition totals for a bounded number of groups
 # --------------------------------------------------------------------------

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.dates import date_plus_days_ts, day_boundaries, month_boundaries, week_bucket
-from aisle.functions.exact import MONEY_SCALE, half_up_div, pct2, round_to
-from aisle.operators.relational import pair_counts, row_number_by, top_k_per_group
+from aisle.functions.exact import MONEY_SCALE, half_up_div, mean_to, pct2, round_to
+from aisle.operators.relational import ordered_concat, pair_counts, row_number_by
 from aisle.plans import oracle
 from aisle.plans.marts import Marts
 from aisle.plans.registry import query
@@ -184,33 +184,41 @@ def _(m: Marts) -> DataFrame:
         F.max(F.when(F.col("used_discount"), F.col("ordered_at"))).alias("last_discounted_order"))
 
 
+def _exact_std(q: str, s: str, n: str) -> str:
+    """Sample standard deviation of integer 1e-5 units from exact sums."""
+    return f"sqrt(CAST(CAST((CAST({n} AS HUGEINT) * {q} - {s} * {s}) // (CAST({n} AS HUGEINT) * ({n} - 1)) AS BIGINT) AS DOUBLE)) / 100000.0"
+
+
 @both("agg_global_stats", """
-SELECT count(*) AS buyers, """ + r2("avg(monetary_total)") + """ AS avg_monetary,
-       """ + r2("stddev_samp(monetary_total)") + """ AS std_monetary,
-       """ + r2("stddev_samp(frequency_orders)") + """ AS std_frequency, max(frequency_orders) AS max_frequency
-FROM rfm WHERE frequency_orders > 0""")
+SELECT n AS buyers, """ + oracle.exact_mean("s2", "n", 100000, 2) + """ AS avg_monetary,
+       """ + r2(_exact_std("q2", "s2", "n")) + """ AS std_monetary, """ + r2(_exact_std("q1", "s1", "n")) + """ AS std_frequency,
+       max_frequency
+FROM cl_sums CROSS JOIN (SELECT max(frequency_orders) AS max_frequency FROM cl_buyers)""")
 def _(m: Marts) -> DataFrame:
-    b = m.rfm.filter(F.col("frequency_orders") > 0)
-    return b.agg(F.count(F.lit(1)).alias("buyers"), round_to(F.avg("monetary_total"), 2).alias("avg_monetary"),
-                 round_to(F.stddev_samp("monetary_total"), 2).alias("std_monetary"),
-                 round_to(F.stddev_samp("frequency_orders"), 2).alias("std_frequency"),
-                 F.max("frequency_orders").alias("max_frequency"))
+    from aisle.operators.clusters import exact_moments, exact_std
+    b = m.rfm.filter(F.col("frequency_orders") > 0).select(
+        "frequency_orders", F.col("monetary_units").alias("_m"), (F.col("frequency_orders") * MONEY_SCALE).alias("_f"))
+    a = b.agg(F.count(F.lit(1)).alias("buyers"), F.max("frequency_orders").alias("max_frequency"),
+              *exact_moments("_m"), *exact_moments("_f"))
+    return a.select("buyers", mean_to(F.col("_m_sum"), F.col("buyers"), MONEY_SCALE, 2).alias("avg_monetary"),
+                    round_to(exact_std("_m", F.col("buyers")) / MONEY_SCALE, 2).alias("std_monetary"),
+                    round_to(exact_std("_f", F.col("buyers")) / MONEY_SCALE, 2).alias("std_frequency"), "max_frequency")
 
 
 @both("agg_string_ordered", """
 SELECT order_id, string_agg(category, ' → ' ORDER BY line_number, product_id) AS categories
 FROM order_lines GROUP BY order_id""")
 def _(m: Marts) -> DataFrame:
-    return m.order_lines.groupBy("order_id").agg(F.expr(
-        "listagg(category, ' → ') WITHIN GROUP (ORDER BY line_number, product_id)").alias("categories"))
+    return ordered_concat(m.order_lines, "order_id", "category", ["line_number", "product_id"],
+                          F.shiftright("line_number", 6), " → ", "categories")
 
 
 @both("agg_string_sorted", """
 SELECT order_id, string_agg(DISTINCT product_id, ', ' ORDER BY product_id) AS products
 FROM order_lines GROUP BY order_id""")
 def _(m: Marts) -> DataFrame:
-    return m.order_lines.groupBy("order_id").agg(
-        F.array_join(F.array_sort(F.collect_set("product_id")), ", ").alias("products"))
+    once = m.order_lines.select("order_id", "product_id").distinct()
+    return ordered_concat(once, "order_id", "product_id", ["product_id"], F.substring("product_id", 1, 2), ", ", "products")
 
 
 @both("agg_group_by_expr", """
@@ -300,9 +308,10 @@ def _(m: Marts) -> DataFrame:
 
 
 # ---- 2F sort / top-k, 2G set ----------------------------------------------------
-@both("sort_multi", "SELECT * FROM product_affinity ORDER BY cluster_name, times_bought_together DESC")
+@both("sort_multi", """
+SELECT * FROM product_affinity ORDER BY cluster_name, times_bought_together DESC, product_a, product_b""")
 def _(m: Marts) -> DataFrame:
-    return m.product_affinity.orderBy("cluster_name", F.col("times_bought_together").desc())
+    return m.product_affinity.orderBy("cluster_name", F.col("times_bought_together").desc(), "product_a", "product_b")
 
 
 @both("sort_top_k", """

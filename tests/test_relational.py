@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from aisle.operators.relational import explode_count, pair_counts, row_number_by
+from aisle.operators.relational import explode_count, ordered_concat, pair_counts, row_number_by
 
 
 def test_row_number_by_matches_window_on_hot_key(spark):
@@ -105,3 +105,12 @@ def test_pair_counts_of_a_huge_basket(spark):
     pairs = pair_counts(lines, "g", "o", "p", deduped=True)
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_ordered_concat_in_two_levels(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, 1, 2]), i, None if i % 7 == 0 else f"e{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, i int, e string").repartition(5)
+    got = {r.k: r.s for r in ordered_concat(df, "k", "e", ["i"], F.shiftright("i", 4), ", ", "s").collect()}
+    want = {k: ", ".join(e for kk, _, e in rows if kk == k and e) for k in (None, 1, 2)}
+    assert got == want

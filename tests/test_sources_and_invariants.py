@@ -156,3 +156,12 @@ def test_affinity_independent_of_partitioning(spark, small_dir):
         spark.conf.set("spark.sql.shuffle.partitions", old)
         spark.catalog.clearCache()
     assert a == b
+
+
+def test_profiles_by_key_list_and_by_key_table(spark, small_dir):
+    from aisle.operators.serving import customer_profile
+    m = Marts(spark, small_dir)
+    keys = [r[0] for r in m.ltv_v2.select("customer_id").orderBy("customer_id").limit(3).collect()]
+    by_list = customer_profile(m.ltv_v2, keys).collect()
+    by_table = customer_profile(m.ltv_v2, spark.createDataFrame([(k,) for k in keys + keys + [-1]], "customer_id long")).collect()
+    assert sorted(r.customer_id for r in by_list) == keys and sorted(by_list) == sorted(by_table)
