@@ -92,14 +92,20 @@ def affinity_lines(items: DataFrame) -> DataFrame:
     return basket_lines(it, "cluster_name", "order_id", "product_id", carry=["category", "brand"])
 
 
-def product_affinity(lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def affinity_pairs(lines: DataFrame) -> DataFrame:
+    """One row per (cluster, item_a < item_b) with both items' totals and
+    attributes; read twice by ``product_affinity``, so it is worth keeping."""
     pairs = pair_counts(lines, "cluster_name", "order_id", "product_id", deduped=True)
     totals = lines.groupBy("cluster_name", "product_id").agg(
         F.count(F.lit(1)).alias("total"), F.first("category").alias("category"), F.first("brand").alias("brand"))
-    orders_in_cluster = lines.groupBy("cluster_name").agg(F.countDistinct("order_id").alias("cluster_orders"))
     side = lambda x: totals.select("cluster_name", F.col("product_id").alias(f"item_{x}"), F.col("total").alias(f"total_{x}"),
                                    F.col("category").alias(f"category_{x}"), F.col("brand").alias(f"brand_{x}"))
-    pt = (pairs.join(side("a"), ["cluster_name", "item_a"], "left").join(side("b"), ["cluster_name", "item_b"], "left"))
+    return pairs.join(side("a"), ["cluster_name", "item_a"], "left").join(side("b"), ["cluster_name", "item_b"], "left")
+
+
+def product_affinity(pt: DataFrame, lines: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Support, confidence and lift from ``affinity_pairs`` and ``affinity_lines``."""
+    orders_in_cluster = lines.groupBy("cluster_name").agg(F.countDistinct("order_id").alias("cluster_orders"))
     # both per-cluster sums over pair rows in one aggregate: <= 6 rows, broadcast back
     sums = pt.groupBy("cluster_name").agg(F.sum("baskets").alias("_sum_both"), F.sum("total_b").alias("_sum_b"))
     m = (pt.join(F.broadcast(sums), "cluster_name", "left")

@@ -18,6 +18,8 @@ All are native expressions; none runs a job while it is built.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -120,17 +122,20 @@ def pair_counts(items: DataFrame, group: Sequence[str] | str, basket: str, item:
     lines = lines.select(*g, basket, item, "_cnt").filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
     sizes = (lines.groupBy(basket).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
              .select(basket, F.ceil(F.col("_n") / block).cast("int").alias("_blocks")))
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     cut = (lines.join(sizes, basket, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
-           .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int"))
-           .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))))
-    a = cut.select(*g, F.col(basket).alias("_basket"), F.col("_own").alias("_a"), F.col("_other").alias("_b"),
-                   F.col(item).alias("item_a"), F.col("_cnt").alias("_na"))
-    b = cut.select(F.col(basket).alias("_basket"), F.col("_other").alias("_a"), F.col("_own").alias("_b"),
-                   F.col(item).alias("item_b"), F.col("_cnt").alias("_nb"))
-    residual = F.col("item_a") != F.col("item_b") if ordered else F.col("item_a") < F.col("item_b")
-    return (a.join(b, ["_basket", "_a", "_b"]).filter(residual)
-            .groupBy(*g, "item_a", "item_b")
-            .agg(F.sum(F.col("_na") * F.col("_nb")).alias("times"), F.count(F.lit(1)).alias("baskets")))
+           .withColumn("_own", F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int")).withColumn("_other", other)
+           .select(*g, F.col(basket).alias("_basket"), F.least("_own", "_other").alias("_lo"),
+                   F.greatest("_own", "_other").alias("_hi"), "_own", F.col(item).alias("_item"), "_cnt"))
+    # both sides are the same relation with the same columns: one exchange serves both
+    a, b = cut.alias("a"), cut.alias("b")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in g]
+    same += [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("_basket", "_lo", "_hi")]
+    x, y = F.col("a._item"), F.col("b._item")
+    residual = ((x != y) if ordered else (x < y)) & ((F.col("a._lo") == F.col("a._hi")) | (F.col("a._own") != F.col("b._own")))
+    return (a.join(b, reduce(and_, same) & residual)
+            .groupBy(*[F.col(f"a.{c}").alias(c) for c in g], x.alias("item_a"), y.alias("item_b"))
+            .agg(F.sum(F.col("a._cnt") * F.col("b._cnt")).alias("times"), F.count(F.lit(1)).alias("baskets")))
 
 
 # --------------------------------------------------------------------------

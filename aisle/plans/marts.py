@@ -23,7 +23,7 @@ from aisle.sources import tpch_adapter as adapter
 class Marts:
     """``keep=True`` persists the derived marts that several queries read
     (the reference materialises them as tables): RFM, clusters, LTV, product
-    affinity and the basket lines that it reads six times. Raw facts are never
+    affinity, and the basket lines and pairs that it reads several times. Raw facts are never
     persisted, only re-scanned. A lost cached block is recomputed from lineage;
     ``release`` drops what this object keeps."""
 
@@ -139,7 +139,12 @@ class Marts:
     @cached_property
     def product_affinity(self) -> DataFrame:
         from aisle.operators.basket import product_affinity
-        return self._kept(product_affinity(self.affinity_lines, self.p))
+        return self._kept(product_affinity(self.affinity_pairs, self.affinity_lines, self.p))
+
+    @cached_property
+    def affinity_pairs(self) -> DataFrame:
+        from aisle.operators.basket import affinity_pairs
+        return self._kept(affinity_pairs(self.affinity_lines))
 
     @cached_property
     def affinity_lines(self) -> DataFrame:
