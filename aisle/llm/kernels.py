@@ -174,6 +174,16 @@ def shingle_sets(t: Texts, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int64)
 
 
+def shingle_sets_of(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of an array of any size, slice by slice."""
+    sets, sizes = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for _, t in slices(texts):
+        h, off = shingle_sets(t, k)
+        sets.append(h)
+        sizes.append(np.diff(off))
+    return np.concatenate(sets), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int64)
+
+
 def per_doc_sum(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(doc, weights=values, minlength=n).astype(np.int64)
 

@@ -144,7 +144,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 64):
                 part = b.slice(lo, 64)
-                sets, off = K.shingle_sets(K.texts_of(pa.concat_arrays([part.column(2), part.column(3)])), SHINGLE)
+                sets, off = K.shingle_sets_of(pa.concat_arrays([part.column(2), part.column(3)]), SHINGLE)
                 n, ok = part.num_rows, []
                 for i in range(n):
                     x, y = sets[off[i]:off[i + 1]], sets[off[n + i]:off[n + i + 1]]
@@ -255,7 +255,7 @@ def hidden_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> Dat
 
     def run(batches):
         for cross, (own, comp, cid, n, sig, text) in _groups(batches):
-            sets, off = K.shingle_sets(K.texts_of(pa.array(text, pa.large_string())), SHINGLE)
+            sets, off = K.shingle_sets_of(pa.array(text, pa.large_string()), SHINGLE)
             size = np.diff(off)
 
             def linked(i, at):
@@ -324,5 +324,20 @@ def op2_minhash_dedup(spark, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-# Components need iteration; tests hold them against brute force
-SQL = None
+# all pairs that share a shingle, and components by recursion: for small tables
+SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= {SHINGLE})
+  UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND {SHINGLE - 1})),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+          WHERE {OF} * n_both >= {NEED} * (p.n + q.n - n_both)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents
+          UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a)
+SELECT r.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id, r.doc_id = min(r.other) AS kept
+FROM reach r LEFT JOIN sizes s ON s.doc_id = r.doc_id GROUP BY r.doc_id"""

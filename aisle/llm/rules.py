@@ -195,5 +195,45 @@ def op9_adaptive_rules(spark, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-# The sketches' verdict is not SQL; tests hold it against brute force
-SQL = None
+def _fence_sql() -> tuple[str, str, str]:
+    """(values of the statistics, fence columns, conditions) for ``SQL``."""
+    values, cols, ok = [], [], []
+    for s, (x, below, above) in STATISTICS.items():
+        a, b = x.removeprefix("try_divide(").removesuffix(")").split(", ")
+        v = f"CASE WHEN {b} <> 0 THEN CAST({a} AS DOUBLE) / {b} END"
+        values.append(f"{{'stat': '{s}', 'v': {v}}}")
+        for side, slack, sign, q, cmp in (("lo", below, "-", "q1", ">="), ("hi", above, "+", "q3", "<=")):
+            if slack is not None:
+                cols.append(f"max({q} {sign} greatest((q3 - q1) * {REACH}::DOUBLE, {slack}::DOUBLE)) FILTER (stat = '{s}') AS {s}_{side}")
+                ok.append(f"coalesce({v} {cmp} {s}_{side}, true)")
+    return ", ".join(values), ", ".join(cols), " AND ".join(ok)
+
+
+_VALUES, _COLS, _OK = _fence_sql()
+SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT rid, i, array_to_string(w[i:i + 4], ' ') AS g
+          FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= {WINDOW})),
+twins AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM grams) WHERE n > 1),
+repeats AS (SELECT rid, count(DISTINCT i + j) AS n FROM twins, range(0, {WINDOW}) AS o(j) GROUP BY rid),
+lines AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+          FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+c AS (SELECT doc_id, lang, source, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(l.n_dup, 0) AS n_dup_lines,
+             coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n_lines, 0) AS n_lines,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+      FROM d LEFT JOIN lines l USING (rid) LEFT JOIN repeats r USING (rid)),
+x AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEAT_PCT} * n_words AS base_failed FROM c),
+v AS (SELECT lang, source, s.stat AS stat,
+             CASE WHEN s.v <= 0 THEN {ZERO_BUCKET} ELSE CAST(ceil(ln(s.v) / {math.log(GAMMA)!r}::DOUBLE) AS INTEGER) END AS b
+      FROM (SELECT lang, source, unnest([{_VALUES}]) AS s FROM x WHERE NOT base_failed) WHERE s.v IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, stat ORDER BY b) AS place,
+             count(*) OVER (PARTITION BY lang, source, stat) AS n FROM v),
+q AS (SELECT lang, source, stat, max(y) FILTER (place = ceil(n * 0.25)) AS q1, max(y) FILTER (place = ceil(n * 0.75)) AS q3
+      FROM (SELECT *, CASE WHEN b = {ZERO_BUCKET} THEN 0.0 ELSE pow({GAMMA!r}::DOUBLE, b) * {2 / (1 + GAMMA)!r}::DOUBLE END AS y FROM o)
+      GROUP BY lang, source, stat),
+f AS (SELECT lang AS f_lang, source AS f_source, {_COLS} FROM q GROUP BY lang, source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_OK} AS kept
+FROM x LEFT JOIN f ON x.lang IS NOT DISTINCT FROM f_lang AND x.source IS NOT DISTINCT FROM f_source"""

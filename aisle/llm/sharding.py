@@ -49,5 +49,21 @@ def op3_byte_shards(spark, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-# crc32 is a Spark function that DuckDB lacks; its values are tested against zlib
-SQL = None
+# DuckDB has no crc32: its table of 256 values, then a fold over the bytes
+SQL = """
+WITH RECURSIVE steps AS (
+  SELECT n, n AS c, 0 AS k FROM range(256) AS t(n)
+  UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+tbl AS (SELECT list(c ORDER BY n) AS t FROM steps WHERE k = 8),
+d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size,
+             xor(list_reduce([('0x' || x)::BIGINT for x in regexp_extract_all(hex(encode(coalesce(text, ''))), '..')],
+                             lambda a, b: xor(a >> 8, tbl.t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+      FROM documents, tbl),
+o AS (SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             (SELECT sum(size) FROM d) AS total FROM d),
+c AS (SELECT *, CAST(least(before * 16 // total, 15) AS INTEGER) AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM c"""

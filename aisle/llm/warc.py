@@ -34,7 +34,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisle.llm.store import kept, new_folder, new_name, open_folder, tasks_of
@@ -297,15 +297,36 @@ class _Item(tuple):
     __hash__ = None
 
 
+def numbered(history: DataFrame) -> DataFrame:
+    """The history with ``history_no``, from 1 over all ranges in order. The
+    ranges' counts are one row per range."""
+    before = Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    base = (history.groupBy("range_no").agg(F.count(F.lit(1)).alias("_n"))
+            .select("range_no", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")))
+    return history.join(base, "range_no").withColumn("history_no", F.col("_base") + F.col("pos") + 1).drop("_base")
+
+
 def op4_warc_history(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     folder = new_folder(spark, "warc")
     manifest = write_archives(pages, folder)
     total = manifest.agg(F.sum("records")).first()[0] or 0
-    history = merge_runs(kept(capture_runs(manifest, folder)), total=total)
-    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
-                          "url_key", "captured", "range_no", "pos")
-
-
-# DuckDB has no SHA-1 in base32; tests hold the rows against brute force
-SQL = None
+    history = kept(merge_runs(kept(capture_runs(manifest, folder)), total=total))
+    return numbered(history).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
+                                    "url_key", "captured", "history_no")
+
+
+_CHARS = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> {b}) & 31 AS INTEGER) + 1, 1)" for b in (15, 10, 5, 0))
+SQL = rf"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex, coalesce(url, '') AS url FROM pages),
+u AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS keeper,
+             regexp_extract(url, '^[a-zA-Z]+://([^/:?#]+)([^?#]*)([?][^#]*)?', ['host', 'path', 'query']) AS part FROM p),
+k AS (SELECT *, lower(array_to_string(list_reverse(string_split(regexp_replace(part.host, '^www[.]', ''), '.')), ',') || ')'
+                      || CASE WHEN part.path = '' THEN '/' ELSE part.path END || part.query) AS url_key,
+             strftime(TIMESTAMP '2024-01-01' + to_seconds(page_id), '%Y-%m-%dT%H:%M:%SZ') AS captured FROM u)
+SELECT page_id, strlen(html) AS payload_bytes,
+       array_to_string([{_CHARS} for v in [('0x' || substr(hex, 5 * i + 1, 5))::BIGINT for i in range(8)]], '') AS payload_digest,
+       CASE WHEN page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> keeper THEN keeper END AS refers_to, url_key, captured,
+       row_number() OVER (ORDER BY url_key, captured, page_id) AS history_no
+FROM k"""

@@ -158,3 +158,5 @@ def test_shingle_sets(monkeypatch, most):
         _, off = K.shingle_sets(t, 5)
         sizes += np.diff(off).tolist()
     assert sizes == [len(shingles(t)) for t in texts]
+    sets, off = K.shingle_sets_of(pa.array(texts), 5)
+    assert np.diff(off).tolist() == sizes and len(sets) == off[-1]

@@ -102,7 +102,8 @@ def test_warc_query(spark, table, edge_docs):
         want.append((p, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if refers is not None else "response", refers))
     order = lambda r: tuple((x is None, x) for x in r)
     assert sorted([tuple(r)[:5] for r in out], key=order) == sorted(want, key=order)
-    history = sorted(out, key=lambda r: (r.range_no, r.pos))
+    assert sorted(r.history_no for r in out) == list(range(1, len(rows) + 1))
+    history = sorted(out, key=lambda r: r.history_no)
     keys = [(r.url_key, r.captured, -1 if r.page_id is None else r.page_id) for r in history]
     assert keys == sorted(keys)
     assert "com,example,a)/p/0?q=0" in {r.url_key for r in out}
