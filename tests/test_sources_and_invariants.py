@@ -22,9 +22,9 @@ def test_csv_round_trip(spark, small_dir):
 def test_csv_with_the_raw_schemas(spark, tmp_path):
     from aisle.sources.schemas import RAW
     (tmp_path / "products.csv").write_text("product_id,product_name,category,brand,base_price,avg_rating,num_reviews\n"
-                                           "P1,Top One,Tops,BudgetStyle,67.12,4.34,102\nP2,,Shoes,,1,,\n")
+                                           "P1,Top One,Tops,PlainWear,67.12,4.34,102\nP2,,Shoes,,1,,\n")
     got = files.read_csv(spark, str(tmp_path / "products.csv"), RAW["products"]).collect()
-    assert [tuple(r) for r in got] == [("P1", "Top One", "Tops", "BudgetStyle", 67.12, 4.34, 102),
+    assert [tuple(r) for r in got] == [("P1", "Top One", "Tops", "PlainWear", 67.12, 4.34, 102),
                                        ("P2", None, "Shoes", None, 1.0, None, None)]
     assert files.read_csv(spark, str(tmp_path / "products.csv")).count() == 2
     for name, schema in RAW.items():
