@@ -71,8 +71,11 @@ def test_components_equal_brute_force(spark, table):
     assert len(set(comp.values())) < len(comp) - 60
 
 
-def test_hidden_links_behind_a_star(spark, monkeypatch):
-    """Members that link with each other but not with their buckets' smallest."""
+@pytest.mark.parametrize("ids", [0, neardup.BROADCAST_IDS])
+def test_hidden_links_behind_a_star(spark, monkeypatch, ids):
+    """Members that link with each other but not with their buckets' smallest;
+    with and without broadcast ids."""
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", ids)
     rng = random.Random(5)
     far = prose(rng, 400).split()
     rows = [(0, " ".join(far[:240] + prose(rng, 160).split()))]

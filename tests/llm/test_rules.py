@@ -77,6 +77,12 @@ def test_outliers_go_and_clean_documents_stay(spark):
     assert clean <= kept
 
 
+def test_fences_beyond_the_broadcast_bound(spark, edge_docs, monkeypatch):
+    want = sorted(r.doc_id for r in rules.filter_documents(edge_docs).collect())
+    monkeypatch.setattr(rules, "BROADCAST_GROUPS", 0)
+    assert sorted(r.doc_id for r in rules.filter_documents(edge_docs).collect()) == want
+
+
 def test_empty_table(spark, empty_docs):
     assert rules.filter_documents(empty_docs).count() == 0
 
