@@ -49,22 +49,21 @@ def running_totals(df: DataFrame, group: Sequence[str], bucket: str, order: Sequ
     """
     group = list(group)
     names = list(totals)
-    per = df.groupBy(*group, bucket).agg(
-        *[F.sum(v if isinstance(v, Column) else F.col(v)).alias(n) for n, v in totals.items()])
+    value = {n: v if isinstance(v, Column) else F.col(v) for n, v in totals.items()}
+    # one key for the join and the window, never null as a whole, so that both
+    # read the same exchange of the rows
+    key = lambda cols, b: F.struct(*[c.alias(f"k{i}") for i, c in enumerate(cols)], b.alias("b"))
+    per = df.groupBy(*group, bucket).agg(*[F.sum(v).alias(n) for n, v in value.items()])
     before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
     base = per.select(
-        *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(bucket).alias("_b"),
+        key([F.col(g) for g in group], F.col(bucket)).alias("_key_of"),
         *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_base_{n}") for n in names],
         *[F.sum(n).over(whole).alias(f"{n}_total") for n in names])
-    cond = df[bucket] == base["_b"]
-    for i, g in enumerate(group):
-        cond = cond & df[g].eqNullSafe(base[f"_g{i}"])
-    inside = Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = df.join(base, cond, "left")
+    rows = df.withColumn("_key_of_row", key([F.col(g) for g in group], F.col(bucket)))
+    local = rows.join(base, rows["_key_of_row"] == base["_key_of"], "left")
+    inside = Window.partitionBy("_key_of_row").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return local.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        *[(F.col(f"_base_{n}") + F.coalesce(
-            F.sum(v if isinstance(v, Column) else F.col(v)).over(inside), F.lit(0))).alias(n)
-          for n, v in totals.items()],
+        *[(F.col(f"_base_{n}") + F.coalesce(F.sum(v).over(inside), F.lit(0))).alias(n) for n, v in value.items()],
         *[F.col(f"{n}_total") for n in names])
