@@ -49,3 +49,14 @@ def test_folder_of_three_files_in_three_batches(spark, small_dir, tmp_path):
     assert len([p for p in q.recentProgress if p["numInputRows"]]) == 3
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0          # every week is closed
     assert key(rows(spark.read.parquet(out + "/t"))) == key(batch(m))
+
+
+def test_folder_of_files_in_no_order_of_time(spark, small_dir, tmp_path):
+    t = adapter.Tables(spark, small_dir)
+    for name in ("customer", "nation"):
+        t[name].write.parquet(str(tmp_path / f"{name}.parquet"))
+    for i in range(4):
+        (t["events"].filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i).coalesce(1)
+         .write.mode("append").parquet(str(tmp_path / "events.parquet")))
+    got = rows(first_week.run_first_week(spark, str(tmp_path)))
+    assert key(got) == key(batch(Marts(spark, small_dir)))
