@@ -23,6 +23,9 @@ token of its own. Texts are cut there, so that words repeat: the library encodes
 a word once, many new words in one call with newlines between them, and at most
 ``CACHE_WORDS`` frequent ones stay in memory. A text with other white space is cut
 only where the rule holds. The words' ids, joined, equal those of the whole text.
+All text is ordinary text: a literal ``<|endoftext|>`` is spelled out in several
+ids (the library's ``encode_special_tokens``; its default would give the one id
+of that added token), so that no document can forge the added token.
 
 Defined results: a null or empty text gives only the end id; a null ``doc_id``
 sorts first; rows with one ``doc_id`` are ordered by their text; an empty table
