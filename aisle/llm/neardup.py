@@ -250,7 +250,9 @@ def hidden_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> Dat
     one inside the same blocks."""
     members = kept(members)
     side = F.broadcast(members.select("cid")) if members.count() <= BROADCAST_IDS else members.select("cid")
-    texts = docs.select(F.col("doc_id").cast("long").alias("cid"), "text").join(side, "cid", "left_semi")
+    # a shared doc_id may have texts without words as well; they link with nothing
+    texts = (docs.select(F.col("doc_id").cast("long").alias("cid"), "text").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+             .join(side, "cid", "left_semi"))
     rows = in_blocks(members.join(classes.select("cid", "n", "sig"), "cid").join(texts, "cid"), "region")
 
     def run(batches):

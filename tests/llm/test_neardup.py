@@ -88,6 +88,25 @@ def test_hidden_links_behind_a_star(spark, monkeypatch, ids):
     assert got == brute(rows)[0]
 
 
+def test_hidden_links_of_ids_that_also_have_empty_texts(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 4)
+    rng = random.Random(3)
+    base = prose(rng, 200).split()
+    rows = []
+    for i in range(40):
+        w = list(base)
+        for _ in range(rng.randint(1, 9)):
+            w[rng.randrange(200)] = f"z{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    classes = neardup.sketched(frame(spark, rows)).selectExpr("doc_id AS cid", "n", "sig")
+    shared = classes.selectExpr("1L AS bucket", "cid")
+    empty = [(i, t) for i in range(0, 40, 2) for t in (None, "", " \n")]
+    links = neardup.across_components(shared, classes, spark.createDataFrame([], "a long, b long"), frame(spark, rows + empty))
+    names = {r.node: r.comp for r in neardup.components(links).collect()}
+    want = brute(rows)[0]
+    assert {d: names.get(d, d) for d in want} == want
+
+
 def test_blocks_join_every_component(spark, monkeypatch):
     """A group of one bucket in many blocks, no star: the joins alone connect it
     as brute force does, and send no more rows than there are."""
