@@ -9,7 +9,8 @@ J8 has two sources of items:
 
 J9 counts pairs of product families (category and ``product_id % 4``) over the
 expanded items with ``pair_counts`` and derives support, confidence and lift from
-exact integer counts; per-cluster totals come from a <= 6-row grouped table.
+exact integer counts; per-cluster totals come from a <= 6-row grouped table. Over
+``catalogue_items`` the same functions count pairs of real products.
 """
 
 from __future__ import annotations
@@ -85,6 +86,12 @@ def affinity_items(items: DataFrame) -> DataFrame:
         F.concat(F.lit("b"), family).alias("brand"))
 
 
+def catalogue_items(items: DataFrame) -> DataFrame:
+    """The same expanded items as their own products of the catalogue, unfolded."""
+    return (items.filter(F.col("cluster_name").isNotNull() & F.col("product_id").isNotNull())
+            .select("cluster_name", "order_id", "product_id", "category", "brand"))
+
+
 def affinity_lines(items: DataFrame) -> DataFrame:
     """One row per (cluster, order, product): what every branch of
     ``product_affinity`` reads, so it is worth keeping."""

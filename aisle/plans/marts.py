@@ -141,6 +141,12 @@ class Marts:
         from aisle.operators.basket import product_affinity
         return self._kept(product_affinity(self.affinity_pairs, self.affinity_lines, self.p))
 
+    @cached_property
+    def catalogue_affinity(self) -> DataFrame:
+        from aisle.operators.basket import affinity_lines, affinity_pairs, catalogue_items, product_affinity
+        lines = self._kept(affinity_lines(catalogue_items(self.basket_items)))
+        return product_affinity(self._kept(affinity_pairs(lines)), lines, self.p)
+
     @cached_property
     def affinity_pairs(self) -> DataFrame:
         from aisle.operators.basket import affinity_pairs

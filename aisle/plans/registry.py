@@ -192,6 +192,11 @@ def _(m: Marts) -> DataFrame:
     return m.product_affinity
 
 
+@query("catalogue_affinity")
+def _(m: Marts) -> DataFrame:
+    return m.catalogue_affinity
+
+
 @query("category_affinity")
 def _(m: Marts) -> DataFrame:
     from aisle.operators.basket import category_affinity

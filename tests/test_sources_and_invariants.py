@@ -165,3 +165,19 @@ def test_profiles_by_key_list_and_by_key_table(spark, small_dir):
     by_list = customer_profile(m.ltv_v2, keys).collect()
     by_table = customer_profile(m.ltv_v2, spark.createDataFrame([(k,) for k in keys + keys + [-1]], "customer_id long")).collect()
     assert sorted(r.customer_id for r in by_list) == keys and sorted(by_list) == sorted(by_table)
+
+
+def test_catalogue_affinity_pairs_real_products(spark, small_dir):
+    import __spark_entry__ as E
+    from compare import compare, duck
+    from aisle.operators.basket import affinity_lines, affinity_pairs, catalogue_items
+    m = Marts(spark, small_dir)
+    items = m.basket_items.filter("cluster_name IS NOT NULL AND product_id IS NOT NULL")
+    a, b = (items.select("cluster_name", "order_id", F.col("product_id").alias(x)) for x in "ab")
+    want = a.join(b, ["cluster_name", "order_id"]).filter("a < b").groupBy("cluster_name", "a", "b").agg(
+        F.count("*").alias("times"), F.countDistinct("order_id").alias("baskets"))
+    got = affinity_pairs(affinity_lines(catalogue_items(m.basket_items)))
+    keys = sorted(tuple(r) for r in got.select("cluster_name", "item_a", "item_b", "times", "baskets").collect())
+    assert keys == sorted(tuple(r) for r in want.collect()) and len({(x[0], x[1], x[2]) for x in keys}) > 276 * 6
+    name = "catalogue_affinity"
+    assert compare(name, E.queries()[name](spark, small_dir).toPandas(), duck(small_dir).execute(E.oracle_sql()[name]).df()) == "OK"
