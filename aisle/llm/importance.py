@@ -8,10 +8,9 @@ sum over its grams of ``log p_target - log p_raw`` (add-one smoothing). Adding
 Gumbel noise, keyed by the row, and taking the k largest draws k documents
 without replacement in proportion to their weights.
 
-k is the share of quality 1 among the sampled labelled documents that occur in
-the input (at most ``SHARE_ROWS`` of them) plus ``SLACK``, times the rows: a
-table that is already clean is kept almost whole. Documents tied with the k-th
-are kept too.
+k is the share of quality 1 among all labelled documents of the input, counted
+by a join, plus ``SLACK``, times the rows: a table that is already clean is kept
+almost whole. Documents tied with the k-th are kept too.
 
 Every task sends one count vector; they are summed by bucket, and the two
 vectors of ``BUCKETS`` numbers are broadcast. The k-th key is found by
@@ -41,7 +40,6 @@ from aisle.operators.prefix import bucket_by, cut_points
 BITS = 17
 BUCKETS = 1 << BITS
 TARGET_ROWS = 20_000
-SHARE_ROWS = 40_000
 SLACK = 0.005
 SEED = 6
 
@@ -56,17 +54,27 @@ def grams(t: K.Texts) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate((wdoc, wdoc[at]))
 
 
-def labelled(spark: SparkSession, labels: DataFrame) -> tuple[list[int], list[int], list[int]]:
-    """Ids of the target sample, and of good and bad labelled documents; at most
-    TARGET_ROWS + SHARE_ROWS in all."""
-    one = (labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-           .agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")))
+def by_document(labels: DataFrame) -> DataFrame:
+    """One row (doc_id, quality, toxic) per labelled document."""
+    return (labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+            .agg(F.min(F.coalesce("quality", F.lit(0))).alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic")))
+
+
+def target_sample(one: DataFrame) -> list[int]:
+    """Ids of at most TARGET_ROWS labelled clean documents."""
     order = [F.xxhash64("doc_id", F.lit(SEED)), F.col("doc_id")]
-    target = one.filter("quality = 1 AND toxic = 0").orderBy(*order).limit(TARGET_ROWS)
-    share = one.orderBy(*order).limit(SHARE_ROWS)
-    rows = share.collect()
-    return ([r["doc_id"] for r in target.select("doc_id").collect()],
-            [r["doc_id"] for r in rows if r["quality"] == 1], [r["doc_id"] for r in rows if r["quality"] != 1])
+    return [r["doc_id"] for r in one.filter("quality = 1 AND toxic = 0").orderBy(*order).limit(TARGET_ROWS).select("doc_id").collect()]
+
+
+def label_counts(docs: DataFrame, one: DataFrame) -> tuple[int, int]:
+    """Rows of ``docs`` that are labelled good, and bad; an id's rows are counted
+    before the join, so a repeated one is a single row in it."""
+    ids = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count(F.lit(1)).alias("n"))
+    good = F.col("quality") == 1
+    r = (ids.join(one.select("doc_id", "quality"), "doc_id")
+         .agg(F.sum(F.when(good, F.col("n")).otherwise(0)).alias("good"),
+              F.sum(F.when(good, 0).otherwise(F.col("n"))).alias("bad")).first())
+    return r["good"] or 0, r["bad"] or 0
 
 
 class Model:
@@ -78,35 +86,37 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast([np.sort(np.array(x, np.int64)) for x in labelled(spark, labels)])
+    one = by_document(labels)
+    good, bad = label_counts(docs, one)
+    sent = spark.sparkContext.broadcast(np.sort(np.array(target_sample(one), np.int64)))
 
     def run(batches):
-        target, good, bad = sent.value
+        target = sent.value
         raw, aim = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        n = np.zeros(3, np.int64)
+        n = 0
         for b in batches:
             null = b.column(0).is_null().to_numpy(zero_copy_only=False)
             ids = b.column(0).fill_null(0).to_numpy(zero_copy_only=False)
-            inside = [np.isin(ids, x) & ~null for x in (target, good, bad)]
-            n += (len(ids), int(inside[1].sum()), int(inside[2].sum()))
+            inside = np.isin(ids, target) & ~null
+            n += len(ids)
             for lo, t in K.slices(b.column(1)):
                 h, doc = grams(t)
                 raw += np.bincount(h, minlength=BUCKETS)
-                aim += np.bincount(h[inside[0][lo + doc]], minlength=BUCKETS)
+                aim += np.bincount(h[inside[lo + doc]], minlength=BUCKETS)
         at = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((at, [BUCKETS, BUCKETS + 1, BUCKETS + 2]))),
-             pa.array(np.concatenate((raw[at], n))), pa.array(np.concatenate((aim[at], [0, 0, 0])))],
+            [pa.array(np.concatenate((at, [BUCKETS]))), pa.array(np.concatenate((raw[at], [n]))),
+             pa.array(np.concatenate((aim[at], [0])))],
             names=["bucket", "raw", "aim"])
 
     counts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "bucket long, raw long, aim long")
               .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("aim").alias("aim")))
-    # BUCKETS + 3 rows by construction
+    # BUCKETS + 1 rows by construction
     found = counts.toArrow()
-    raw, aim = np.zeros(BUCKETS + 3), np.zeros(BUCKETS + 3)
+    raw, aim = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     at = found["bucket"].to_numpy().astype(np.int64)
     raw[at], aim[at] = found["raw"].to_numpy(), found["aim"].to_numpy()
-    rows, good, bad = (int(x) for x in raw[BUCKETS:])
+    rows = int(raw[BUCKETS])
     raw, aim = raw[:BUCKETS], aim[:BUCKETS]
     ratio = np.log((aim + 1) / (aim.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
     share = min(1.0, good / (good + bad) + SLACK) if good + bad else 1.0

@@ -58,6 +58,17 @@ def test_weights_equal_brute_force(spark, edge_docs):
     assert model.keep == math.ceil(len(rows) * min(1, good / (good + bad) + importance.SLACK))
 
 
+def test_share_counts_every_label_of_the_input(spark):
+    from aisle.llm.queries import share_code
+    share_code(spark)
+    labels = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5 == 0, 0).otherwise(1).alias("quality"),
+                                         F.lit(0).alias("toxic"))
+    ids = [i for i in range(0, 60, 5)] + [i for i in range(60) if i % 5] + [5, 5, None]
+    docs = spark.createDataFrame([(i, "some words here") for i in ids], "doc_id long, text string")
+    good, bad = sum(i is not None and i % 5 > 0 for i in ids), sum(i is not None and i % 5 == 0 for i in ids)
+    assert importance.fit(docs, labels).keep == math.ceil(len(ids) * (good / (good + bad) + importance.SLACK))
+
+
 def test_gumbel_noise_is_standard(spark):
     model = importance.Model(np.zeros(importance.BUCKETS), 0, 0)
     df = spark.range(100000).select(F.lit("").alias("text"), importance._noise(F.col("id"), F.lit("x")).alias("noise_key"))
