@@ -10,9 +10,11 @@ characters`` bits, and the language with the least wins.
 
 Learning uses text and non-null ``lang`` of documents whose
 ``crc32(doc_id as text) mod 3`` is not 1. The sample is bounded: per language
-the ``SAMPLE_ROWS`` rows with the smallest keyed hash of their text, rows of at
-most ``SAMPLE_CHARS`` characters first; of a longer one, taken only where those
-are too few, the first ``SAMPLE_CHARS``. Every text is then parsed whole.
+the distinct texts with a letter that have the smallest keyed hash, as many as
+fit into ``SAMPLE_ROWS * SAMPLE_CHARS`` characters; texts of at most
+``SAMPLE_CHARS`` come first, of a longer one, taken only where those are too
+few, the first ``SAMPLE_CHARS``. Copies count once, however many there are. A
+task sends no more than such a sample. Every text is then parsed whole.
 
 The samples (bounded by languages * rows * characters) are broadcast; each
 Python worker builds its automata once.
@@ -29,6 +31,7 @@ from __future__ import annotations
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,18 +126,45 @@ def _identifier(key: int, samples: dict[str, list[str]]) -> Identifier:
     return _built[key]
 
 
+def _least(t: pa.Table, room: int) -> pa.Table:
+    """Per language the distinct texts that come first, up to ``room`` characters."""
+    lang = t["lang"].combine_chunks().dictionary_encode().indices.to_numpy()
+    long, key, size = (t[c].to_numpy() for c in ("long", "key", "size"))
+    at = np.lexsort((key, long, lang))
+    lang, key = lang[at], key[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (lang[1:] != lang[:-1]) | (key[1:] != key[:-1])
+    at, lang = at[new], lang[new]
+    upto = np.cumsum(size[at])
+    start = np.searchsorted(lang, lang)
+    return t.take(at[upto - upto[start] + size[at][start] <= room])
+
+
 def learning_samples(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """At most ``rows`` texts of at most ``chars`` characters per language."""
+    """Distinct texts of at most ``chars`` characters, ``rows * chars`` in all per language."""
+    room = rows * chars
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
     able = (docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (part != 1))
-            .select("lang", F.char_length("text").alias("n"), F.substring("text", 1, chars).alias("text"),
-                    F.xxhash64(F.col("text"), F.lit(8)).alias("key"))
-            .filter("n > 0"))
-    first = Window.partitionBy("lang").orderBy((F.col("n") > chars), "key", "text")
-    # row_number <= k is cut map-side, so a hot language ships k rows per task
-    picked = able.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= rows)
+            .select("lang", (F.char_length("text") > chars).alias("long"), F.substring("text", 1, chars).alias("text"))
+            .filter(F.col("text").rlike(r"\p{L}"))
+            .select("lang", "long", F.xxhash64(F.col("text"), F.lit(8)).alias("key"),
+                    F.char_length("text").cast("long").alias("size"), "text"))
+
+    def run(batches):
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            held = _least(t if held is None else pa.concat_tables([held, t]), room)
+        if held is not None:
+            yield from held.combine_chunks().to_batches()
+
+    # a hot language or text ships at most ``room`` characters per task
+    least = able.mapInArrow(run, "lang string, long boolean, key long, size long, text string")
+    order = Window.partitionBy("lang").orderBy("long", "key").rowsBetween(Window.unboundedPreceding, 0)
+    picked = (least.dropDuplicates(["lang", "long", "key"]).withColumn("upto", F.sum("size").over(order))
+              .filter(F.col("upto") <= room))
     out: dict[str, list[str]] = {}
-    for r in picked.select("lang", "rank", "text").orderBy("lang", "rank").toLocalIterator():
+    for r in picked.select("lang", "upto", "text").orderBy("lang", "upto").toLocalIterator():
         out.setdefault(r["lang"], []).append(r["text"])
     return out
 

@@ -242,3 +242,19 @@ def test_held_out_accuracy(spark):
     got = language.op8_cross_parsing(spark, "/root/testdata/sf0.01").filter("held_out").join(docs, "doc_id")
     right = got.filter(F.col("lang") == F.col("lang_pred")).count()
     assert right / got.filter("lang IS NOT NULL").count() > 0.97
+
+
+def test_copies_do_not_fill_the_learning_sample(spark):
+    from aisle.llm.queries import share_code
+    share_code(spark)
+    rng = random.Random(9)
+    texts = [prose(rng, 30) for _ in range(200)]
+    ids = [i for i in range(20000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    one = spark.createDataFrame([(t,) for t in texts], "text string")
+    first = one.orderBy(F.xxhash64("text", F.lit(8))).first()["text"]
+    rows = [(d, t, "en") for d, t in zip(ids, [first] * 1000 + texts + ["12 !", "..."])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    learned = language.learning_samples(docs)["en"]
+    assert learned[0] == first and sorted(learned) == sorted(set(texts))      # all fit, each once
+    few = language.learning_samples(docs, rows=2, chars=1000)["en"]
+    assert few == learned[:len(few)] and 2000 - 1000 < sum(map(len, few)) <= 2000
