@@ -22,6 +22,8 @@ MODULES = {
     "op8_cross_parsing": "language",
     "op9_adaptive_rules": "rules",
     "op10_bit_planes": "tokens",
+    "op11_setm_collocations": "collocations",
+    "op12_factorization_machine": "toxicity",
 }
 
 
