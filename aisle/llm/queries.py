@@ -24,6 +24,7 @@ MODULES = {
     "op10_bit_planes": "tokens",
     "op11_setm_collocations": "collocations",
     "op12_factorization_machine": "toxicity",
+    "op13_rtree_negatives": "hard_negatives",
 }
 
 

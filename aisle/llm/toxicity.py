@@ -15,10 +15,11 @@ of weights can say.
 
 Fit. The learning rows are labelled documents whose crc32(doc_id as text) mod 5
 is not 0, at most ``CLASS_ROWS`` of each class by keyed hash of ``doc_id`` (a
-documented bound), weighted by the class's share of all learning labels. They are dealt into ``SHARDS`` shards; in each of ``ROUNDS`` rounds every shard runs
+documented bound), weighted by the class's share of all learning labels. They are
+dealt into ``SHARDS`` shards; in each of ``ROUNDS`` rounds every shard runs
 AdaGrad steps from the common model, with a lasso step that holds the weights of
-terms of either class at zero, and the means of the shards' models, over
-the shards that hold a term, are the next one. Terms of fewer than ``MIN_DOCS``
+terms of either class at zero, and the means of the shards' models, over the
+shards that hold a term, are the next one. Terms of fewer than ``MIN_DOCS``
 learning rows have no parameters. The driver holds the model alone.
 
 Scoring is map-side over slices of about 1 MB of text or one longer document,
