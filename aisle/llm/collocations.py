@@ -7,10 +7,11 @@ those into words ``[^\\x20\\x09]+``; all counts are per ``lang`` (null: ``und``)
   language: the items in order of (piece, position), with a gap where the next
   item is not adjacent, beside the block's distinct items and their counts. The
   relation of every length is a table in the shared folder.
-* **Group-count.** Blocks' counts are summed up by phrase; those found
-  ``MIN_COUNT`` times get an id. Words are keyed by themselves, longer phrases by
-  the ids of their first and last k - 1 words, so no hash stands for a phrase.
-* **Semi-join, then extend.** The ids go back to the blocks that hold the phrase;
+* **Group-count.** Blocks' counts are summed up by phrase, in a window that keeps
+  the blocks' rows; those of phrases found ``MIN_COUNT`` times stay, with an id. Words
+  are keyed by themselves, longer phrases by the ids of their first and last k - 1
+  words, so no hash stands for a phrase.
+* **Semi-join, then extend.** These rows go back to the blocks that hold the phrase;
   other items become gaps. Merging the sorted relation with itself one position
   on (both neighbours frequent) gives the relation of the next length. A phrase
   found often enough has only such parts, so nothing is lost.
@@ -36,7 +37,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisle.llm import kernels as K
@@ -47,6 +48,8 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 BLOCK_WORDS = 1 << 20
+#: bits of a block's number within its task, and of an item's within its block
+BLOCK_BITS, ITEM_BITS = 14, 27
 
 IS_BREAK = np.zeros(256, bool)
 IS_BREAK[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -117,7 +120,7 @@ def _block(number: int, lang: str, parts: list) -> pa.RecordBatch:
 def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The occurrences of all words, as blocks of one language each."""
     def run(batches):
-        first = TaskContext.get().partitionId() << 32
+        first = TaskContext.get().partitionId() << BLOCK_BITS
         made, held, size = 0, {}, {}
 
         def flush(langs):
@@ -125,6 +128,8 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             for lang in langs:
                 parts = held.pop(lang)
                 if size.pop(lang):
+                    if made >> BLOCK_BITS:
+                        raise ValueError("too many blocks in a task: read the texts in more partitions")
                     yield _block(first + made, lang, parts)
                     made += 1
 
@@ -170,17 +175,25 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def items(blocks: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per block and distinct item: the counts of the relation."""
+def frequent(blocks: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """Group-count and semi-join in one exchange: the (block, item) rows of the keys
+    found at least ``least`` times, with their count ``f`` and the key's ``id``, the
+    least of its places (block and item in one number)."""
     lists = [c for c in keys if c != "lang"] + ["times"]
-    return (blocks.select("block", "lang", F.posexplode(F.arrays_zip(*lists)).alias("item", "z"))
-            .select("block", "lang", "item", *[F.col(f"z.{c}").alias(c) for c in lists]))
+    rows = (blocks.select("block", *[c for c in keys if c == "lang"], F.posexplode(F.arrays_zip(*lists)).alias("item", "z"))
+            .withColumns({c: F.col(f"z.{c}") for c in lists}).drop("z"))
+    same = Window.partitionBy(*keys)
+    return (rows.withColumns({"f": F.sum("times").over(same), "id": F.min(place()).over(same)})
+            .filter(F.col("f") >= least).drop("times"))
 
 
-def frequent(blocks: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Items found at least ``least`` times, with an id: (keys, f, id)."""
-    totals = items(blocks, keys).groupBy(*keys).agg(F.sum("times").alias("f")).filter(F.col("f") >= least)
-    return kept(totals.withColumn("id", F.monotonically_increasing_id()))
+def place() -> Column:
+    return F.shiftleft(F.col("block"), ITEM_BITS).bitwiseOR(F.col("item").cast("long"))
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """The one row of each key that gave it its id."""
+    return rows.filter(F.col("id") == place())
 
 
 def longer_phrases(shorter: DataFrame, found: DataFrame) -> DataFrame:
@@ -225,15 +238,13 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
     folder = new_folder(docs.sparkSession, "collocations")
     blocks = written(word_blocks(docs, block_words), folder, "words")
     sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    keys = ["lang", "word"]
-    found = frequent(blocks, keys, min_count)
-    levels = [found.select("id", "lang", "f", F.array("word").alias("words"), F.array("f").alias("begins"), F.array("f").alias("ends"))]
+    found = written(frequent(blocks, ["lang", "word"], min_count), folder, "frequent1")
+    levels = [once(found).select("id", "lang", "f", F.array("word").alias("words"), F.array("f").alias("begins"), F.array("f").alias("ends"))]
     for k in range(2, longest + 1):
-        back = items(blocks, keys).join(found, keys).select(F.col("block").alias("within"), "item", "id")
+        back = found.select(F.col("block").alias("within"), "item", "id")
         blocks = written(next_blocks(blocks.select("block", "lang", "seq"), back), folder, f"grams{k}")
-        keys = ["head", "tail"]
-        found = frequent(blocks, keys, min_count)
-        levels.append(kept(longer_phrases(levels[-1], found)))
+        found = written(frequent(blocks, ["head", "tail"], min_count), folder, f"frequent{k}")
+        levels.append(kept(longer_phrases(levels[-1], once(found).select("head", "tail", "f", "id"))))
     rows = None
     for i, phrases in enumerate(levels[1:], 1):
         rest = uncovered(phrases, levels[i + 1] if i + 1 < len(levels) else None)

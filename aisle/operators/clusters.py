@@ -2,8 +2,8 @@
 
 Buyers only. Each feature is standardised with the global mean and sample
 standard deviation of the buyers. The moments are sums of integers (features in
-units of 1e-5), so they are the same bits for every partitioning; they are one
-row, joined once by broadcast. A first-match ladder over the unrounded z-scores
+units of 1e-5) in limbs that cannot overflow, so they are the same bits for every
+partitioning and right for heavy tails; they are one row, joined once by broadcast. A first-match ladder over the unrounded z-scores
 assigns one of six clusters; only the reported scores are rounded to 2 decimals.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aisle.functions.exact import MONEY_SCALE, half_up_div, idiv, mean_to, round_to
+from aisle.functions.exact import MONEY_SCALE, half_up_div, mean_to, moments, round_to, with_sample_std
 from aisle.functions.rules import ladder
 from aisle.params import DEFAULT, Params
 
@@ -34,7 +34,6 @@ CLUSTERS = [
     (5, "Deal Hunters"),
     (6, "Casual Shoppers"),
 ]
-BIG = "decimal(38,0)"
 CLUSTER_NAMES = [n for _, n in CLUSTERS]
 
 
@@ -59,32 +58,17 @@ def _scaled(feature: str) -> Column:
     return F.col(feature).cast("long") * MONEY_SCALE
 
 
-def exact_moments(x: str) -> list[Column]:
-    """Aggregates: the sum and the sum of squares of an integer column."""
-    v = F.col(x).cast("decimal(19,0)")
-    return [F.sum(F.col(x)).cast(BIG).alias(f"{x}_sum"), F.sum((v * v).cast("decimal(28,0)")).cast(BIG).alias(f"{x}_sq")]
-
-
-def exact_std(x: str, count: Column) -> Column:
-    """The sample standard deviation from the moments: the root of the integer
-    variance n*q - s*s over n*(n-1); null for fewer than two rows."""
-    n, s, q = count.cast("decimal(18,0)"), F.col(f"{x}_sum"), F.col(f"{x}_sq")
-    var = idiv((n * q).cast(BIG) - (s * s).cast(BIG), (n * (n - 1)).cast(BIG))
-    return F.when(count > 1, F.sqrt(var.cast("long").cast("double")))
-
-
 def behavioral_clusters(rfm: DataFrame, p: Params = DEFAULT) -> DataFrame:
     buyers = rfm.filter(F.col("frequency_orders") > 0)
     buyers = buyers.select("*", *[_scaled(c).alias(f"_x{i}") for i, (c, _, _) in enumerate(FEATURES)])
     xs = [f"_x{i}" for i in range(len(FEATURES))]
-    sums = buyers.agg(F.count(F.lit(1)).cast("long").alias("_n"), *[e for x in xs for e in exact_moments(x)])
-    stats = sums.select("_n", *[F.col(f"{x}_sum").cast("long").alias(f"{x}_sum") for x in xs],
-                        *[exact_std(x, F.col("_n")).alias(f"{x}_std") for x in xs])
+    sums = buyers.agg(*[e for x in xs for e in moments(x)])
+    stats = with_sample_std(sums, *xs).select(F.col(f"{xs[0]}_n").alias("_n"), *[c for x in xs for c in (f"{x}_sum", f"{x}_std")])
     # one row by construction: the broadcast is bounded
     scored = buyers.join(F.broadcast(stats))
     for x, (_, z, _) in zip(xs, FEATURES):
         std = F.col(f"{x}_std")
-        away = (F.col(x) * F.col("_n") - F.col(f"{x}_sum")).cast("double")
+        away = (F.col(x).cast("decimal(19,0)") * F.col("_n").cast("decimal(18,0)") - F.col(f"{x}_sum")).cast("double")
         scored = scored.withColumn(z, F.when(std > 0, away / (F.col("_n").cast("double") * std)))
     conds = _cluster_rules(p)
     scored = scored.withColumn("cluster_id", ladder(list(zip(conds, [i for i, _ in CLUSTERS[:5]])), CLUSTERS[5][0]))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.dates import lit_date, month_boundaries, trunc_date
-from aisle.functions.exact import MONEY_SCALE, RATE_SCALE, cents_of, half_up_div, mean_to, money_to_units
+from aisle.functions.exact import MONEY_SCALE, RATE_SCALE, cents_of, big_half_up_div, mean_to, money_to_units
 from aisle.params import DEFAULT, Params
 
 UNITS_TO_NANO = RATE_SCALE // MONEY_SCALE     # 1e-5 dollar units -> 1e-9 dollars
@@ -43,7 +43,7 @@ def _current_state(customers: DataFrame, orders: DataFrame, clusters: DataFrame,
 def cluster_velocity(state: DataFrame) -> DataFrame:
     """Average of (ltv / months active) per cluster, months active > 0."""
     m = F.col("months_active")
-    per = half_up_div(F.col("actual_ltv_units").cast("decimal(38,0)") * UNITS_TO_NANO, m.cast("decimal(38,0)"))
+    per = big_half_up_div(F.col("actual_ltv_units").cast("decimal(38,0)") * UNITS_TO_NANO, m.cast("decimal(38,0)"))
     return (state.filter(m > 0).groupBy("cluster_name")
             .agg(F.sum(per).alias("_v"), F.count(F.lit(1)).alias("_n"))
             .select("cluster_name",
@@ -85,13 +85,13 @@ def cluster_revenue_curve(customers: DataFrame, orders: DataFrame, clusters: Dat
                        "cluster_name", "months_since_signup")
               .agg(F.count(F.lit(1)).alias("orders"), F.sum("total_units").alias("revenue_units")))
     nano = F.lit(UNITS_TO_NANO).cast("decimal(38,0)")
-    aov = half_up_div(F.col("revenue_units").cast("decimal(38,0)") * nano, F.col("orders").cast("decimal(38,0)"))
+    aov = big_half_up_div(F.col("revenue_units").cast("decimal(38,0)") * nano, F.col("orders").cast("decimal(38,0)"))
     curve = cohort.groupBy("cluster_name", "months_since_signup").agg(
         F.count(F.lit(1)).alias("cohorts"),
         F.sum(aov).alias("_aov"),
         F.sum("orders").alias("_orders"),
         F.sum("revenue_units").alias("_rev"))
-    rev_nano = half_up_div(F.col("_rev").cast("decimal(38,0)") * nano, F.col("cohorts").cast("decimal(38,0)"))
+    rev_nano = big_half_up_div(F.col("_rev").cast("decimal(38,0)") * nano, F.col("cohorts").cast("decimal(38,0)"))
     return curve.select(
         "cluster_name", "months_since_signup",
         (F.col("_aov").cast("double") / (F.col("cohorts") * RATE_SCALE).cast("double")).alias("typical_order_value"),

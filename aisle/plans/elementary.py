@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.dates import date_plus_days_ts, day_boundaries, month_boundaries, week_bucket
-from aisle.functions.exact import MONEY_SCALE, half_up_div, mean_to, pct2, round_to
+from aisle.functions.exact import MONEY_SCALE, half_up_div, mean_to, moments, pct2, round_to, with_sample_std
 from aisle.operators.relational import ordered_concat, pair_counts, row_number_by
 from aisle.plans import oracle
 from aisle.plans.marts import Marts
@@ -186,7 +186,7 @@ def _(m: Marts) -> DataFrame:
 
 def _exact_std(q: str, s: str, n: str) -> str:
     """Sample standard deviation of integer 1e-5 units from exact sums."""
-    return f"sqrt(CAST(CAST((CAST({n} AS HUGEINT) * {q} - {s} * {s}) // (CAST({n} AS HUGEINT) * ({n} - 1)) AS BIGINT) AS DOUBLE)) / 100000.0"
+    return f"sqrt(CAST(CAST({n} AS HUGEINT) * {q} - {s} * {s} AS DOUBLE) / (CAST({n} AS DOUBLE) * ({n} - 1))) / 100000.0"
 
 
 @both("agg_global_stats", """
@@ -195,14 +195,12 @@ SELECT n AS buyers, """ + oracle.exact_mean("s2", "n", 100000, 2) + """ AS avg_m
        max_frequency
 FROM cl_sums CROSS JOIN (SELECT max(frequency_orders) AS max_frequency FROM cl_buyers)""")
 def _(m: Marts) -> DataFrame:
-    from aisle.operators.clusters import exact_moments, exact_std
     b = m.rfm.filter(F.col("frequency_orders") > 0).select(
         "frequency_orders", F.col("monetary_units").alias("_m"), (F.col("frequency_orders") * MONEY_SCALE).alias("_f"))
-    a = b.agg(F.count(F.lit(1)).alias("buyers"), F.max("frequency_orders").alias("max_frequency"),
-              *exact_moments("_m"), *exact_moments("_f"))
-    return a.select("buyers", mean_to(F.col("_m_sum"), F.col("buyers"), MONEY_SCALE, 2).alias("avg_monetary"),
-                    round_to(exact_std("_m", F.col("buyers")) / MONEY_SCALE, 2).alias("std_monetary"),
-                    round_to(exact_std("_f", F.col("buyers")) / MONEY_SCALE, 2).alias("std_frequency"), "max_frequency")
+    a = b.agg(F.count(F.lit(1)).alias("buyers"), F.max("frequency_orders").alias("max_frequency"), *moments("_m"), *moments("_f"))
+    return with_sample_std(a, "_m", "_f").select("buyers", mean_to(F.col("_m_sum"), F.col("buyers"), MONEY_SCALE, 2).alias("avg_monetary"),
+                    round_to(F.col("_m_std") / MONEY_SCALE, 2).alias("std_monetary"),
+                    round_to(F.col("_f_std") / MONEY_SCALE, 2).alias("std_frequency"), "max_frequency")
 
 
 @both("agg_string_ordered", """
