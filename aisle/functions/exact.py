@@ -54,22 +54,23 @@ def cents_of(units: Column) -> Column:
 
 def mean_to(units: Column, count: Column, scale: int, digits: int) -> Column:
     """The mean of integer units (``scale`` of them are 1), half-up to ``digits``
-    decimals, from exact sums; NULL over no rows."""
+    decimals, from exact sums; NULL over no rows. A mean of BIGINTs is one, so the
+    quotient is too, for means below 9e18 * scale / 10^digits."""
     num = (units.cast("decimal(38,0)") * (10 ** digits)).cast("decimal(38,0)")
     den = (count.cast("decimal(38,0)") * scale).cast("decimal(38,0)")
-    return F.when(den > 0, big_half_up_div(num, den).cast("double") / F.lit(float(10 ** digits)))
+    return F.when(den > 0, idiv(num * 2 + den, den * 2).cast("double") / F.lit(float(10 ** digits)))
 
 
 def pct2(num: Column, den: Column) -> Column:
     """round(100 * num / den, 2) on the exact ratio of two counts; NULL if den
-    is 0 or NULL."""
+    is 0 or NULL. A share is at most 1, so the quotient is a BIGINT."""
     n = num.cast("decimal(38,0)")
     d = den.cast("decimal(38,0)")
-    return F.when(d > 0, big_half_up_div(n * 10000, d).cast("double") / F.lit(100.0))
+    return F.when(d > 0, idiv(n * 20000 + d, d * 2).cast("double") / F.lit(100.0))
 
 
 def ratio2(num: Column, den: Column) -> Column:
-    """round(num / den, 2) on the exact ratio of two integers."""
+    """round(num / den, 2) on the exact ratio of two integers, of any size."""
     n = num.cast("decimal(38,0)")
     d = den.cast("decimal(38,0)")
     return F.when(d > 0, big_half_up_div(n * 100, d).cast("double") / F.lit(100.0))

@@ -3,25 +3,25 @@
 J8 has two sources of items:
 * ``expand_baskets``: one item per unit of num_items, categorised from the
   order value/size and assigned a catalogue product by keyed sampling
-  (rank = pmod(order*31 + item*17, products in category) + 1), a
-  deterministic, distributed stand-in for the reference's random pick;
+  (``keyed_rank``), a deterministic, distributed stand-in for a random pick;
 * ``enrich_lines``: real order lines with customer and cluster context.
 
-J9 counts pairs of product families (category and ``product_id % 4``) over the
-expanded items with ``pair_counts`` and derives support, confidence and lift from
-exact integer counts; per-cluster totals come from a <= 6-row grouped table. Over
-``catalogue_items`` the same functions count pairs of real products.
+J9 counts pairs of products over the expanded items with ``pair_counts`` and derives
+support, confidence and lift from exact integer counts; per-cluster totals come from
+a <= 6-row grouped table. Readers of single pairs or categories use
+``affinity_rollup``, whose size does not grow with the catalogue. ``family_items``
+rolls products up to families (category and ``product_id % 4``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.exact import pct2, ratio2
-from aisle.operators.relational import (basket_lines, explode_count, pair_counts, row_number_by,
-                                       with_group_total)
+from aisle.operators.relational import (basket_lines, distinct_counts, explode_count, pair_counts, row_number_by,
+                                       top_k_per_group, with_group_total)
 from aisle.params import DEFAULT, Params
 
 CATEGORIES = ["accessories", "bottoms", "dresses", "outerwear", "shoes", "tops"]
@@ -37,6 +37,22 @@ def ranked_catalogue(products: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ranked, sizes
 
 
+PICK_MODULUS = 1_000_003
+POPULARITY = 3          # a third power: the first tenth of a category has 46 % of its sales
+
+
+def keyed_rank(key: Column, item: Column, size: Column) -> Column:
+    """A rank in 1..size drawn by the integer key of (order, item): u, uniform in
+    [0, 1), to the power ``POPULARITY``, times the size. Sales concentrate on the
+    first ranks, as demand does, so pairs of products recur in a catalogue of any size."""
+    x = F.pmod(key * 7919 + item * 104729, F.lit(PICK_MODULUS))
+    u = F.pmod(x * x + x * 31, F.lit(PICK_MODULUS)).cast("double") / F.lit(float(PICK_MODULUS))
+    power = u
+    for _ in range(POPULARITY - 1):
+        power = power * u
+    return F.floor(power * size).cast("long") + 1
+
+
 def expand_baskets(orders: DataFrame, products: DataFrame, clusters: DataFrame,
                    p: Params = DEFAULT) -> DataFrame:
     cl = clusters.select("customer_id", "cluster_name", "persona_hidden")
@@ -53,7 +69,7 @@ def expand_baskets(orders: DataFrame, products: DataFrame, clusters: DataFrame,
     items = (items.withColumn("assigned_category", assigned)
              .join(F.broadcast(sizes), F.col("assigned_category") == sizes.category, "left")
              .drop("category")
-             .withColumn("pick", F.pmod(F.col("order_id") * 31 + item * 17, F.col("category_size")) + 1))
+             .withColumn("pick", keyed_rank(F.col("order_id"), item, F.col("category_size"))))
     cat = ranked.select(F.col("category").alias("_cat"), F.col("category_rank").alias("_rank"),
                         "product_id", "product_name", "category", "brand", "base_price")
     j = items.join(cat, (items.assigned_category == cat._cat) & (items.pick == cat._rank), "left")
@@ -77,21 +93,20 @@ FAMILIES = 4            # product families per category
 
 
 def affinity_items(items: DataFrame) -> DataFrame:
-    """Expanded items as (cluster_name, order_id, product_id, category, brand) of
-    their product family; items of unclustered customers or of a category
-    without products belong to no pair."""
-    family = F.pmod(F.col("product_id"), F.lit(FAMILIES)).cast("string")
-    return items.filter(F.col("cluster_name").isNotNull() & F.col("product_id").isNotNull()).select(
-        "cluster_name", "order_id", F.concat("category", F.lit("-"), family).alias("product_id"), "category",
-        F.concat(F.lit("b"), family).alias("brand"))
-
-
-def catalogue_items(items: DataFrame) -> DataFrame:
-    """The same expanded items as their own products of the catalogue, unfolded."""
+    """Expanded items as (cluster_name, order_id, product_id, category, brand);
+    items of unclustered customers or of a category without products belong to no
+    pair."""
     return (items.filter(F.col("cluster_name").isNotNull() & F.col("product_id").isNotNull())
             .select("cluster_name", "order_id", "product_id", "category", "brand"))
 
 
+def family_items(items: DataFrame) -> DataFrame:
+    """``affinity_items`` rolled up to product families."""
+    family = F.pmod(F.col("product_id"), F.lit(FAMILIES)).cast("string")
+    return affinity_items(items).withColumns({"product_id": F.concat("category", F.lit("-"), family),
+                                              "brand": F.concat(F.lit("b"), family)})
+
+
 def affinity_lines(items: DataFrame) -> DataFrame:
     """One row per (cluster, order, product): what every branch of
     ``product_affinity`` reads, so it is worth keeping."""
@@ -141,6 +156,28 @@ def product_affinity(pt: DataFrame, lines: DataFrame, p: Params = DEFAULT) -> Da
         text.alias("recommendation_text"))
 
 
+def affinity_rollup(affinity: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Pairs of products per (cluster, category_a, category_b): exact totals over the
+    strong pairs and the first ``top_pairs`` of them. At most 6 x 6 rows per cluster of
+    at most ``top_pairs`` pairs, whatever the catalogue; totals are partial aggregates
+    and a group ships at most ``top_pairs`` rows per task."""
+    keys = ["cluster_name", "category_a", "category_b"]
+    strong = F.col("recommendation_strength").isin(STRONG)
+    hundredths = lambda c: F.round(F.col(c) * 100).cast("long")
+    totals = affinity.groupBy(*keys).agg(
+        F.count(F.when(strong, 1)).alias("strong_pairs"),
+        F.sum(F.when(strong, hundredths("confidence_pct"))).alias("confidence_hundredths"),
+        F.sum(F.when(strong, hundredths("lift"))).alias("lift_hundredths"),
+        F.max(F.when(F.col("recommendation_strength") == STRONG[0], F.col("times_bought_together"))).alias("very_strong_times"))
+    first = top_k_per_group(affinity.filter(strong), keys,
+                            [F.col("times_bought_together").desc(), F.col("product_a"), F.col("product_b")],
+                            p.top_pairs, rank_col="pair_rank")
+    pair = F.struct("pair_rank", "product_a", "brand_a", "product_b", "brand_b", "times_bought_together",
+                    "confidence_pct", "lift", "recommendation_strength", "recommendation_text")
+    lists = first.groupBy(*keys).agg(F.sort_array(F.collect_list(pair)).alias("top_pairs"))
+    return totals.join(lists, keys, "left")
+
+
 def _category_purchases(orders: DataFrame, clusters: DataFrame) -> DataFrame:
     cl = clusters.select("customer_id", "cluster_name")
     return (orders.select("order_id", "customer_id", "total", "num_items").join(cl, "customer_id", "inner")
@@ -152,12 +189,10 @@ def category_affinity(orders: DataFrame, clusters: DataFrame, p: Params = DEFAUL
     """J10 (intent of the v1 model): each order pairs its value category with
     its size category; the self-join on order is 1:1, so it is a filter."""
     pp = _category_purchases(orders, clusters)
-    pairs = (pp.filter(F.col("secondary_category").isNotNull()
-                       & (F.col("primary_category") != F.col("secondary_category")))
-             .groupBy("cluster_name", F.col("primary_category").alias("category_a"),
-                      F.col("secondary_category").alias("category_b"))
-             .agg(F.countDistinct("order_id").alias("co_occurrence_count"),
-                  F.countDistinct("customer_id").alias("customers")))
+    both = (pp.filter(F.col("secondary_category").isNotNull() & (F.col("primary_category") != F.col("secondary_category")))
+            .withColumns({"category_a": F.col("primary_category"), "category_b": F.col("secondary_category")}))
+    pairs = distinct_counts(both, ["cluster_name", "category_a", "category_b"],
+                            {"co_occurrence_count": "order_id", "customers": "customer_id"})
     totals = pp.groupBy("cluster_name", F.col("primary_category").alias("category_a")).agg(
         F.count(F.lit(1)).alias("total_purchases"))
     m = with_group_total(pairs, "cluster_name", "co_occurrence_count", "_sum")

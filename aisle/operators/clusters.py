@@ -62,8 +62,11 @@ def behavioral_clusters(rfm: DataFrame, p: Params = DEFAULT) -> DataFrame:
     buyers = rfm.filter(F.col("frequency_orders") > 0)
     buyers = buyers.select("*", *[_scaled(c).alias(f"_x{i}") for i, (c, _, _) in enumerate(FEATURES)])
     xs = [f"_x{i}" for i in range(len(FEATURES))]
-    sums = buyers.agg(*[e for x in xs for e in moments(x)])
-    stats = with_sample_std(sums, *xs).select(F.col(f"{xs[0]}_n").alias("_n"), *[c for x in xs for c in (f"{x}_sum", f"{x}_std")])
+    # one aggregate for all features: a feature is a row, so its code is made once
+    tall = buyers.select(F.posexplode(F.array(*xs)).alias("_i", "_x"))
+    found = with_sample_std(tall.groupBy("_i").agg(*moments("_x")), "_x")
+    of = lambda i, c: F.max(F.when(F.col("_i") == i, F.col(c)))
+    stats = found.agg(F.max("_x_n").alias("_n"), *[of(i, f"_x_{k}").alias(f"{x}_{k}") for i, x in enumerate(xs) for k in ("sum", "std")])
     # one row by construction: the broadcast is bounded
     scored = buyers.join(F.broadcast(stats))
     for x, (_, z, _) in zip(xs, FEATURES):

@@ -5,6 +5,8 @@
 * ``explode_count``   unnest(generate_series(1, n)) chunk by chunk (H1).
 * ``pair_counts``     co-occurrence counts of item pairs per basket, a large
                       basket being many block pairs (C4/C5).
+* ``distinct_counts`` exact count(distinct) of several id columns (D5) from
+                      mergeable bitmaps, without a row per distinct column.
 * ``ordered_concat``  string aggregation in two levels (D11, D12).
 * ``with_group_total`` sum(x) over (partition by g) for a small, bounded
                       number of groups as groupBy + broadcast join (E2).
@@ -138,6 +140,30 @@ def pair_counts(items: DataFrame, group: Sequence[str] | str, basket: str, item:
             .agg(F.sum(F.col("a._cnt") * F.col("b._cnt")).alias("times"), F.count(F.lit(1)).alias("baskets")))
 
 
+# --------------------------------------------------------------------------
+# count(distinct) of several columns
+# --------------------------------------------------------------------------
+
+def distinct_counts(df: DataFrame, keys: Sequence[str] | str, columns: dict[str, str]) -> DataFrame:
+    """Per key ``count(distinct column)`` as ``name`` for every (name, integer column)
+    of ``columns``; null is no value. Each column is reduced to bitmaps of 32,768
+    consecutive ids per (key, block of ids), which merge map-side and need not meet
+    as values; a block's bits are counted, and the blocks' counts summed. Ids may be
+    any BIGINTs. No row is copied per column (as for several distincts in one
+    aggregate): every column has a scan of the keys and itself. A key whose columns
+    are all null counts 0."""
+    k = _cols(keys)
+    out = df.groupBy(*k).agg(F.count(F.lit(1)).alias("_rows"))
+    for name, column in columns.items():
+        bits = (df.select(*k, F.col(column).cast("long").alias("_v")).filter(F.col("_v").isNotNull())
+                .groupBy(*k, F.bitmap_bucket_number("_v").alias("_block"))
+                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_v")).alias("_bits")))
+        n = bits.groupBy(*[F.col(c).alias(f"_{c}") for c in k]).agg(F.sum(F.bitmap_count("_bits")).alias("_n"))
+        same = reduce(and_, [out[c].eqNullSafe(n[f"_{c}"]) for c in k])
+        out = out.join(n, same, "left").withColumn(name, F.coalesce("_n", F.lit(0)).cast("long")).drop("_n", *[f"_{c}" for c in k])
+    return out.drop("_rows")
+
+
 # --------------------------------------------------------------------------
 # ordered string aggregation
 # --------------------------------------------------------------------------

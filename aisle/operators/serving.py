@@ -159,22 +159,24 @@ def campaign_roi(tiers: DataFrame, p: Params = DEFAULT) -> DataFrame:
 
 
 # ---- J14 persona recommendations and strategy, J20 matrix ---------------------
-def strong_pairs(affinity: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Top ``top_pairs`` Strong / Very Strong pairs per cluster by times."""
-    d = affinity.filter(F.col("recommendation_strength").isin(STRONG))
-    return top_k_per_group(d, "cluster_name",
+def strong_pairs(rollup: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Top ``top_pairs`` Strong / Very Strong pairs per cluster by times, from the
+    first pairs of every pair of categories."""
+    pairs = (rollup.select("cluster_name", "category_a", "category_b", F.explode("top_pairs").alias("pair"))
+             .select("cluster_name", "category_a", "category_b", "pair.*").drop("pair_rank"))
+    return top_k_per_group(pairs, "cluster_name",
                            [F.col("times_bought_together").desc(), F.col("product_a"), F.col("product_b")],
                            p.top_pairs, rank_col="pair_rank")
 
 
-def persona_recommendations(affinity: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    return strong_pairs(affinity, p).select(
+def persona_recommendations(rollup: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    return strong_pairs(rollup, p).select(
         "cluster_name", "pair_rank", "category_a", "category_b", "times_bought_together", "confidence_pct",
         "lift", "recommendation_strength", "recommendation_text")
 
 
-def persona_strategy(affinity: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    top = strong_pairs(affinity, p)
+def persona_strategy(rollup: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    top = strong_pairs(rollup, p)
     combo = F.concat(F.col("category_a"), F.lit(" + "), F.col("category_b"))
     summary = top.groupBy("cluster_name").agg(
         F.min_by(combo, "pair_rank").alias("top_combo"),
@@ -186,8 +188,8 @@ def persona_strategy(affinity: DataFrame, p: Params = DEFAULT) -> DataFrame:
     comp = (top.groupBy("cluster_name", "category_b").agg(F.sum("times_bought_together").alias("_t"))
             .groupBy("cluster_name").agg(F.max_by("category_b", F.struct(F.col("_t"), F.col("category_b")))
                                          .alias("top_companion")))
-    dims = personas.persona_dim(affinity.sparkSession).select("persona", "cluster_name").join(
-        personas.strategy_dim(affinity.sparkSession), "persona", "inner")
+    dims = personas.persona_dim(rollup.sparkSession).select("persona", "cluster_name").join(
+        personas.strategy_dim(rollup.sparkSession), "persona", "inner")
     s = summary.join(comp, "cluster_name", "left").join(F.broadcast(dims), "cluster_name", "left")
     companion = F.coalesce(F.col("top_companion"), F.lit(personas.DEFAULT_COMPANION))
     return s.select(
@@ -197,13 +199,13 @@ def persona_strategy(affinity: DataFrame, p: Params = DEFAULT) -> DataFrame:
         "email_frequency", "upsell_timing")
 
 
-def affinity_matrix(affinity: DataFrame, p: Params = DEFAULT, categories: Sequence[str] | None = None) -> DataFrame:
+def affinity_matrix(rollup: DataFrame, p: Params = DEFAULT, categories: Sequence[str] | None = None) -> DataFrame:
     """Symmetric category x category confidence per cluster over the top
     strong pairs; a cell written by several pairs keeps the value of the
     lowest-ranked one (the last one a descending-times loop would write)."""
     from aisle.operators.basket import CATEGORIES
     cats = list(categories or CATEGORIES)
-    top = strong_pairs(affinity, p)
+    top = strong_pairs(rollup, p)
     both = (top.select("cluster_name", F.col("category_a").alias("row_category"),
                        F.col("category_b").alias("col_category"), "confidence_pct", "pair_rank")
             .unionByName(top.select("cluster_name", F.col("category_b").alias("row_category"),
@@ -251,62 +253,80 @@ def persona_dimension(cluster_stats: DataFrame) -> DataFrame:
     return dim.join(measured, "cluster_name", "left")
 
 
-def category_index(c: Column) -> Column:
-    from aisle.operators.basket import CATEGORIES
-    expr = F.lit(None).cast("int")
-    for i, name in enumerate(CATEGORIES):
-        expr = F.when(c == name, F.lit(i + 1)).otherwise(expr)
-    return expr
+def draw_ranks(rows: DataFrame, key: Sequence[str], size: str, k: int) -> DataFrame:
+    """``rows``, each ``least(k, size)`` times, with ``slot`` (from 0) and ``rank``: a
+    random subset of 1..size without repeats, every one about equally likely, that the
+    columns ``key`` determine. Draw i of a subset is uniform over the first
+    size - k + i + 1 numbers; one that was drawn before stands for the last of them."""
+    out = rows.withColumn("_k", F.least(F.lit(k), F.col(size)))
+    for i in range(k):
+        last = F.col(size) - F.col("_k") + i
+        drawn = F.pmod(keyed_hash(*[F.col(c) for c in key], F.lit(i)), last + 1)
+        again = F.lit(False)
+        for j in range(i):
+            again = again | (drawn == F.col(f"_p{j}"))
+        out = out.withColumn(f"_p{i}", F.when(F.col("_k") > i, F.when(again, last).otherwise(drawn)))
+    ranks = F.slice(F.array(*[f"_p{i}" for i in range(k)]), 1, F.col("_k").cast("int"))
+    out = out.select(*[F.col(f"`{c}`") for c in rows.columns], F.posexplode(ranks).alias("slot", "rank"))
+    return out.withColumn("rank", F.col("rank") + 1)
+
+
+def keyed_hash(*parts: Column) -> Column:
+    """32 bits of the MD5 of the parts, joined by "-"."""
+    text = F.concat_ws("-", *[c.cast("string") for c in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
+def sample_per_key(rows: DataFrame, key: str, item: str, k: int, seed: str = "") -> DataFrame:
+    """k random rows of each key (F4), with ``slot``: those of the least keyed hash.
+    Mergeable: a task ships at most k rows of a key."""
+    order = F.md5(F.concat_ws("-", F.lit(seed), F.col(key).cast("string"), F.col(item).cast("string")).cast("binary"))
+    return top_k_per_group(rows.withColumn("_order", order), key, [F.col("_order"), F.col(item)], k, rank_col="slot").withColumn(
+        "slot", F.col("slot") - 1).drop("_order")
 
 
 def _sample_products(recs: DataFrame, products: DataFrame, key: str, k: int) -> DataFrame:
-    """k distinct products of each recommended category, chosen from the
-    integer request key: consecutive catalogue ranks from a keyed start
-    (pmod(key*131 + category*17, size)), so every request gets its own
-    deterministic sample without a join against the whole category."""
+    """k distinct products of each recommended category, drawn for the integer
+    request key (``draw_ranks``) and looked up by their catalogue rank: no request
+    is joined with a whole category."""
     ranked, sizes = ranked_catalogue(products)
     r = recs.join(F.broadcast(sizes.withColumnRenamed("category", "recommended_category")),
                   "recommended_category", "inner")
-    start = F.pmod(F.col(key) * 131 + category_index(F.col("recommended_category")) * 17, F.col("category_size"))
-    r = (r.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.least(F.lit(k), F.col("category_size")) - 1)))
-         .withColumn("_rank", F.pmod(start + F.col("_slot"), F.col("category_size")) + 1))
+    r = draw_ranks(r, [key, "recommended_category"], "category_size", k)
     cat = ranked.select(F.col("category").alias("_cat"), F.col("category_rank").alias("_r"), "product_id",
                         "product_name", "brand", "base_price")
-    j = r.join(cat, (r.recommended_category == cat._cat) & (r._rank == cat._r), "inner")
-    return j.drop("_cat", "_r", "_rank", "category_size").withColumnRenamed("_slot", "product_slot")
+    j = r.join(cat, (r.recommended_category == cat._cat) & (r["rank"] == cat._r), "inner")
+    return j.drop("_cat", "_r", "rank", "category_size").withColumnRenamed("slot", "product_slot")
 
 
-def cart_recommendations(carts: DataFrame, affinity: DataFrame, products: DataFrame,
+def cart_recommendations(carts: DataFrame, rollup: DataFrame, products: DataFrame,
                          p: Params = DEFAULT) -> DataFrame:
-    # pre-aggregate the pair rows to (persona, category_a, category_b): at most
-    # 6 x 6 rows per persona, so a cart category joins to <= 6 rows instead of
-    # to every product pair; sums of integer hundredths keep the averages exact
-    a = (affinity.filter(F.col("recommendation_strength").isin(STRONG))
-         .groupBy(F.col("cluster_name").alias("persona"), "category_a", "category_b")
-         .agg(F.sum(F.round(F.col("confidence_pct") * 100)).alias("_conf"),
-              F.sum(F.round(F.col("lift") * 100)).alias("_lift"),
-              F.count(F.lit(1)).alias("_n")))
+    """Per cart the best companion categories, with products. ``pairs_with`` lists the
+    cart's categories behind a recommendation with their numbers of strong pairs, run
+    by run, so a cart's state does not grow with the pairs."""
+    a = rollup.filter("strong_pairs > 0").select(F.col("cluster_name").alias("persona"), "category_a", "category_b",
+                                                 "strong_pairs", "confidence_hundredths", "lift_hundredths")
     j = carts.join(a, (carts.persona == a.persona) & (carts.category == a.category_a), "inner").drop(a.persona)
+    pairs = (F.sum("strong_pairs") * 100).cast("double")
+    run = F.concat("category_a", F.lit(" x"), F.col("strong_pairs").cast("string"))
     g = j.groupBy("cart_id", "persona", F.col("category_b").alias("recommended_category")).agg(
-        (F.sum("_conf").cast("double") / (F.sum("_n") * 100).cast("double")).alias("avg_confidence"),
-        (F.sum("_lift").cast("double") / (F.sum("_n") * 100).cast("double")).alias("avg_lift"),
-        F.array_join(F.array_sort(F.flatten(F.collect_list(F.array_repeat("category_a", F.col("_n").cast("int"))))),
-                     ", ").alias("pairs_with"))
+        (F.sum("confidence_hundredths").cast("double") / pairs).alias("avg_confidence"),
+        (F.sum("lift_hundredths").cast("double") / pairs).alias("avg_lift"),
+        F.array_join(F.array_sort(F.collect_list(run)), ", ").alias("pairs_with"))
     top = top_k_per_group(g, "cart_id", [F.col("avg_confidence").desc(), F.col("recommended_category")],
                           p.cart_limit, rank_col="rec_rank")
     return _sample_products(top, products, "cart_id", p.products_per_category)
 
 
-def default_recommendations(affinity: DataFrame, products: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def default_recommendations(rollup: DataFrame, products: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """No cart: the persona's Very Strong categories by their best pair count."""
     from aisle.operators.clusters import CLUSTERS
     cid = F.lit(None).cast("int")
     for i, name in CLUSTERS:
         cid = F.when(F.col("cluster_name") == name, F.lit(i)).otherwise(cid)
-    cats = (affinity.filter(F.col("recommendation_strength") == "Very Strong")
-            .withColumn("cluster_id", cid)
+    cats = (rollup.filter("very_strong_times IS NOT NULL").withColumn("cluster_id", cid)
             .groupBy("cluster_name", "cluster_id", F.col("category_a").alias("recommended_category"))
-            .agg(F.max("times_bought_together").alias("best_times")))
+            .agg(F.max("very_strong_times").alias("best_times")))
     top = top_k_per_group(cats, "cluster_name", [F.col("best_times").desc(), F.col("recommended_category")],
                           p.cart_limit, rank_col="rec_rank")
     return _sample_products(top, products, "cluster_id", p.products_per_category)

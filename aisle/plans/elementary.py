@@ -7,16 +7,21 @@ operator family: ``join_`` (2C), ``agg_`` (2D), ``win_`` (2E), ``sort_``
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisle.functions import rules
 from aisle.functions.dates import date_plus_days_ts, day_boundaries, month_boundaries, week_bucket
 from aisle.functions.exact import MONEY_SCALE, half_up_div, mean_to, moments, pct2, round_to, with_sample_std
-from aisle.operators.relational import ordered_concat, pair_counts, row_number_by
+from aisle.operators.relational import distinct_counts, ordered_concat, pair_counts, row_number_by
 from aisle.plans import oracle
 from aisle.plans.marts import Marts
 from aisle.plans.registry import query
+from aisle.session import shared_dir
+from aisle.sources.files import query_views, scan_csv
+from aisle.sources.tables import TableStore, lookup, store_by_key
 
 r1, r2 = oracle.r1, oracle.r2
 
@@ -126,21 +131,14 @@ def _(m: Marts) -> DataFrame:
 
 
 @both("join_sample_k_per_key", """
-SELECT s.category, CAST(g.slot AS INTEGER) AS slot, c.product_id
-FROM cat_sizes s CROSS JOIN LATERAL (SELECT unnest(generate_series(0, least(3, s.category_size) - 1)) AS slot) g
-JOIN catalogue c ON c.category = s.category
- AND c.category_rank = (((""" + oracle.CATEGORY_CASE.format(c="s.category") + """) * 131) % s.category_size + g.slot)
-                       % s.category_size + 1""")
-def _(m: Marts) -> DataFrame:
-    from aisle.operators.basket import ranked_catalogue
-    from aisle.operators.serving import category_index
-    ranked, sizes = ranked_catalogue(m.products)
-    s = sizes.withColumn("slot", F.explode(F.sequence(F.lit(0), F.least(F.lit(3), F.col("category_size")) - 1)))
-    s = s.withColumn("_r", F.pmod(F.pmod(category_index(F.col("category")) * 131, F.col("category_size"))
-                                  + F.col("slot"), F.col("category_size")) + 1)
-    r = ranked.select(F.col("category").alias("_c"), "category_rank", "product_id")
-    return s.join(r, (s.category == r._c) & (s._r == r.category_rank), "inner").select("category", "slot",
-                                                                                     "product_id")
+SELECT category, CAST(slot - 1 AS INTEGER) AS slot, product_id
+FROM (SELECT category, product_id, row_number() OVER (PARTITION BY category ORDER BY
+             md5('-' || category || '-' || CAST(product_id AS VARCHAR)), product_id) AS slot
+      FROM stg_products)
+WHERE slot <= 3""")
+def _(m: Marts) -> DataFrame:
+    from aisle.operators.serving import sample_per_key
+    return sample_per_key(m.products, "category", "product_id", 3).select("category", "slot", "product_id")
 
 
 # ---- 2D aggregates ---------------------------------------------------------------
@@ -161,9 +159,9 @@ def _(m: Marts) -> DataFrame:
 SELECT cluster_name, count(DISTINCT order_id) AS orders, count(DISTINCT product_id) AS products, count(*) AS lines
 FROM line_items GROUP BY cluster_name""")
 def _(m: Marts) -> DataFrame:
-    return m.line_items.groupBy("cluster_name").agg(
-        F.countDistinct("order_id").alias("orders"), F.countDistinct("product_id").alias("products"),
-        F.count(F.lit(1)).alias("lines"))
+    per = distinct_counts(m.line_items, "cluster_name", {"orders": "order_id", "products": "product_id"})
+    lines = m.line_items.groupBy(F.col("cluster_name").alias("_c")).agg(F.count(F.lit(1)).alias("lines"))
+    return per.join(lines, per.cluster_name.eqNullSafe(lines["_c"])).drop("_c")
 
 
 @both("agg_conditional", """
@@ -212,10 +210,10 @@ def _(m: Marts) -> DataFrame:
 
 
 @both("agg_string_sorted", """
-SELECT order_id, string_agg(DISTINCT product_id, ', ' ORDER BY product_id) AS products
+SELECT order_id, string_agg(DISTINCT CAST(product_id AS VARCHAR), ', ' ORDER BY CAST(product_id AS VARCHAR)) AS products
 FROM order_lines GROUP BY order_id""")
 def _(m: Marts) -> DataFrame:
-    once = m.order_lines.select("order_id", "product_id").distinct()
+    once = m.order_lines.select("order_id", F.col("product_id").cast("string").alias("product_id")).distinct()
     return ordered_concat(once, "order_id", "product_id", ["product_id"], F.substring("product_id", 1, 2), ", ", "products")
 
 
@@ -499,3 +497,75 @@ def _(m: Marts) -> DataFrame:
     carts = (m.line_items.filter(F.col("cluster_name").isNotNull())
              .groupBy(F.col("order_id").alias("cart_id"), F.col("cluster_name").alias("persona")).agg(written.alias("cart")))
     return carts_from_strings(carts)
+
+
+# ---- 2A loads, stored tables, SQL with parameters -----------------------------------
+LOOKUP_IDS = [7, 42, 404, 1001, 999_999_999]
+
+
+@both("table_refresh", "SELECT * FROM stg_customers")
+def _(m: Marts) -> DataFrame:
+    """Load, swap in, refresh, and read what the pointer names."""
+    store = TableStore(m.spark, shared_dir(m.spark, f"store-{uuid.uuid4().hex}"))
+    store.refresh("customers", m.customers.limit(0))
+    return store.refresh("customers", m.customers)
+
+
+@both("stored_lookup", "SELECT * FROM (" + oracle.QUERIES["customer_profile"] + ") WHERE customer_id IN (7, 42, 404, 1001, 999999999)")
+def _(m: Marts) -> DataFrame:
+    """Keyed lookup on a bucketed, sorted mart with bloom filters."""
+    from aisle.operators.serving import customer_profile
+    name = f"profiles_{uuid.uuid4().hex}"
+    stored = store_by_key(customer_profile(m.ltv_v2).withColumn("recommended_actions", F.array_join("recommended_actions", " | ")),
+                          "customer_id", shared_dir(m.spark, name), name)
+    return lookup(stored, "customer_id", LOOKUP_IDS)
+
+
+# one product in 50 has a price that is no number, another one a count that is none
+_CSV_BAD = "product_id % 50 = 7", "product_id % 50 = 9"
+
+
+def _csv_scan(m: Marts) -> tuple[DataFrame, DataFrame]:
+    path = shared_dir(m.spark, f"products-{uuid.uuid4().hex}")
+    (m.products.select("product_id", "product_name", "category", "brand",
+                       F.expr(f"CASE WHEN {_CSV_BAD[0]} THEN 'n/a' ELSE cast(base_price AS string) END").alias("base_price"),
+                       F.expr(f"CASE WHEN {_CSV_BAD[1]} THEN 'many, say 7' ELSE cast(num_reviews AS string) END").alias("num_reviews"))
+     .write.option("header", True).csv(path))
+    return scan_csv(m.spark, path)
+
+
+@both("csv_scan", f"""
+SELECT product_id, product_name, category, brand, base_price, CAST(num_reviews AS BIGINT) AS num_reviews
+FROM stg_products WHERE NOT ({_CSV_BAD[0]} OR {_CSV_BAD[1]})""")
+def _(m: Marts) -> DataFrame:
+    """A1: types inferred from all rows of a CSV written from a table."""
+    return _csv_scan(m)[0]
+
+
+@both("csv_rejects", f"""
+SELECT CAST(product_id AS VARCHAR) AS product_id,
+       CASE WHEN {_CSV_BAD[0]} THEN 'base_price: ''n/a'' is no double' ELSE 'num_reviews: ''many, say 7'' is no bigint' END AS reason
+FROM stg_products WHERE {_CSV_BAD[0]} OR {_CSV_BAD[1]}""")
+def _(m: Marts) -> DataFrame:
+    return _csv_scan(m)[1].select("product_id", "reason")
+
+
+@both("sql_at_risk", """
+SELECT customer_id, cluster_name, risk_status, predicted_12m_ltv FROM ltv_v2
+WHERE risk_status IN ('High Value At Risk', 'Likely Churned') AND predicted_12m_ltv >= 1000""")
+def _(m: Marts) -> DataFrame:
+    """A view, a bound number and a bound IN list, one of whose values would
+    end a pasted string."""
+    return query_views(m.spark, """
+        SELECT customer_id, cluster_name, risk_status, predicted_12m_ltv FROM {ltv}
+        WHERE array_contains(:statuses, risk_status) AND predicted_12m_ltv >= :least""",
+                       {"ltv": m.ltv_v2}, statuses=["High Value At Risk", "Likely Churned", "x') OR ('1'='1"], least=1000.0)
+
+
+@both("sql_profile", """
+SELECT r.customer_id, r.rfm_segment, c.cluster_name FROM rfm r LEFT JOIN clusters c ON c.customer_id = r.customer_id
+WHERE r.customer_id IN (7, 42, 404, 1001, 999999999)""")
+def _(m: Marts) -> DataFrame:
+    return query_views(m.spark, """
+        SELECT r.customer_id, r.rfm_segment, c.cluster_name FROM {rfm} r LEFT JOIN {clusters} c ON c.customer_id = r.customer_id
+        WHERE array_contains(:ids, r.customer_id)""", {"rfm": m.rfm, "clusters": m.clusters}, ids=LOOKUP_IDS)

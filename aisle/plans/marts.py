@@ -3,54 +3,60 @@
     raw (adapter) -> staging -> rfm_v2 -> clusters -> {journey, early signals,
     ltv v1/v2, order items -> product affinity, category affinity} -> serving
 
-Each property is a DataFrame plan; nothing executes until an action. A
-property is built once per ``Marts`` object, so a query that needs the
-clusters twice reuses one plan (and Spark reuses its exchanges).
+A property is built once per ``Marts`` object. Staging relations and facts are
+plans; the derived marts are stored once when first read (see ``Marts``).
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from aisle.operators import staging
 from aisle.params import DEFAULT, Params
+from aisle.session import shared_dir
 from aisle.sources import tpch_adapter as adapter
+from aisle.sources.tables import TableStore, drop_folder
 
 
 class Marts:
-    """``keep=True`` persists the derived marts that several queries read
-    (the reference materialises them as tables): RFM, clusters, LTV, product
-    affinity, and the basket lines and pairs that it reads several times. Raw facts are never
-    persisted, only re-scanned. A lost cached block is recomputed from lineage;
-    ``release`` drops what this object keeps."""
+    """With ``keep`` the derived marts that several queries read are stored as tables
+    when first asked for (as the reference materialises them): RFM, clusters, LTV,
+    product affinity with its basket lines and pairs, and the rollup. Readers plan over
+    the stored table, not over all that made it, and a lost executor costs no rebuild.
+    Raw facts are never stored, only re-scanned. Every object has a folder of its own
+    below ``spark.checkpoint.dir``, so no query sees marts of other inputs;
+    ``release`` drops it."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, keep: bool = True):
         self.spark, self.sf_dir, self.p, self.keep = spark, sf_dir, params, keep
         self.t = adapter.Tables(spark, sf_dir)
-        self._held: list[DataFrame] = []
+        self._folder = f"marts-{uuid.uuid4().hex}"
+        self._stored = 0
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        if self.keep:
-            self._held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
-        return df
+        if not self.keep:
+            return df
+        self._stored += 1
+        path = f"{shared_dir(self.spark, self._folder)}/{self._stored}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
-        """Drop what this object has persisted."""
-        while self._held:
-            self._held.pop().unpersist()
-
-    def materialise(self, folder: str) -> dict[str, str]:
-        """Write the derived marts as tables, replacing earlier ones (A2, A6);
-        returns their paths by name."""
-        from aisle.sources.files import write_table
-        paths = {}
-        for name in ("rfm", "clusters", "ltv_v2", "product_affinity"):
-            paths[name] = f"{folder.rstrip('/')}/{name}"
-            write_table(getattr(self, name), paths[name])
-        return paths
+        """Drop what this object has stored."""
+        if self._stored:
+            drop_folder(self.spark, shared_dir(self.spark, self._folder))
+            self._stored = 0
+
+    def materialise(self, folder: str) -> TableStore:
+        """The derived marts as tables of a store, each swapped in when it is whole
+        (A2, A6)."""
+        store = TableStore(self.spark, folder)
+        for name in ("rfm", "clusters", "ltv_v2", "product_affinity", "affinity_rollup"):
+            store.refresh(name, getattr(self, name))
+        return store
 
     # ---- staging -----------------------------------------------------------
     @cached_property
@@ -142,9 +148,14 @@ class Marts:
         return self._kept(product_affinity(self.affinity_pairs, self.affinity_lines, self.p))
 
     @cached_property
-    def catalogue_affinity(self) -> DataFrame:
-        from aisle.operators.basket import affinity_lines, affinity_pairs, catalogue_items, product_affinity
-        lines = self._kept(affinity_lines(catalogue_items(self.basket_items)))
+    def affinity_rollup(self) -> DataFrame:
+        from aisle.operators.basket import affinity_rollup
+        return self._kept(affinity_rollup(self.product_affinity, self.p))
+
+    @cached_property
+    def family_affinity(self) -> DataFrame:
+        from aisle.operators.basket import affinity_lines, affinity_pairs, family_items, product_affinity
+        lines = self._kept(affinity_lines(family_items(self.basket_items)))
         return product_affinity(self._kept(affinity_pairs(lines)), lines, self.p)
 
     @cached_property

@@ -194,7 +194,19 @@ def _(m: Marts) -> DataFrame:
 
 @query("catalogue_affinity")
 def _(m: Marts) -> DataFrame:
-    return m.catalogue_affinity
+    return m.product_affinity
+
+
+@query("family_affinity")
+def _(m: Marts) -> DataFrame:
+    return m.family_affinity
+
+
+@query("affinity_rollup")
+def _(m: Marts) -> DataFrame:
+    return (m.affinity_rollup.withColumn("pair", F.explode_outer("top_pairs"))
+            .select("cluster_name", "category_a", "category_b", "strong_pairs", "confidence_hundredths", "lift_hundredths",
+                    "very_strong_times", "pair.pair_rank", "pair.product_a", "pair.product_b", "pair.times_bought_together"))
 
 
 @query("category_affinity")
@@ -212,7 +224,7 @@ def _(m: Marts) -> DataFrame:
 @query("affinity_matrix")
 def _(m: Marts) -> DataFrame:
     from aisle.operators.serving import affinity_matrix
-    return affinity_matrix(m.product_affinity, m.p)
+    return affinity_matrix(m.affinity_rollup, m.p)
 
 
 # ---- serving (J12-J22) -----------------------------------------------------------
@@ -275,22 +287,22 @@ def _(m: Marts) -> DataFrame:
 @query("persona_recommendations")
 def _(m: Marts) -> DataFrame:
     from aisle.operators.serving import persona_recommendations
-    return persona_recommendations(m.product_affinity, m.p)
+    return persona_recommendations(m.affinity_rollup, m.p)
 
 
 @query("persona_strategy")
 def _(m: Marts) -> DataFrame:
     from aisle.operators.serving import persona_strategy
-    return persona_strategy(m.product_affinity, m.p)
+    return persona_strategy(m.affinity_rollup, m.p)
 
 
 @query("cart_recommendations")
 def _(m: Marts) -> DataFrame:
     from aisle.operators.serving import cart_recommendations, carts_from_lines
-    return cart_recommendations(carts_from_lines(m.line_items), m.product_affinity, m.products, m.p)
+    return cart_recommendations(carts_from_lines(m.line_items), m.affinity_rollup, m.products, m.p)
 
 
 @query("default_recommendations")
 def _(m: Marts) -> DataFrame:
     from aisle.operators.serving import default_recommendations
-    return default_recommendations(m.product_affinity, m.products, m.p)
+    return default_recommendations(m.affinity_rollup, m.products, m.p)

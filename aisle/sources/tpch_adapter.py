@@ -25,7 +25,6 @@ TIME_SQUEEZE = 2                          # session time passes at half the even
 EARLY_VISIT_HOURS = 6                     # sessions start this long before the signup day
 CUSTOMERS_PER_USER = 10                   # see session_customer
 DISCOUNT_SHARE_PCT = 5                    # discount kept when > 5 % of subtotal
-PRODUCT_VARIANTS = 4                      # pseudo products per category for line items
 # part type -> retail category (six types, six categories)
 TYPE_TO_CATEGORY = [
     ("ECONOMY", "Tops"),
@@ -170,21 +169,19 @@ def raw_products(t: Tables) -> DataFrame:
 
 
 def raw_order_lines(t: Tables) -> DataFrame:
-    """Real order lines, each mapped to a pseudo product (category + part
-    variant), for basket analysis on actual baskets. Lines without an order or a
-    part do not count."""
+    """Real order lines with their part as the product, for basket analysis on
+    actual baskets. Lines without an order or a part do not count."""
     o = t["orders"].select("o_orderkey")
     li = t["lineitem"].select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
-    p = t["part"].select("p_partkey", "p_type")
+    p = t["part"].select("p_partkey", "p_type", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey, "inner").join(p, li.l_partkey == p.p_partkey, "inner")
     cat = F.lower(_category_of_type(F.col("p_type")))
-    variant = F.pmod(F.col("p_partkey"), F.lit(PRODUCT_VARIANTS)).cast("string")
     return j.select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_partkey").alias("part_id"),
-        F.concat(cat, F.lit("-"), variant).alias("product_id"),
+        F.col("l_partkey").alias("product_id"),
         cat.alias("category"),
-        F.concat(F.lit("b"), variant).alias("brand"),
+        F.col("p_brand").alias("brand"),
         (F.col("l_extendedprice") / F.lit(1000.0)).alias("line_value"),
     )
