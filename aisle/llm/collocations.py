@@ -56,9 +56,11 @@ IS_BREAK[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
 BETWEEN = IS_BREAK.copy()
 BETWEEN[[0x20, 0x09]] = True
 
-BLOCK = "block long, lang string, n long, seq array<int>"
-WORDS = f"{BLOCK}, word array<string>, times array<long>"
-GRAMS = f"{BLOCK}, head array<long>, tail array<long>, times array<long>"
+#: a block is one row with ``seq`` and the number ``n`` of its words, and one per distinct item
+BLOCK = "block long, lang string, n long, seq array<int>, item int"
+WORDS = f"{BLOCK}, word string, times long"
+GRAMS = f"{BLOCK}, head long, tail long, times long"
+BATCH_ROWS = 1 << 16
 
 
 def words(t: K.Texts) -> tuple[pa.Array, np.ndarray]:
@@ -102,19 +104,21 @@ def extended(seq: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return closed_up(out), keys // len(known), keys % len(known), times
 
 
-def _one(value, kind) -> pa.Array:
-    return pa.array([value], kind)
+def block_rows(number: int, lang: str, n: int, seq: np.ndarray, items: dict[str, pa.Array]) -> pa.Table:
+    """The rows of a block: its relation, then its items."""
+    m = len(items["times"])
+    first = lambda value, kind: pa.concat_arrays([pa.array([value], kind), pa.nulls(m, kind)])
+    later = lambda values: pa.concat_arrays([pa.nulls(1, values.type), values])
+    return pa.table({"block": pa.array(np.full(m + 1, number, np.int64)), "lang": pa.repeat(pa.scalar(lang, pa.string()), m + 1),
+                     "n": first(n, pa.int64()), "seq": first(seq, pa.list_(pa.int32())),
+                     "item": later(pa.array(np.arange(m, dtype=np.int32))), **{c: later(v) for c, v in items.items()}})
 
 
-def _block(number: int, lang: str, parts: list) -> pa.RecordBatch:
+def _block(number: int, lang: str, parts: list) -> pa.Table:
     found = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
     item = found.indices.to_numpy()
     seq = with_gaps(item, np.concatenate([p[1] for p in parts]))
-    return pa.RecordBatch.from_arrays(
-        [_one(number, pa.int64()), _one(lang, pa.string()), _one(len(item), pa.int64()), _one(seq, pa.list_(pa.int32())),
-         pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary.cast(pa.string())),
-         _one(np.bincount(item), pa.list_(pa.int64()))],
-        names=["block", "lang", "n", "seq", "word", "times"])
+    return block_rows(number, lang, len(item), seq, {"word": found.dictionary.cast(pa.string()), "times": pa.array(np.bincount(item))})
 
 
 def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -130,7 +134,7 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                 if size.pop(lang):
                     if made >> BLOCK_BITS:
                         raise ValueError("too many blocks in a task: read the texts in more partitions")
-                    yield _block(first + made, lang, parts)
+                    yield from _block(first + made, lang, parts).to_batches(BATCH_ROWS)
                     made += 1
 
         for b in batches:
@@ -154,18 +158,16 @@ def next_blocks(blocks: DataFrame, back: DataFrame) -> DataFrame:
     """Semi-join of the occurrences with the frequent items (``back``: within (a
     block), item, id), and their extension by one position."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("seq", pa.list_(pa.int32())),
-                            ("head", pa.list_(pa.int64())), ("tail", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+        longs = lambda x: pa.array(x, pa.int64())
         if not (left.num_rows and right.num_rows):
-            return schema.empty_table()
+            return block_rows(0, "", 0, [], {c: longs([]) for c in ("head", "tail", "times")}).slice(0, 0)
         seq = left["seq"].combine_chunks().flatten().to_numpy()
         ids = np.full(int(seq.max()) + 1, -1, np.int64)
         ids[right["item"].to_numpy()] = right["id"].to_numpy()
         seq, head, tail, times = extended(seq, ids >= 0)
-        if not len(head):
-            return schema.empty_table()
-        return pa.Table.from_arrays([left["block"], left["lang"], _one(0, pa.int64()), _one(seq, schema.field("seq").type),
-                                     *[_one(x, pa.list_(pa.int64())) for x in (ids[head], ids[tail], times)]], schema=schema)
+        out = block_rows(left["block"][0].as_py(), left["lang"][0].as_py(), 0, seq,
+                         {"head": longs(ids[head]), "tail": longs(ids[tail]), "times": longs(times)})
+        return out if len(head) else out.slice(0, 0)
 
     return blocks.groupBy("block").cogroup(back.groupBy("within")).applyInArrow(run, GRAMS)
 
@@ -179,9 +181,7 @@ def frequent(blocks: DataFrame, keys: list[str], least: int) -> DataFrame:
     """Group-count and semi-join in one exchange: the (block, item) rows of the keys
     found at least ``least`` times, with their count ``f`` and the key's ``id``, the
     least of its places (block and item in one number)."""
-    lists = [c for c in keys if c != "lang"] + ["times"]
-    rows = (blocks.select("block", *[c for c in keys if c == "lang"], F.posexplode(F.arrays_zip(*lists)).alias("item", "z"))
-            .withColumns({c: F.col(f"z.{c}") for c in lists}).drop("z"))
+    rows = blocks.filter("item IS NOT NULL").select("block", "item", *keys, "times")
     same = Window.partitionBy(*keys)
     return (rows.withColumns({"f": F.sum("times").over(same), "id": F.min(place()).over(same)})
             .filter(F.col("f") >= least).drop("times"))
@@ -237,12 +237,12 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
     phrase, a, l, r, n, score)."""
     folder = new_folder(docs.sparkSession, "collocations")
     blocks = written(word_blocks(docs, block_words), folder, "words")
-    sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    sizes = blocks.filter("seq IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     found = written(frequent(blocks, ["lang", "word"], min_count), folder, "frequent1")
     levels = [once(found).select("id", "lang", "f", F.array("word").alias("words"), F.array("f").alias("begins"), F.array("f").alias("ends"))]
     for k in range(2, longest + 1):
         back = found.select(F.col("block").alias("within"), "item", "id")
-        blocks = written(next_blocks(blocks.select("block", "lang", "seq"), back), folder, f"grams{k}")
+        blocks = written(next_blocks(blocks.filter("seq IS NOT NULL").select("block", "lang", "seq"), back), folder, f"grams{k}")
         found = written(frequent(blocks, ["head", "tail"], min_count), folder, f"frequent{k}")
         levels.append(kept(longer_phrases(levels[-1], once(found).select("head", "tail", "f", "id"))))
     rows = None
