@@ -25,4 +25,4 @@ def test_edge_texts(spark, edge_docs, table, name):
 
 
 def test_what_sql_expresses():
-    assert sorted(SQL) == ["op2_minhash_dedup", "op3_byte_shards", "op4_warc_history", "op5_curriculum_mix", "op9_adaptive_rules"]
+    assert sorted(SQL) == ["op11_setm_collocations", "op13_rtree_negatives", "op2_minhash_dedup", "op3_byte_shards", "op4_warc_history", "op5_curriculum_mix", "op9_adaptive_rules"]
