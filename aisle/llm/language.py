@@ -29,7 +29,6 @@ The score is ``1 - best / second best`` (1 if one language is learned).
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,6 @@ from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 48
 SAMPLE_CHARS = 2500
-LETTER = re.compile(r"[^\W\d_]")
 _PLAIN = bytes(b if b > 127 or bytes([b]).isalpha() else 32 for b in range(256))
 
 
@@ -105,7 +103,7 @@ class Identifier:
             self.models.append((lang, suffix_automaton(texts), math.log2(size + 2)))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.models or not text or not LETTER.search(text):
+        if not self.models or not text or not any(map(str.isalpha, text)):
             return "und", 0.0
         read = letters(text)
         bits = [phrases(root, read) * weight for _, root, weight in self.models]

@@ -258,3 +258,10 @@ def test_copies_do_not_fill_the_learning_sample(spark):
     assert learned[0] == first and sorted(learned) == sorted(set(texts))      # all fit, each once
     few = language.learning_samples(docs, rows=2, chars=1000)["en"]
     assert few == learned[:len(few)] and 2000 - 1000 < sum(map(len, few)) <= 2000
+
+
+@pytest.mark.parametrize("text", ["½", "² ³", "Ⅷ", "123 456", "٣", "_ - .", "", None])
+def test_numbers_are_no_letters(text):
+    model = language.Identifier({"en": ["the cat sat"], "de": ["die katze sitzt"]})
+    assert model.predict(text) == ("und", 0.0)
+    assert model.predict((text or "") + " the cat")[0] == "en"
