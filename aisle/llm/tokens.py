@@ -23,9 +23,9 @@ token of its own. Texts are cut there, so that words repeat: the library encodes
 a word once, many new words in one call with newlines between them, and at most
 ``CACHE_WORDS`` frequent ones stay in memory. A text with other white space is cut
 only where the rule holds. The words' ids, joined, equal those of the whole text.
-All text is ordinary text: a literal ``<|endoftext|>`` is spelled out in several
-ids (the library's ``encode_special_tokens``; its default would give the one id
-of that added token), so that no document can forge the added token.
+A text that holds the text of an added token (``<|endoftext|>``) goes through the
+library as a whole, whose default gives that token's one id; as it has no white
+space, no cut elsewhere can make one.
 
 Defined results: a null or empty text gives only the end id; a null ``doc_id``
 sorts first; rows with one ``doc_id`` are ordered by their text; an empty table
@@ -71,7 +71,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.newline = self._ids("\n")
         if len(self.newline) != 1:
             raise ValueError("the vocabulary has no token for a newline")
@@ -110,9 +111,11 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         flat: list[str] = []
-        ends = []
-        for t in texts:
-            if t:
+        ends, whole = [], {}
+        for i, t in enumerate(texts):
+            if t and self.added and self.added.search(t):
+                whole[i] = np.array(self._ids(t), "<u4").tobytes()
+            elif t:
                 flat += self.keys(t)
             ends.append(len(flat))
         got = list(map(self.cache.get, flat))
@@ -124,7 +127,10 @@ class Encoder:
             room = CACHE_WORDS - len(self.cache)
             if room > 0:
                 self.cache.update(here if len(here) <= room else dict(list(here.items())[:room]))
-        return [b"".join(got[i:j])[4:] for i, j in zip([0, *ends], ends)]
+        out = [b"".join(got[i:j])[4:] for i, j in zip([0, *ends], ends)]
+        for i, ids in whole.items():
+            out[i] = ids
+        return out
 
 
 _encoders: dict[str, Encoder] = {}

@@ -18,9 +18,7 @@ PAGES = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url
 
 def library():
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(tokens.vocabulary_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokens.vocabulary_path())
 
 
 def test_pieces_give_the_ids_of_the_whole_text():
@@ -28,7 +26,10 @@ def test_pieces_give_the_ids_of_the_whole_text():
     rng = random.Random(1)
     chars = ["a", "B", " ", "  ", "\n", "\t", "'s", "'", "é", "1", ".", " ", " ", "\x1c", "\x85", "日", "!", "\r"]
     texts = [t or "" for t in edge_texts()] + ["".join(rng.choice(chars) for _ in range(rng.randint(1, 40))) for _ in range(1500)]
+    end = "<|endoftext|>"
+    texts += [end, end + end, f"a{end}b", f"a {end} b\n{end}", f" {end}\n\n", "<|endoftext|", f"one\n{end[:-1]} {end}two  three", "<|end oftext|>"]
     got = enc.encode(texts)
+    assert np.frombuffer(enc.encode([end])[0], "<u4").tolist() == [50256]
     for t, g in zip(texts, got):
         assert np.frombuffer(g, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
 
