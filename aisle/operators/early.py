@@ -18,6 +18,19 @@ from aisle.operators import personas
 from aisle.params import DEFAULT, Params
 
 
+def first_orders(orders: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """Value, items and discount of each customer's "first order": the earliest one
+    ("true"), or the minima and any discount over all orders ("reference")."""
+    disc = F.when(F.col("used_discount"), 1).otherwise(0)
+    if p.first_order == "true":
+        earliest = F.min_by(F.struct("total", "num_items", disc.alias("disc")), F.struct("ordered_at", "order_id"))
+        return orders.groupBy("customer_id").agg(earliest.alias("_f")).select(
+            "customer_id", F.col("_f.total").alias("first_order_value"), F.col("_f.num_items").alias("first_order_items"),
+            F.col("_f.disc").alias("used_discount_first"))
+    return orders.groupBy("customer_id").agg(F.min("total").alias("first_order_value"), F.min("num_items").alias("first_order_items"),
+                                             F.max(disc).alias("used_discount_first"))
+
+
 def early_signals(customers: DataFrame, sessions: DataFrame, orders: DataFrame,
                   clusters: DataFrame, p: Params = DEFAULT) -> DataFrame:
     c = customers.select("customer_id", "signed_up_at", "acquisition_channel")
@@ -37,19 +50,7 @@ def early_signals(customers: DataFrame, sessions: DataFrame, orders: DataFrame,
               mean("_views", "_n_views").alias("avg_products_viewed"),
               F.sum("_bought").alias("purchases_first_7d"),
               F.min(F.when(F.col("_bought") > 0, days)).alias("days_to_first_purchase")))
-    disc = F.when(F.col("used_discount"), 1).otherwise(0)
-    if p.first_order == "true":
-        order_key = F.struct("ordered_at", "order_id")
-        fo = orders.groupBy("customer_id").agg(
-            F.min_by("total", order_key).alias("first_order_value"),
-            F.min_by("num_items", order_key).alias("first_order_items"),
-            F.min_by(disc, order_key).alias("used_discount_first"))
-    else:
-        # reference: "first order" is min(total), min(num_items) and any discount over all orders
-        fo = orders.groupBy("customer_id").agg(
-            F.min("total").alias("first_order_value"),
-            F.min("num_items").alias("first_order_items"),
-            F.max(disc).alias("used_discount_first"))
+    fo = first_orders(orders, p)
     cl = clusters.select("customer_id", "cluster_name", F.col("persona_hidden").alias("actual_persona"))
     j = c.join(es, "customer_id", "left").join(fo, "customer_id", "left").join(cl, "customer_id", "left")
     return j.select(

@@ -471,6 +471,15 @@ def _(m: Marts) -> DataFrame:
     return run_first_week(m.spark, m.sf_dir, m.p)
 
 
+@both("stream_early_scores", """
+SELECT s.* FROM early_scored s WHERE s.customer_id IN (SELECT customer_id FROM early_sessions)""")
+def _(m: Marts) -> DataFrame:
+    """K1 with J11: customers are scored in the stream when their first week closes."""
+    from aisle.streaming.first_week import replay
+    return replay(m.spark, m.sf_dir, m.p, scored=True).table.withColumns(
+        {c: F.array_join(c, " | ") for c in ("traits", "recommended_actions")})
+
+
 # ---- 2I names and lists ------------------------------------------------------------
 REQUESTS = ["VIP Loyalist", "vip_loyalists", "serial_returner", "Serial Returners", "Window Browers",
             "BIG TICKET BUYER", " deal hunters", "casual shopper", "nobody"]
