@@ -17,16 +17,23 @@ the whole sequence is one shingle). Documents link when
    components are named.
 5. A bucket whose classes are still in different components may hide links
    between its members. Only there, members of different components are compared
-   by signature, in blocks of ``BLOCK`` rows (a hot bucket becomes many block
-   pairs). Components that some pair with an estimate of at least
-   ``LEAST_ESTIMATE`` (over five standard deviations below 0.75) joins form a
-   region; a block names each joined pair of components once.
-6. Inside a region, again in blocks, every such pair of members of different
-   components is tested on the full sets until its components are linked. Only
-   the links that join components leave the task, so what a group of copies
-   sends grows with its rows, not with its pairs.
+   by signature, in blocks. A large component has blocks of its own, and a pair
+   of blocks of one component is never made: beside one strange document, a hot
+   bucket sends each member about twice. Components that some pair with an
+   estimate of at least ``LEAST_ESTIMATE`` (over five standard deviations below
+   0.75) joins form a region, and the members of such pairs are marked.
+6. Only marked members send their full sets, each hashed once where its text is
+   scanned; inside a region, again in blocks, every such pair of members of
+   different components is tested until its components are linked. Only the
+   links that join components leave the task, so what a group of copies sends
+   grows with its rows, not with its pairs.
 7. Components of all links, by alternating large and small stars.
 
+Blocks are bounded by rows (``BLOCK``) or by shingles (``BLOCK_SHINGLES``), so a task
+holds two blocks or one longer document. Two large components of one bucket
+without a link still meet block by block: each member is sent once per block of
+the other one.
+
 Nothing but counts reaches the driver, except where ``BROADCAST_IDS`` bounds a
 broadcast of ids by a count checked at run time; beyond it the same join is
 shuffled.
@@ -34,7 +41,7 @@ shuffled.
 Defined results: a document without words, or null, has 0 shingles and links
 with nothing; one with a null ``doc_id`` is compared with nothing, has component
 null and is kept; rows that share a ``doc_id`` are one document, with the links of
-all their texts, of which ``drop_near_duplicates`` keeps one row; an empty table
+all their texts (equal ones are reduced to one before any comparison), of which ``drop_near_duplicates`` keeps one row; an empty table
 gives no rows; other columns are ignored or passed through.
 """
 
@@ -42,7 +49,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisle.llm import kernels as K
@@ -52,9 +59,11 @@ SHINGLE = 5
 NEED, OF = 75, 100              # OF * intersection >= NEED * union
 BINS, BANDS = 128, 32
 ROWS = BINS // BANDS
-BLOCK = 256
+BLOCK = 4096                    # signatures: about 1 MB
+BLOCK_SHINGLES = 1 << 20        # full sets: 8 MB
 LEAST_ESTIMATE = 0.55
 BROADCAST_IDS = 500_000
+SALTS = 64
 
 
 def _lender(attempt: int) -> np.ndarray:
@@ -134,26 +143,43 @@ def banded(classes: DataFrame) -> DataFrame:
     return classes.select("cid", "sig").mapInArrow(run, "bucket long, cid long")
 
 
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, s1, s2, full): the distinct full sets of the documents ``ids``
+    (doc_id); none of texts without words. Equal ones meet in the partial
+    aggregate of the scanning task, however often a row is repeated."""
+    ids = kept(ids.distinct())
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    def run(batches):
+        for b in batches:
+            for lo, t in K.slices(b.column(1)):
+                sets, off = K.shingle_sets(t, SHINGLE)
+                some = np.flatnonzero(np.diff(off))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(lo, t.n).take(pa.array(some)), pa.array(_fold(sets, off, 0x1234567)[some]),
+                     pa.array(_fold(sets, off, 0x89ABCDEF012)[some]),
+                     pa.array([sets[off[i]:off[i + 1]].tobytes() for i in some], pa.binary())],
+                    names=["doc_id", "s1", "s2", "full"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id", "left_semi")
+    return kept(texts.mapInArrow(run, "doc_id long, s1 long, s2 long, full binary").dropDuplicates(["doc_id", "s1", "s2"]))
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of document ids whose full sets link."""
-    ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(side, "doc_id", "left_semi"))
+    sets = full_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))).select("doc_id", "full")
 
     def run(batches):
         for b in batches:
-            for lo in range(0, b.num_rows, 64):
-                part = b.slice(lo, 64)
-                sets, off = K.shingle_sets_of(pa.concat_arrays([part.column(2), part.column(3)]), SHINGLE)
-                n, ok = part.num_rows, []
-                for i in range(n):
-                    x, y = sets[off[i]:off[i + 1]], sets[off[n + i]:off[n + i + 1]]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok.append(both > 0 and OF * both >= NEED * (len(x) + len(y) - both))
-                yield part.select([0, 1]).filter(pa.array(ok))
-
-    both = (pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-            .select("a", "b", "text_a", "text_b"))
+            ok = []
+            for x, y in zip(b.column(2), b.column(3)):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                ok.append(OF * both >= NEED * (len(x) + len(y) - both))
+            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    both = (pairs.join(sets.toDF("a", "full_a"), "a").join(sets.toDF("b", "full_b"), "b")
+            .select("a", "b", "full_a", "full_b"))
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -181,13 +207,42 @@ def components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
-def in_blocks(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` with ``own`` (a block of about ``BLOCK`` rows of their ``key``),
-    repeated for every pair of blocks (``lo``, ``hi``) that theirs is in."""
-    sizes = rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    return (rows.join(sizes, key).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).drop("blocks", "other"))
+def _beside(rows: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` left-joined with ``small``, one row per ``keys``; a hot key of ``rows``
+    is dealt out over salts where ``small`` is too long for a broadcast."""
+    if small.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(small), keys, "left")
+    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (rows.withColumn("_salt", F.pmod(F.xxhash64("cid", F.lit(1)), F.lit(SALTS)).cast("int"))
+            .join(salted, [*keys, "_salt"], "left").drop("_salt"))
+
+
+def in_blocks(rows: DataFrame, key: str, weight: Column, most: int) -> DataFrame:
+    """``rows`` (key, comp, cid, ...) with ``own``, a block of their ``key``, repeated
+    for every pair of blocks (``lo``, ``hi``) that theirs is in and that may hold two
+    components. A key of at most ``most`` weight is one block. In others, a
+    component of over half of ``most`` has blocks of its own, cut by ``cid``; the
+    small ones share blocks, each component whole in one."""
+    sizes = kept(rows.groupBy(key, "comp").agg(F.sum(weight).alias("w")))
+    over = F.col("w") * 2 > most
+    blocks = F.ceil(F.col("w") / most).cast("int")
+    hot = kept(sizes.groupBy(key).agg(
+        F.sum("w").alias("_all"), F.coalesce(F.ceil(F.sum(F.when(~over, F.col("w"))) / most), F.lit(0)).cast("int").alias("_shared"),
+        F.coalesce(F.sum(F.when(over, blocks)), F.lit(0)).cast("int").alias("_alone"))
+        .filter(F.col("_all") > most).select(key, "_shared", (F.col("_shared") + F.col("_alone")).alias("_blocks")))
+    # at most one row per half of ``most`` weight of a key
+    before = Window.partitionBy(key).orderBy("comp").rowsBetween(Window.unboundedPreceding, -1)
+    large = kept(sizes.filter(over).join(hot, key).select(
+        key, "comp", blocks.alias("_n"), (F.col("_shared") + F.coalesce(F.sum(blocks).over(before), F.lit(0))).cast("int").alias("_from")))
+    placed = _beside(_beside(rows, hot, [key]), large, [key, "comp"])
+    own = (F.when(F.col("_blocks").isNull(), 0)
+           .when(F.col("_n").isNotNull(), F.col("_from") + F.pmod(F.xxhash64("cid"), F.col("_n")))
+           .otherwise(F.pmod(F.xxhash64("comp"), F.col("_shared"))).cast("int"))
+    others = F.when(F.col("_blocks").isNull(), F.array(F.lit(0))).otherwise(F.expr(
+        "filter(sequence(0, _blocks - 1), x -> _n IS NULL OR x < _from OR x >= _from + _n)"))
+    return (placed.withColumn("own", own).withColumn("other", F.explode(others))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+            .drop("_blocks", "_shared", "_n", "_from", "other"))
 
 
 def _groups(batches):
@@ -204,44 +259,71 @@ def _groups(batches):
         yield key[1] != key[2], list(zip(*group))
 
 
-def _joins(cross: bool, own, label: np.ndarray, n: np.ndarray, sig: np.ndarray, test=None):
+def _near(i: int, at: np.ndarray, n: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of ``at`` that may link with row ``i`` by size and signature, and their estimates."""
+    at = at[OF * np.minimum(n[at], n[i]) >= NEED * np.maximum(n[at], n[i])]
+    like = (sig[at] == sig[i]).mean(axis=1)
+    return at[like >= LEAST_ESTIMATE], like[like >= LEAST_ESTIMATE]
+
+
+def _joins(cross: bool, own, label: np.ndarray, n: np.ndarray, sig: np.ndarray, test):
     """Pairs of rows, of one block or across two, that join labels: candidates by
-    size and signature, best first, that pass ``test(row, rows)`` if it is given.
-    Labels are merged on the way, so every pair found joins two of them."""
+    size and signature, best first, that pass ``test(row, rows)``. Labels are
+    merged on the way, so every pair found joins two of them."""
     own, label = np.array(own), label.copy()
     first, second = own == own.min(), own == own.max()
     for i in np.flatnonzero(first):
-        at = np.flatnonzero((second if cross else np.arange(len(own)) > i) & (label != label[i])
-                            & (OF * np.minimum(n, n[i]) >= NEED * np.maximum(n, n[i])))
-        if not len(at):
-            continue
-        like = (sig[at] == sig[i]).mean(axis=1)
-        order = np.argsort(-like, kind="stable")[:int((like >= LEAST_ESTIMATE).sum())]
-        at = at[order]
+        at, like = _near(i, np.flatnonzero((second if cross else np.arange(len(own)) > i) & (label != label[i])), n, sig)
+        at = at[np.argsort(-like, kind="stable")]
         while len(at):
             some, at = at[:32], at[32:]
-            for j in some if test is None else some[test(i, some)]:
+            for j in some[test(i, some)]:
                 if label[j] != label[i]:
                     yield i, int(j)
                     label[label == label[j]] = label[i]
             at = at[label[at] != label[i]]
 
 
+def _marks(cross: bool, own, comp: np.ndarray, n: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, list]:
+    """The rows that are near one of another component, of one block or across two,
+    and pairs (a, b) of components that join all that such rows join."""
+    own, label, marked, edges = np.array(own), comp.copy(), np.zeros(len(comp), bool), []
+    first, second = own == own.min(), own == own.max()
+    for i in np.flatnonzero(first):
+        at = np.flatnonzero((second if cross else np.arange(len(own)) > i) & (comp != comp[i]))
+        while len(at):
+            if marked[i]:                   # rows that are marked too, of a component joined already, add nothing
+                at = at[~marked[at] | (label[at] != label[i])]
+            some, at = (at, at[:0]) if marked[i] else (at[:64], at[64:])
+            some, _ = _near(i, some, n, sig)
+            marked[some] = True
+            marked[i] |= len(some) > 0
+            for j in some[label[some] != label[i]]:
+                if label[j] != label[i]:
+                    edges.append((comp[i], comp[j]))
+                    label[label == label[j]] = label[i]
+    return marked, edges
+
+
 def plausible(mixed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of components that some bucket's members may link, from rows
-    (bucket, cid, comp) of buckets with several components."""
-    rows = in_blocks(mixed.join(classes.select("cid", "n", "sig"), "cid"), "bucket")
+    """From rows (bucket, cid, comp) of buckets with several components: rows (a, b,
+    null) of components that some bucket's members may link, and (null, null, cid)
+    of such members."""
+    rows = in_blocks(mixed.join(classes.select("cid", "n", "sig"), "cid"), "bucket", F.lit(1), BLOCK)
 
     def run(batches):
-        for cross, (own, comp, n, sig) in _groups(batches):
+        for cross, (own, comp, cid, n, sig) in _groups(batches):
             comp = np.array(comp, np.int64)
-            found = list(_joins(cross, own, comp, np.array(n), np.frombuffer(b"".join(sig), np.uint16).reshape(-1, BINS)))
-            a, b = comp[[i for i, _ in found]], comp[[j for _, j in found]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            marked, edges = _marks(cross, own, comp, np.array(n), np.frombuffer(b"".join(sig), np.uint16).reshape(-1, BINS))
+            ids = np.unique(np.array(cid, np.int64)[marked])
+            none = [None] * len(ids)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(min(e)) for e in edges] + none, pa.int64()), pa.array([int(max(e)) for e in edges] + none, pa.int64()),
+                 pa.array([None] * len(edges) + ids.tolist(), pa.int64())], names=["a", "b", "cid"])
 
-    dealt = (rows.select("bucket", "lo", "hi", "own", "comp", "n", "sig").repartition("bucket", "lo", "hi")
+    dealt = (rows.select("bucket", "lo", "hi", "own", "comp", "cid", "n", "sig").repartition("bucket", "lo", "hi")
              .sortWithinPartitions("bucket", "lo", "hi"))
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long, cid long").distinct()
 
 
 def hidden_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -249,16 +331,15 @@ def hidden_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> Dat
     components of a region; at least one between any two components that have
     one inside the same blocks."""
     members = kept(members)
-    side = F.broadcast(members.select("cid")) if members.count() <= BROADCAST_IDS else members.select("cid")
-    # a shared doc_id may have texts without words as well; they link with nothing
-    texts = (docs.select(F.col("doc_id").cast("long").alias("cid"), "text").filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-             .join(side, "cid", "left_semi"))
-    rows = in_blocks(members.join(classes.select("cid", "n", "sig"), "cid").join(texts, "cid"), "region")
+    sets = full_sets(docs, members.select(F.col("cid").alias("doc_id"))).withColumnRenamed("doc_id", "cid")
+    sets = sets.select("cid", (F.octet_length("full") / 8).cast("long").alias("n"), "full")
+    full = members.join(classes.select("cid", "n", "sig"), "cid").join(sets, ["cid", "n"])
+    rows = in_blocks(full, "region", F.col("n") + BLOCK_SHINGLES // BLOCK, BLOCK_SHINGLES)
 
     def run(batches):
-        for cross, (own, comp, cid, n, sig, text) in _groups(batches):
-            sets, off = K.shingle_sets_of(pa.array(text, pa.large_string()), SHINGLE)
-            size = np.diff(off)
+        for cross, (own, comp, cid, n, sig, full) in _groups(batches):
+            size = np.array(n)
+            sets, off = np.frombuffer(b"".join(full), np.uint64), np.concatenate(([0], np.cumsum(size)))
 
             def linked(i, at):
                 x = sets[off[i]:off[i + 1]]
@@ -267,12 +348,12 @@ def hidden_links(members: DataFrame, classes: DataFrame, docs: DataFrame) -> Dat
                 both = np.add.reduceat(hit.astype(np.int64), np.concatenate(([0], np.cumsum(size[at])[:-1])))
                 return OF * both >= NEED * (len(x) + size[at] - both)
 
-            found = list(_joins(cross, own, np.array(comp, np.int64), np.array(n),
+            found = list(_joins(cross, own, np.array(comp, np.int64), size,
                                 np.frombuffer(b"".join(sig), np.uint16).reshape(-1, BINS), linked))
             a, b = [cid[i] for i, _ in found], [cid[j] for _, j in found]
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    dealt = (rows.select("region", "lo", "hi", "own", "comp", "cid", "n", "sig", "text").repartition("region", "lo", "hi")
+    dealt = (rows.select("region", "lo", "hi", "own", "comp", "cid", "n", "sig", "full").repartition("region", "lo", "hi")
              .sortWithinPartitions("region", "lo", "hi"))
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -284,8 +365,11 @@ def across_components(shared: DataFrame, classes: DataFrame, links: DataFrame, d
     several = (rows.groupBy("bucket").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
                .filter("_lo < _hi").select("bucket"))
     mixed = kept(rows.join(several, "bucket"))
-    regions = components(plausible(mixed, classes)).select(F.col("node").alias("comp"), F.col("comp").alias("region"))
-    members = mixed.select("cid", "comp").distinct().join(regions, "comp")
+    found = kept(plausible(mixed, classes))
+    regions = components(found.filter("a IS NOT NULL").select("a", "b")).select(
+        F.col("node").alias("comp"), F.col("comp").alias("region"))
+    marked = found.filter("cid IS NOT NULL").select("cid")
+    members = mixed.select("cid", "comp").join(marked, "cid", "left_semi").distinct().join(regions, "comp")
     return hidden_links(members, classes, docs)
 
 

@@ -182,3 +182,74 @@ def test_shingle_sets(monkeypatch, most):
     assert sizes == [len(shingles(t)) for t in texts]
     sets, off = K.shingle_sets_of(pa.array(texts), 5)
     assert np.diff(off).tolist() == sizes and len(sets) == off[-1]
+
+
+def test_a_hot_bucket_ships_few_rows(spark):
+    """64,000 members of one bucket: beside one stranger each is sent about twice,
+    with two halves once per block of the other; all pairs across are still met."""
+    n = 64_000
+    for stranger, most in (("id = 7", 2.2), ("id < 32000", 10)):
+        rows = spark.range(n, numPartitions=8).selectExpr("1L AS bucket", "id AS cid", f"IF({stranger}, 1L, 0L) AS comp")
+        sent = neardup.in_blocks(rows, "bucket", neardup.F.lit(1), neardup.BLOCK).select("cid", "comp", "own", "lo", "hi")
+        assert sent.count() <= most * n
+        # every block that holds one component meets every block of the other (a shared block also itself)
+        met = sent.filter("lo < hi").select("lo", "hi").distinct().count()
+        blocks = {c: {r.own for r in sent.filter(f"comp = {c}").select("own").distinct().collect()} for c in (0, 1)}
+        assert met == len(blocks[0]) * len(blocks[1]) and not blocks[0] & blocks[1]
+        assert sent.groupBy("lo", "hi").count().agg({"count": "max"}).first()[0] <= 2.2 * neardup.BLOCK
+
+
+@pytest.mark.parametrize("ids", [0, neardup.BROADCAST_IDS])
+def test_blocks_meet_every_pair_of_components(spark, monkeypatch, ids):
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", ids)
+    rng = random.Random(4)
+    data = [(rng.randrange(3), i, min(rng.randrange(9), rng.randrange(9)) * 1000 + i % 3 // 2 * rng.randrange(40)) for i in range(300)]
+    rows = spark.createDataFrame(data, "bucket long, cid long, comp long")
+    met = set()
+    groups: dict = {}
+    for r in neardup.in_blocks(rows, "bucket", neardup.F.lit(1), 16).collect():
+        groups.setdefault((r.bucket, r.lo, r.hi), []).append(r)
+    for (_, lo, hi), g in groups.items():
+        met |= {(a.cid, b.cid) for a in g for b in g if a.own == lo and b.own == hi and a.comp != b.comp}
+    want = {(a, b) for k, a, c in data for m, b, d in data if k == m and c != d and a < b}
+    assert want <= {(min(p), max(p)) for p in met}
+
+
+def test_repeated_rows_are_confirmed_once(spark):
+    rng = random.Random(6)
+    base = prose(rng, 80)
+    rows = [(1, base)] * 300 + [(2, base + " tail")] * 300
+    docs = frame(spark, rows)
+    pairs = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert neardup.full_sets(docs, pairs.selectExpr("explode(array(a, b)) AS doc_id")).count() == 2
+    assert [tuple(r) for r in neardup.confirmed(pairs, docs).collect()] == [(1, 2)]
+    assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(docs).collect()} == {(1, 1), (2, 1)}
+
+
+def test_marks_and_edges_equal_all_pairs():
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        n = 150
+        group = rng.integers(0, 6, n)
+        sig = rng.integers(0, 60, (6, neardup.BINS))[group]
+        noise = rng.random((n, neardup.BINS)) < rng.random((n, 1)) * 0.5
+        sig = np.where(noise, rng.integers(100, 60000, (n, neardup.BINS)), sig).astype(np.uint16)
+        comp, size = rng.integers(0, 25, n), rng.integers(90, 121, n)
+        own = rng.integers(0, 2, n)
+        for cross in (True, False):
+            marked, edges = neardup._marks(cross, own if cross else np.zeros(n, int), comp, size, sig)
+            want = np.zeros(n, bool)
+            near = [(i, j) for i in range(n) for j in range(n) if i != j and comp[i] != comp[j] and (not cross or own[i] != own[j])
+                    and 100 * min(size[i], size[j]) >= 75 * max(size[i], size[j])
+                    and (sig[i] == sig[j]).mean() >= neardup.LEAST_ESTIMATE]
+
+            def joined(pairs):
+                up = list(range(25))
+                for _ in range(25):
+                    for a, b in pairs:
+                        up[a] = up[b] = min(up[a], up[b])
+                return up
+            for i, j in near:
+                want[i] = want[j] = True
+            assert (marked == want).all()
+            assert joined(edges) == joined([(comp[i], comp[j]) for i, j in near])
