@@ -7,6 +7,16 @@ to the same result. The quartiles give fences (quartile -/+ 3 interquartile
 ranges, never narrower than a stated slack) that replace fixed cut-offs, and
 the documents are joined with the fences of their group and filtered.
 
+A group that is partly junk must not set its fence by the junk. So a second
+fence bounds the first: its sketch is that of the group and, weighing ``PRIOR``
+documents, ``POINTS`` even quantiles of the language's sketch, which in turn holds
+those of the whole corpus; and the quartile on the fence's side is the other
+one mirrored at the median, which junk on one side moves little until it is
+half of the group. A group of a few documents is thus judged by its language,
+a rare language by the corpus, large ones by themselves, without a switch.
+Documents of a kind that is less than half of its group and far above the rest
+are, to this rule, junk.
+
 A hot (language, source) is pre-aggregated to at most a sketch per task before
 the shuffle. The fences have one row per group; they are broadcast only if
 their count, checked at run time, is at most ``BROADCAST_GROUPS``.
@@ -43,6 +53,7 @@ ERROR = 0.01                                  # of the sketch, relative
 GAMMA = (1 + ERROR) / (1 - ERROR)
 ZERO_BUCKET = -1_000_000                      # of values <= 0
 REACH = 3.0                                   # interquartile ranges
+PRIOR, POINTS = 48, 8                         # documents that a parent's quantiles weigh, and their number
 
 #: statistic -> (value, least slack below the lower quartile, above the upper one)
 STATISTICS: dict[str, tuple[str, float | None, float | None]] = {
@@ -136,28 +147,62 @@ def sketches(counted: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def quantile(merged: DataFrame, q: float) -> Column:
+def quantile(q: float, upto: str = "_upto", everything: str = "_all") -> Column:
     """Aggregate: the value of the first bucket that reaches rank q * n."""
-    b = F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * q), F.col("bucket")))
+    b = F.min(F.when(F.col(upto) >= F.ceil(F.col(everything) * q), F.col("bucket")))
     return F.when(b == ZERO_BUCKET, 0.0).otherwise(F.pow(F.lit(GAMMA), b) * (2 / (1 + GAMMA)))
 
 
+def _summed(sketch: DataFrame, group: list[str], n: str = "n", upto: str = "_upto", everything: str = "_all") -> DataFrame:
+    """``sketch`` with its running and whole sums. A window reads one sketch, whose
+    size its error bounds."""
+    w = Window.partitionBy(*group, "statistic")
+    return (sketch.withColumn(everything, F.sum(n).over(w))
+            .withColumn(upto, F.sum(n).over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))))
+
+
+def _points(sketch: DataFrame, group: list[str]) -> DataFrame:
+    """(group, statistic, bucket, n): ``POINTS`` even quantiles that weigh ``PRIOR`` documents."""
+    at = [F.min(F.when(F.col("_upto") * (2 * POINTS) >= F.col("_all") * k, F.col("bucket"))) for k in range(1, 2 * POINTS, 2)]
+    return (_summed(sketch, group).groupBy(*group, "statistic").agg(F.array(*at).alias("_at"))
+            .select(*group, "statistic", F.explode("_at").alias("bucket"), F.lit(PRIOR // POINTS).cast("long").alias("n")))
+
+
+def with_parents(merged: DataFrame) -> DataFrame:
+    """Rows (lang, source, statistic, bucket, own, n): the group's sketch (``own``),
+    and the same with its parents' quantiles (``n``)."""
+    corpus = _points(merged.groupBy("statistic", "bucket").agg(F.sum("n").alias("n")), [])      # 32 rows
+    langs = merged.groupBy("lang", "statistic", "bucket").agg(F.sum("n").alias("n"))
+    langs = langs.unionByName(langs.select("lang", "statistic").distinct().join(F.broadcast(corpus), "statistic"))
+    above = kept(_points(langs, ["lang"])).withColumnsRenamed({"lang": "_lang", "statistic": "_statistic"})
+    if above.count() <= BROADCAST_GROUPS:
+        above = F.broadcast(above)
+    groups = merged.select("lang", "source", "statistic").distinct()
+    more = groups.join(above, groups["lang"].eqNullSafe(above["_lang"]) & (groups["statistic"] == above["_statistic"]))
+    return (merged.withColumn("own", F.col("n"))
+            .unionByName(more.drop("_lang", "_statistic").withColumn("own", F.lit(0).cast("long"))))
+
+
 def fences(merged: DataFrame) -> DataFrame:
-    """(lang, source, <statistic>_lo, <statistic>_hi): one row per group. A
-    window reads one sketch, whose size its error bounds."""
-    group = ["lang", "source", "statistic"]
-    w = Window.partitionBy(*group)
-    ranked = (merged.withColumn("_all", F.sum("n").over(w))
-              .withColumn("_upto", F.sum("n").over(w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))))
-    q = ranked.groupBy(*group).agg(quantile(ranked, 0.25).alias("q1"), quantile(ranked, 0.75).alias("q3"))
+    """(lang, source, <statistic>_lo, <statistic>_hi): one row per group."""
+    group = ["lang", "source"]
+    both = _summed(_summed(with_parents(kept(merged)), group), group, "own", "_upto_own", "_own")
+    q = both.groupBy(*group, "statistic").agg(
+        *[quantile(x, "_upto_own", "_own").alias(f"q{i}") for i, x in ((1, 0.25), (3, 0.75))],
+        *[quantile(x).alias(f"m{i}") for i, x in ((1, 0.25), (2, 0.5), (3, 0.75))])
     spread = (F.col("q3") - F.col("q1")) * REACH
+    under, over = F.col("m2") - F.col("m1"), F.col("m3") - F.col("m2")
     cols = []
     for s, (_, below, above) in STATISTICS.items():
         this = F.col("statistic") == s
         if below is not None:
-            cols.append(F.max(F.when(this, F.col("q1") - F.greatest(spread, F.lit(below)))).alias(f"{s}_lo"))
+            lo = F.greatest(F.col("q1") - F.greatest(spread, F.lit(below)),
+                            F.col("m2") - over - F.greatest(over * (2 * REACH), F.lit(below)))
+            cols.append(F.max(F.when(this, lo)).alias(f"{s}_lo"))
         if above is not None:
-            cols.append(F.max(F.when(this, F.col("q3") + F.greatest(spread, F.lit(above)))).alias(f"{s}_hi"))
+            hi = F.least(F.col("q3") + F.greatest(spread, F.lit(above)),
+                         F.col("m2") + under + F.greatest(under * (2 * REACH), F.lit(above)))
+            cols.append(F.max(F.when(this, hi)).alias(f"{s}_hi"))
     return q.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(*cols)
 
 
@@ -204,7 +249,10 @@ def _fence_sql() -> tuple[str, str, str]:
         values.append(f"{{'stat': '{s}', 'v': {v}}}")
         for side, slack, sign, q, cmp in (("lo", below, "-", "q1", ">="), ("hi", above, "+", "q3", "<=")):
             if slack is not None:
-                cols.append(f"max({q} {sign} greatest((q3 - q1) * {REACH}::DOUBLE, {slack}::DOUBLE)) FILTER (stat = '{s}') AS {s}_{side}")
+                half, pick = ("(m3 - m2)", "greatest") if side == "lo" else ("(m2 - m1)", "least")
+                cols.append(f"max({pick}({q} {sign} greatest((q3 - q1) * {REACH}::DOUBLE, {slack}::DOUBLE), "
+                            f"m2 {sign} {half} {sign} greatest({half} * {2 * REACH}::DOUBLE, {slack}::DOUBLE))) "
+                            f"FILTER (stat = '{s}') AS {s}_{side}")
                 ok.append(f"coalesce({v} {cmp} {s}_{side}, true)")
     return ", ".join(values), ", ".join(cols), " AND ".join(ok)
 
@@ -229,11 +277,27 @@ x AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MOST_REPEAT_PCT
 v AS (SELECT lang, source, s.stat AS stat,
              CASE WHEN s.v <= 0 THEN {ZERO_BUCKET} ELSE CAST(ceil(ln(s.v) / {math.log(GAMMA)!r}::DOUBLE) AS INTEGER) END AS b
       FROM (SELECT lang, source, unnest([{_VALUES}]) AS s FROM x WHERE NOT base_failed) WHERE s.v IS NOT NULL),
-o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, stat ORDER BY b) AS place,
-             count(*) OVER (PARTITION BY lang, source, stat) AS n FROM v),
-q AS (SELECT lang, source, stat, max(y) FILTER (place = ceil(n * 0.25)) AS q1, max(y) FILTER (place = ceil(n * 0.75)) AS q3
-      FROM (SELECT *, CASE WHEN b = {ZERO_BUCKET} THEN 0.0 ELSE pow({GAMMA!r}::DOUBLE, b) * {2 / (1 + GAMMA)!r}::DOUBLE END AS y FROM o)
-      GROUP BY lang, source, stat),
+sk AS (SELECT lang, source, stat, b, count(*) AS n FROM v GROUP BY ALL),
+cs AS (SELECT stat, b, sum(n) AS n FROM sk GROUP BY ALL),
+cp AS (SELECT stat, k, min(b) AS b FROM (SELECT stat, b, sum(n) OVER (PARTITION BY stat ORDER BY b) AS upto, sum(n) OVER (PARTITION BY stat) AS n FROM cs),
+                                        range(1, {2 * POINTS}, 2) AS t(k) WHERE upto * {2 * POINTS} >= n * k GROUP BY stat, k),
+ls AS (SELECT lang, stat, b, sum(n) AS n FROM (
+         SELECT lang, stat, b, n FROM sk
+         UNION ALL SELECT lang, stat, b, {PRIOR // POINTS} FROM (SELECT DISTINCT lang, stat FROM sk) JOIN cp USING (stat)) GROUP BY ALL),
+lp AS (SELECT lang, stat, k, min(b) AS b
+       FROM (SELECT lang, stat, b, sum(n) OVER (PARTITION BY lang, stat ORDER BY b) AS upto, sum(n) OVER (PARTITION BY lang, stat) AS n FROM ls),
+            range(1, {2 * POINTS}, 2) AS t(k) WHERE upto * {2 * POINTS} >= n * k GROUP BY lang, stat, k),
+gs AS (SELECT lang, source, stat, b, sum(own) AS own, sum(n) AS n FROM (
+         SELECT lang, source, stat, b, n AS own, n FROM sk
+         UNION ALL SELECT g.lang, g.source, g.stat, lp.b, 0, {PRIOR // POINTS}
+         FROM (SELECT DISTINCT lang, source, stat FROM sk) AS g JOIN lp ON g.lang IS NOT DISTINCT FROM lp.lang AND g.stat = lp.stat) GROUP BY ALL),
+r AS (SELECT *, CASE WHEN b = {ZERO_BUCKET} THEN 0.0 ELSE pow({GAMMA!r}::DOUBLE, b) * {2 / (1 + GAMMA)!r}::DOUBLE END AS y,
+             sum(own) OVER o AS upto_own, sum(own) OVER w AS all_own, sum(n) OVER o AS upto, sum(n) OVER w AS n_all
+      FROM gs WINDOW w AS (PARTITION BY lang, source, stat), o AS (PARTITION BY lang, source, stat ORDER BY b)),
+q AS (SELECT lang, source, stat, min(y) FILTER (upto_own >= ceil(all_own * 0.25)) AS q1, min(y) FILTER (upto_own >= ceil(all_own * 0.75)) AS q3,
+             min(y) FILTER (upto >= ceil(n_all * 0.25)) AS m1, min(y) FILTER (upto >= ceil(n_all * 0.5)) AS m2,
+             min(y) FILTER (upto >= ceil(n_all * 0.75)) AS m3
+      FROM r GROUP BY lang, source, stat),
 f AS (SELECT lang AS f_lang, source AS f_source, {_COLS} FROM q GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_OK} AS kept
 FROM x LEFT JOIN f ON x.lang IS NOT DISTINCT FROM f_lang AND x.source IS NOT DISTINCT FROM f_source"""

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -7,7 +8,7 @@ import pytest
 
 from aisle.llm import kernels as K
 from aisle.llm import rules
-from tests.llm.conftest import DOCS, edge_texts, rows_of
+from tests.llm.conftest import DOCS, edge_texts, prose, rows_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -95,3 +96,53 @@ def test_base_counts_in_sql(spark, edge_docs, table):
         length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS n_symbols
         FROM '{folder}/documents.parquet/*.parquet'""").fetchall()
     assert got == {d: (n, s) for d, n, s in want}
+
+
+def odd(i):
+    return " ".join(f"wo{i}x{j}*** rd{i}y{j}%%%" for j in range(40))
+
+
+@pytest.mark.parametrize("others", [0, 300])
+def test_a_source_of_a_third_junk_loses_it(spark, others):
+    """Alone in the table, or beside clean sources; few rows of a group do not
+    set their own fence either, and clean documents stay."""
+    rng = random.Random(17)
+    clean = [(i, prose(rng, rng.randint(20, 200)), "en", "s") for i in range(200 + others)]
+    clean = [(i, t, g, s if i < 200 else f"t{i % 3}") for i, t, g, s in clean]
+    junk = [(5000 + i, odd(i), "en", "s") for i in range(100)]
+    alone = [(6000, odd(6000), "en", "rare"), (6001, odd(6001), None, None), (6002, odd(6002), "xx", "s")]
+    docs = spark.createDataFrame([(*r, 0, "", "", "", "") for r in clean + junk + alone], DOCS).repartition(5)
+    kept = {r.doc_id for r in rules.filter_documents(docs).collect()}
+    assert kept == {r[0] for r in clean}
+
+
+def test_fences_with_parents_equal_brute_force(spark, edge_docs):
+    """The sketches with their parents' quantiles, rebuilt from the counts in plain Python."""
+    counted = rules.with_counts(edge_docs.select("doc_id", "lang", "source", "text"), False)
+    merged = rules.sketches(counted).collect()
+    value = lambda b: 0.0 if b == rules.ZERO_BUCKET else rules.GAMMA ** b * 2 / (1 + rules.GAMMA)
+
+    def at(buckets, k, of):
+        """The k/of quantile of a sorted list of buckets."""
+        return buckets[-(-len(buckets) * k // of) - 1]
+
+    def points(buckets):
+        return [at(sorted(buckets), k, 16) for k in range(1, 16, 2)] * 6
+    by = {}
+    for r in merged:
+        for key in ((r.statistic,), (r.statistic, r.lang), (r.statistic, r.lang, r.source)):
+            by.setdefault(key, []).extend([r.bucket] * r.n)
+    for r in rules.fences(spark.createDataFrame(merged)).collect():
+        for s, (_, below, above) in rules.STATISTICS.items():
+            own = sorted(by.get((s, r._lang, r._source), []))
+            if not own:
+                continue
+            lang = by[(s, r._lang)] + points(by[(s,)])
+            m = [value(at(sorted(own + points(lang)), k, 4)) for k in (1, 2, 3)]
+            q1, q3 = value(at(own, 1, 4)), value(at(own, 3, 4))
+            if below is not None:
+                want = max(q1 - max(3 * (q3 - q1), below), 2 * m[1] - m[2] - max(6 * (m[2] - m[1]), below))
+                assert r[f"{s}_lo"] == pytest.approx(want)
+            if above is not None:
+                want = min(q3 + max(3 * (q3 - q1), above), 2 * m[1] - m[0] + max(6 * (m[1] - m[0]), above))
+                assert r[f"{s}_hi"] == pytest.approx(want)
