@@ -14,15 +14,36 @@ size; an empty table gives no rows; other columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisle.llm.store import kept, tasks_of
-from aisle.operators.prefix import bucket_by, cut_points, running_totals
+from aisle.operators.prefix import bucket_by, cut_points
 
 MOST_BUCKETS = 512
 
 
+def prefix_sums(rows: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column],
+                values: dict[str, Column]) -> DataFrame:
+    """``rows`` and, for every entry of ``values``, its sum over the earlier rows of
+    the group, and over all of them as ``<name>_total``. Rows stand in the order of
+    (bucket, order); a bucket is one task's share of a group. The totals have one
+    row per group and bucket, and windows over whole groups read only those."""
+    cells = rows.withColumn("_cell", F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(group)], F.col(bucket).alias("b")))
+    of_group = Window.partitionBy(*[f"_cell.g{i}" for i in range(len(group))])
+    earlier = of_group.orderBy("_cell.b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cells.groupBy("_cell").agg(*[F.sum(v).alias(n) for n, v in values.items()])
+    starts = totals.select(F.col("_cell").alias("_start_of"),
+                           *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_start_{n}") for n in values],
+                           *[F.sum(n).over(of_group).alias(f"{n}_total") for n in values])
+    inside = Window.partitionBy("_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = cells.join(starts, cells["_cell"] == starts["_start_of"], "left").withColumns(
+        {n: F.col(f"_start_{n}") + F.coalesce(F.sum(v).over(inside), F.lit(0)) for n, v in values.items()})
+    return summed.drop("_cell", "_start_of", *[f"_start_{n}" for n in values])
+
+
 def byte_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
     """(doc_id, size, text_crc32, shard, slot) of every document."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -33,7 +54,7 @@ def byte_shards(docs: DataFrame, shards: int = 16) -> DataFrame:
     cuts = cut_points(light, "doc_id", min(MOST_BUCKETS, tasks_of(docs.sparkSession)))
     placed = light.withColumn("_bucket", bucket_by(F.col("doc_id"), cuts))
     order = [F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
-    summed = running_totals(placed, [], "_bucket", order, {"_bytes": "size", "_rows": F.lit(1)})
+    summed = prefix_sums(placed, [], "_bucket", order, {"_bytes": F.col("size"), "_rows": F.lit(1)})
     share = F.expr(f"cast(_bytes as decimal(30,0)) * {shards} div _bytes_total")
     cut = summed.withColumn("shard", F.least(share.cast("int"), F.lit(shards - 1)))
     # one row per shard: a bound given by the parameter

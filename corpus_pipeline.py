@@ -2,7 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's ``docs``. All stages but
-the last return the columns of ``docs``; the last returns (doc_id, ids).
+the last return the columns of ``docs``; the last returns (doc_id,
+training_rank, ids): the place of a row in the training order that the source
+mix wrote, as Spark reads files back in another order.
 """
 
 from __future__ import annotations
@@ -38,9 +40,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: the piece ids of every document."""
+    """Operator 7: the piece ids of every document, and its place in training."""
     share_code(spark)
-    return pieces.encode_documents(docs, pieces.vocabulary_path())
+    return pieces.encode_texts(mixing.in_written_order(docs), pieces.vocabulary_path())
 
 
 STAGES = [("quality_rules", quality_rules), ("quality_classifier", quality_classifier), ("near_dedup", near_dedup),

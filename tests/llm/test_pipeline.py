@@ -62,6 +62,8 @@ def test_stages_take_effect_and_keep_columns(spark, table):
     coder = pieces.PieceCoder(pieces.vocabulary_path())
     texts = {r.doc_id: r.text for r in now.collect()}
     assert coded.count() == mixed.count()
+    ordered = [r.doc_id for r in mixing.mix(single).collect()]
+    assert [r.doc_id for r in coded.orderBy("training_rank").collect()] == ordered
     for r in coded.collect():
         assert coder.decode(np.array(r.ids, "<i4")) == texts[r.doc_id]
 

@@ -109,3 +109,32 @@ def test_native_plans(edge_docs):
     for df in (sharding.byte_shards(edge_docs), mixing.mix(edge_docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_ranks_are_the_places_in_the_mix(spark, edge_docs, table):
+    """Every copy's rank against the sorted mix, and read back from its files."""
+    folder = table(documents=edge_docs)
+    mixed = [r.doc_id for r in mixing.mix(spark.read.parquet(f"{folder}/documents.parquet")).collect()]
+    at = defaultdict(list)
+    for r in mixing.op5_curriculum_mix(spark, folder).collect():
+        assert (r.training_ranks is None) == (r.taken == 0)
+        at[r.doc_id] += [int(k) for k in (r.training_ranks or "").split(",") if k]
+    assert sorted(k for v in at.values() for k in v) == list(range(len(mixed)))
+    assert all(mixed[k] == d for d, v in at.items() for k in v)
+    mixing.mix(edge_docs).write.option("maxRecordsPerFile", 7).parquet(f"{folder}/mixed")
+    stored = mixing.in_written_order(spark.read.parquet(f"{folder}/mixed")).collect()
+    assert sorted(r.training_rank for r in stored) == list(range(len(mixed)))
+    assert all(mixed[r.training_rank] == r.doc_id for r in stored)
+    assert {r.training_rank for r in mixing.in_written_order(edge_docs).collect()} == {None}
+
+
+def test_prefix_sums_equal_brute_force(spark):
+    import random
+    rng = random.Random(2)
+    rows = [(rng.choice([None, "a", "b"]), rng.randrange(5), i, rng.randrange(100)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, b int, i int, v long").repartition(4)
+    got = sharding.prefix_sums(df, ["g"], "b", [F.col("i")], {"s": F.col("v"), "k": F.lit(1)}).collect()
+    for r in got:
+        before = [x for x in rows if x[0] == r.g and (x[1], x[2]) < (r.b, r.i)]
+        assert (r.s, r.k) == (sum(x[3] for x in before), len(before))
+        assert (r.s_total, r.k_total) == (sum(x[3] for x in rows if x[0] == r.g), sum(x[0] == r.g for x in rows))
