@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 48
 SAMPLE_CHARS = 2500
+FAN_IN = 64
 _PLAIN = bytes(b if b > 127 or bytes([b]).isalpha() else 32 for b in range(256))
 
 
@@ -138,7 +139,8 @@ def _least(t: pa.Table, room: int) -> pa.Table:
     return t.take(at[upto - upto[start] + size[at][start] <= room])
 
 
-def learning_samples(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
+def learning_samples(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS,
+                     fan_in: int = FAN_IN) -> dict[str, list[str]]:
     """Distinct texts of at most ``chars`` characters, ``rows * chars`` in all per language."""
     room = rows * chars
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
@@ -157,7 +159,11 @@ def learning_samples(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMP
             yield from held.combine_chunks().to_batches()
 
     # a hot language or text ships at most ``room`` characters per task
-    least = able.mapInArrow(run, "lang string, long boolean, key long, size long, text string")
+    kind = "lang string, long boolean, key long, size long, text string"
+    least, tasks = able.mapInArrow(run, kind), able.rdd.getNumPartitions()
+    while tasks > fan_in:
+        tasks = -(-tasks // fan_in)
+        least = least.repartitionById(tasks, F.pmod(F.spark_partition_id(), F.lit(tasks))).mapInArrow(run, kind)
     order = Window.partitionBy("lang").orderBy("long", "key").rowsBetween(Window.unboundedPreceding, 0)
     picked = (least.dropDuplicates(["lang", "long", "key"]).withColumn("upto", F.sum("size").over(order))
               .filter(F.col("upto") <= room))

@@ -265,3 +265,11 @@ def test_numbers_are_no_letters(text):
     model = language.Identifier({"en": ["the cat sat"], "de": ["die katze sitzt"]})
     assert model.predict(text) == ("und", 0.0)
     assert model.predict((text or "") + " the cat")[0] == "en"
+
+
+def test_sample_by_levels_equals_sample_at_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").repartition(23, "doc_id")
+    at_once = language.learning_samples(docs, rows=5, chars=800)
+    assert len(at_once) > 1
+    for fan_in in (2, 3, 7):
+        assert language.learning_samples(docs, rows=5, chars=800, fan_in=fan_in) == at_once
