@@ -2,12 +2,18 @@
 
 Sessions arrive through a file stream in the order of an event clock, are joined
 to the static customer table and kept while they lie in the first
-``early_days`` days after signup (or before it). A keyed state holds five
-numbers per customer whose week is open. When the watermark passes the end of a
-customer's week, its event-time timer fires: the customer's row is emitted once
-(append mode) and its state is dropped, so state is bounded by open weeks, and
-no micro-batch rewrites earlier output. Sessions that arrive after the week was
-closed are late and dropped, as the watermark says.
+``early_days`` days after signup (or before it). A stateful processor
+(``transformWithState``) holds a few numbers per customer whose week is open, in
+RocksDB. When the watermark passes the end of a customer's week, its event-time
+timer fires: the customer's row is emitted once (append mode) and its state is
+dropped, so state is bounded by open weeks, and no micro-batch rewrites earlier
+output.
+
+A session is late if its week had ended by the watermark of its micro-batch. Late
+sessions are in no sum, but none is lost: they leave the processor as rows of
+their own with ``late_at`` (``late_sessions``), beside the weeks (``closed_weeks``).
+The processor sees them as the event time itself ends before it: an old session
+of a week that is still open counts.
 
 With ``trigger(availableNow=True)`` the job drains the source and stops; the
 rows then equal the batch aggregate (J6) of all closed weeks. The files of a
@@ -23,6 +29,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.query import StreamingQuery
 
 from aisle.functions.dates import day_boundaries
@@ -33,9 +40,57 @@ from aisle.params import DEFAULT, Params
 from aisle.session import shared_dir
 from aisle.sources import tpch_adapter as adapter
 
-OUT = ("customer_id long, sessions_first_7d long, avg_cart_adds double, avg_products_viewed double, "
-       "purchases_first_7d long, days_to_first_purchase int")
-STATE = "sessions long, adds long, views long, bought long, first_day int"
+WEEK = ("customer_id long, sessions_first_7d long, avg_cart_adds double, avg_products_viewed double, "
+        "purchases_first_7d long, days_to_first_purchase int")
+OUT = WEEK + ", late_at long"
+STATE = "sessions long, adds long, views long, bought long, first_day int, closes long"
+
+
+def _processor() -> StatefulProcessor:
+    class FirstWeek(StatefulProcessor):             # local, so that it travels to the workers by value
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.week = handle.getValueState("week", STATE)
+
+        def rows(self, key, n, **columns):
+            kinds = {"customer_id": "Int64", "sessions_first_7d": "Int64", "avg_cart_adds": "Float64", "avg_products_viewed": "Float64",
+                     "purchases_first_7d": "Int64", "days_to_first_purchase": "Int32", "late_at": "Int64"}
+            columns["customer_id"] = [key[0]] * n
+            return pd.DataFrame({c: pd.array(columns.get(c, [None] * n), dtype=kind) for c, kind in kinds.items()})
+
+        def handleInputRows(self, key, rows, timerValues):
+            mark = timerValues.getCurrentWatermarkInMs()
+            n, adds, views, bought, first, before = self.week.get() or (0, 0, 0, 0, None, 0)
+            had, closes = n, before
+            for pdf in rows:
+                late = pdf.closes <= mark
+                if late.any():
+                    yield self.rows(key, int(late.sum()), late_at=pdf["at_us"][late].tolist())
+                    pdf = pdf[~late]
+                n, adds, views = n + len(pdf), adds + int(pdf.num_cart_adds.sum()), views + int(pdf.num_products_viewed.sum())
+                days = pdf.day[pdf.purchased.fillna(False).astype(bool)]
+                bought += len(days)
+                if len(days):
+                    first = int(days.min()) if first is None else min(first, int(days.min()))
+                if len(pdf):
+                    closes = max(closes, int(pdf.closes.max()))
+            if n > had:
+                if closes != before:
+                    if before:
+                        self.handle.deleteTimer(before)
+                    self.handle.registerTimer(closes)
+                self.week.update((n, adds, views, bought, first, closes))
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            n, adds, views, bought, first, _ = self.week.get()
+            self.week.clear()
+            yield self.rows(key, 1, sessions_first_7d=[n], avg_cart_adds=[adds / n], avg_products_viewed=[views / n],
+                            purchases_first_7d=[bought], days_to_first_purchase=[first])
+
+        def close(self) -> None:
+            pass
+
+    return FirstWeek()
 
 
 def first_week_stream(sessions: DataFrame, customers: DataFrame, pace: float = 1.0, lateness: str = "1 hour",
@@ -48,31 +103,22 @@ def first_week_stream(sessions: DataFrame, customers: DataFrame, pace: float = 1
     left: Column = F.timestamp_diff("MICROSECOND", F.col("session_started_at"),
                                     F.date_add("signed_up_at", p.early_days + 1).cast("timestamp_ntz"))
     closes = F.unix_micros("event_time") + F.ceil(left * F.lit(pace))
+    # without event_time among the columns the operator drops no row by itself
     timed = (sessions.withWatermark("event_time", lateness).join(c, "customer_id", "inner")
-             .withColumn("_day", days).filter(F.col("_day") <= p.early_days)
-             .select("customer_id", "event_time", "num_cart_adds", "num_products_viewed", "purchased", "_day",
-                     closes.alias("_closes")))
-
-    def week(key, batches, state):
-        n, adds, views, bought, first = state.get if state.exists else (0, 0, 0, 0, None)
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"customer_id": [key[0]], "sessions_first_7d": [n], "avg_cart_adds": [adds / n],
-                                "avg_products_viewed": [views / n], "purchases_first_7d": [bought],
-                                "days_to_first_purchase": pd.array([first], dtype="Int32")})
-            return
-        closes = 0
-        for pdf in batches:
-            n, adds, views = n + len(pdf), adds + int(pdf.num_cart_adds.sum()), views + int(pdf.num_products_viewed.sum())
-            days = pdf._day[pdf.purchased.fillna(False).astype(bool)]
-            bought += len(days)
-            if len(days):
-                first = int(days.min()) if first is None else min(first, int(days.min()))
-            closes = max(closes, int(pdf._closes.max()))
-        state.update((n, adds, views, bought, first))
-        state.setTimeoutTimestamp(max(closes // 1000, state.getCurrentWatermarkMs() + 1))
-
-    return timed.groupBy("customer_id").applyInPandasWithState(week, OUT, STATE, "append", "EventTimeTimeout")
+             .withColumn("day", days).filter(F.col("day") <= p.early_days)
+             .select("customer_id", "num_cart_adds", "num_products_viewed", "purchased", "day",
+                     F.unix_micros("event_time").alias("at_us"), F.ceil(closes / 1000).cast("long").alias("closes")))
+    return timed.groupBy("customer_id").transformWithStateInPandas(_processor(), OUT, "append", "EventTime")
+
+
+def closed_weeks(out: DataFrame) -> DataFrame:
+    """The weeks (``WEEK``) among rows of ``first_week_stream``."""
+    return out.filter("late_at IS NULL").drop("late_at")
+
+
+def late_sessions(out: DataFrame) -> DataFrame:
+    """(customer_id, late_at): the late sessions, by the event clock."""
+    return out.filter("late_at IS NOT NULL").select("customer_id", F.timestamp_micros("late_at").alias("late_at"))
 
 
 def event_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = 1) -> DataFrame:
@@ -93,19 +139,16 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 @dataclass
 class Replay:
-    """The sink table, and per micro-batch with rows: rows read, keys held in state
-    after it, rows dropped as late."""
+    """The sink's weeks and its late sessions (none if scored), and per micro-batch
+    with rows: rows read, entries (values and timers) held in state after it."""
 
     table: DataFrame
-    batches: list[tuple[int, int, int]]
+    late: DataFrame | None
+    batches: list[tuple[int, int]]
     state_left: int
 
-    @property
-    def late(self) -> int:
-        return sum(b[2] for b in self.batches)
-
 
-def _started(frame: DataFrame, run: str) -> StreamingQuery:
+def started(frame: DataFrame, run: str) -> StreamingQuery:
     """The query on state in RocksDB: on the executors' disks, not in their heaps."""
     conf = frame.sparkSession.conf
     before = conf.get(PROVIDER)
@@ -141,13 +184,16 @@ def replay(spark: SparkSession, sf_dir: str, p: Params = DEFAULT, batches: int =
         out = first_week_stream(sessions, customers, adapter.TIME_SQUEEZE, p=p)
         if scored:
             orders = staging.stg_orders(adapter.raw_orders(t))
-            out = score_early(as_records(out.join(first_orders(orders, p), "customer_id", "left")), p)
-        schema, q = out.schema, _started(out, run)
+            out = score_early(as_records(closed_weeks(out).join(first_orders(orders, p), "customer_id", "left")), p)
+        schema, q = out.schema, started(out, run)
         q.awaitTermination()
         progress += q.recentProgress
     held = lambda x: x["stateOperators"][0]["numRowsTotal"]
-    seen = [(x["numInputRows"], held(x), x["stateOperators"][0]["numRowsDroppedByWatermark"]) for x in progress if x["numInputRows"]]
-    return Replay(spark.read.schema(schema).parquet(f"{run}/table"), seen, held(progress[-1]) if progress else 0)
+    seen = [(x["numInputRows"], held(x)) for x in progress if x["numInputRows"]]
+    sink, left = spark.read.schema(schema).parquet(f"{run}/table"), held(progress[-1]) if progress else 0
+    if scored:
+        return Replay(sink, None, seen, left)
+    return Replay(closed_weeks(sink), late_sessions(sink), seen, left)
 
 
 def run_first_week(spark: SparkSession, sf_dir: str, p: Params = DEFAULT) -> DataFrame:

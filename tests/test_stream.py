@@ -42,18 +42,16 @@ def test_folder_of_three_files_in_three_batches(spark, small_dir, tmp_path):
     sessions = adapter.sessions_from_events(stream, clock=True).withColumnRenamed("session_start", "session_started_at")
     customers = staging.stg_customers(adapter.raw_customers(m.t))
     out = shared_dir(spark, uuid.uuid4().hex)
-    q = (first_week.first_week_stream(sessions, customers, adapter.TIME_SQUEEZE).writeStream.outputMode("append")
-         .format("parquet").option("path", out + "/t").option("checkpointLocation", out + "/c")
-         .trigger(availableNow=True).start())
+    q = first_week.started(first_week.first_week_stream(sessions, customers, adapter.TIME_SQUEEZE), out)
     q.awaitTermination()
     assert len([p for p in q.recentProgress if p["numInputRows"]]) == 3
     assert q.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 0          # every week is closed
-    assert key(rows(spark.read.parquet(out + "/t"))) == key(batch(m))
+    assert key(rows(spark.read.parquet(out + "/table"))) == key(batch(m))
 
 
 def test_replay_closes_weeks_batch_by_batch(spark, small_dir):
     run = first_week.replay(spark, small_dir, batches=4)
-    assert len(run.batches) >= 3 and run.late == 0 and run.state_left == 0
+    assert len(run.batches) >= 3 and run.late.count() == 0 and run.state_left == 0
     held = [b[1] for b in run.batches]
     assert min(held[1:]) < max(held)                               # state shrinks between batches
     assert key(rows(run.table)) == key(batch(Marts(spark, small_dir)))
@@ -77,3 +75,23 @@ def test_folder_of_files_in_no_order_of_time(spark, small_dir, tmp_path):
          .write.mode("append").parquet(str(tmp_path / "events.parquet")))
     got = rows(first_week.run_first_week(spark, str(tmp_path)))
     assert key(got) == key(batch(Marts(spark, small_dir)))
+
+
+def test_late_sessions_go_to_the_side(spark, small_dir):
+    m = Marts(spark, small_dir)
+    events, customers = m.t["events"], staging.stg_customers(adapter.raw_customers(m.t))
+    day = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    out = shared_dir(spark, uuid.uuid4().hex)
+    for part in (events.filter(~day), events.filter(day)):              # the second part comes after its time
+        part.coalesce(1).write.mode("append").parquet(out + "/events")
+        stream = spark.readStream.schema(events.schema).parquet(out + "/events")
+        sessions = adapter.sessions_from_events(stream, clock=True).withColumnRenamed("session_start", "session_started_at")
+        first_week.started(first_week.first_week_stream(sessions, customers, adapter.TIME_SQUEEZE), out).awaitTermination()
+    sink = spark.read.parquet(out + "/table")
+    late, weeks = first_week.late_sessions(sink), first_week.closed_weeks(sink)
+    assert late.count() > 0 and weeks.count() > 0
+    # every session of a first week is in a week or late, and only those of the second part are late
+    all_of = sum(r[1] for r in batch(m))
+    assert weeks.agg(F.sum("sessions_first_7d")).first()[0] + late.count() == all_of
+    assert late.filter(F.col("late_at") >= F.lit("2024-01-15").cast("timestamp")).count() == 0
+    assert weeks.groupBy("customer_id").count().filter("count > 1").count() == 0
