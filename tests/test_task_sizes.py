@@ -1,8 +1,10 @@
-"""Tasks in proportion to the input: settings around stored marts."""
+"""Tasks in proportion to the input: settings around stored marts and pairs."""
 
 import pytest
 
 from aisle import session
+from aisle.operators.basket import affinity_pairs, affinity_totals, product_affinity
+from aisle.params import DEFAULT
 from aisle.plans.marts import Marts
 from aisle.streaming import first_week
 
@@ -19,7 +21,7 @@ def test_settings_rise_with_the_rows_and_come_back(spark):
         assert spark.conf.get(keys[0]) == before[0]
 
 
-@pytest.mark.parametrize("name", ["join_pair_lt", "join_pair_ne"])
+@pytest.mark.parametrize("name", ["join_pair_lt", "join_pair_ne", "family_affinity"])
 def test_stored_results_are_made_by_more_tasks(spark, small_dir, monkeypatch, name):
     import __spark_entry__ as E
     monkeypatch.setattr(session, "ROWS_PER_TASK", 400)
@@ -40,3 +42,24 @@ def test_stored_results_are_made_by_more_tasks(spark, small_dir, monkeypatch, na
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert seen and seen[0][0] == sum(Marts(spark, small_dir).t[n].count() for n in ("orders", "lineitem", "events"))
     assert max(files for _, files in seen) > 1
+
+
+def test_affinity_from_own_rows(spark):
+    """Sums run over all pairs, also those that are too rare to be returned."""
+    baskets = {o: "abc" if o % 2 else "ab" for o in range(12)} | {50: "cd", 51: "a"}
+    rows = [("X", o, p, f"cat-{p}", f"brand-{p}", 1) for o, items in baskets.items() for p in items]
+    lines = spark.createDataFrame(rows, "cluster_name string, order_id long, product_id string, category string, brand string, _cnt long")
+    pairs = affinity_pairs(lines)
+    assert pairs.columns == ["cluster_name", "item_a", "item_b", "times", "baskets"]
+    total = {p: sum(p in items for items in baskets.values()) for p in "abcd"}
+    both = {(a, b): n for a in "abcd" for b in "abcd" if a < b
+            and (n := sum(a in items and b in items for items in baskets.values()))}
+    sum_both, sum_b = sum(both.values()), sum(total[b] for _, b in both)
+    got = product_affinity(pairs, affinity_totals(lines), lines, DEFAULT.with_(min_lift=0.0)).collect()
+    half_up = lambda n, d: (2 * 100 * n + d) // (2 * d) / 100
+    assert {(r.product_a, r.product_b): (r.orders_with_both, r.category_a, r.brand_b, r.support_pct, r.confidence_pct, r.lift, r.lift_standard)
+            for r in got} == {
+        (a, b): (n, f"cat-{a}", f"brand-{b}", half_up(100 * n, sum_both), half_up(100 * n, total[a]),
+                 half_up(n * sum_b, total[a] * total[b]), half_up(n * len(baskets), total[a] * total[b]))
+        for (a, b), n in both.items() if n >= DEFAULT.min_pair_times}
+    assert ("c", "d") in both and len(got) < len(both)
