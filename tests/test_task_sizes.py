@@ -21,7 +21,7 @@ def test_settings_rise_with_the_rows_and_come_back(spark):
         assert spark.conf.get(keys[0]) == before[0]
 
 
-@pytest.mark.parametrize("name", ["join_pair_lt", "join_pair_ne", "family_affinity"])
+@pytest.mark.parametrize("name", ["join_pair_lt", "join_pair_ne", "cart_strings", "agg_string_sorted", "family_affinity"])
 def test_stored_results_are_made_by_more_tasks(spark, small_dir, monkeypatch, name):
     import __spark_entry__ as E
     monkeypatch.setattr(session, "ROWS_PER_TASK", 400)
