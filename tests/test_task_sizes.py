@@ -1,6 +1,9 @@
-"""Tasks in proportion to the input: settings around stored marts and pairs."""
+"""Tasks in proportion to the input: settings around stored marts, pairs and the stream's processor."""
+
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import Row
 
 from aisle import session
 from aisle.operators.basket import affinity_pairs, affinity_totals, product_affinity
@@ -63,3 +66,21 @@ def test_affinity_from_own_rows(spark):
                  half_up(n * sum_b, total[a] * total[b]), half_up(n * len(baskets), total[a] * total[b]))
         for (a, b), n in both.items() if n >= DEFAULT.min_pair_times}
     assert ("c", "d") in both and len(got) < len(both)
+
+
+def test_first_week_reads_plain_rows():
+    """No frame is made per customer: rows go in and rows come out."""
+    state, timers = [], []
+    handle = SimpleNamespace(
+        getValueState=lambda *_: SimpleNamespace(get=lambda: state[-1] if state else None, update=state.append, clear=state.clear),
+        registerTimer=timers.append, deleteTimer=timers.remove)
+    week = first_week._processor()
+    week.init(handle)
+    row = Row("num_cart_adds", "num_products_viewed", "purchased", "day", "at_us", "closes")
+    at = lambda mark: SimpleNamespace(getCurrentWatermarkInMs=lambda: mark)
+    late = list(week.handleInputRows((7,), iter([row(1, 2, False, 0, 5, 100), row(3, None, True, 4, 6, 900), row(2, 1, None, 1, 7, 901)]), at(100)))
+    assert [(r.customer_id, r.late_at, r.sessions_first_7d) for r in late] == [(7, 5, None)]
+    assert list(week.handleInputRows((7,), iter([row(0, 2, True, 2, 8, 950)]), at(200))) == [] and timers == [950]
+    out = [r.asDict() for r in week.handleExpiredTimer((7,), at(960), None)]
+    assert out == [{"customer_id": 7, "sessions_first_7d": 3, "avg_cart_adds": 5 / 3, "avg_products_viewed": 1.0,
+                    "purchases_first_7d": 2, "days_to_first_purchase": 2, "late_at": None}] and state == []
