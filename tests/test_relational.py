@@ -4,13 +4,15 @@ third of the rows."""
 import datetime as dt
 import itertools
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from aisle.operators.relational import explode_count, ordered_concat, pair_counts, row_number_by
+from aisle.operators.relational import (basket_sizes, explode_count, large_baskets, ordered_concat, pair_counts,
+                                       row_number_by)
 
 
 def test_row_number_by_matches_window_on_hot_key(spark):
@@ -107,6 +109,29 @@ def test_pair_counts_of_a_huge_basket(spark):
     assert "Python" not in plan and "Cartesian" not in plan
 
 
+def test_pair_counts_join_on_one_integer(spark, tmp_path):
+    """The self-join sorts by one integer, and lines whose large baskets are stored are shuffled once."""
+    rows = [(g, o, p, 1 + p % 2) for g in ("x", "y", None) for o in range(40) for p in range(30 if o == 7 else o % 5)]
+    spark.createDataFrame(rows, "g string, o long, p long, _cnt long").write.parquet(f"{tmp_path}/lines")
+    lines = spark.read.parquet(f"{tmp_path}/lines")
+    large_baskets(basket_sizes(lines, "g", "o"), 8).write.parquet(f"{tmp_path}/large")
+    large = spark.read.parquet(f"{tmp_path}/large")
+    assert {(r.g, r.o, r._n) for r in large.collect()} == {(g, 7, 30) for g in ("x", "y", None)}
+    for ordered in (False, True):
+        pairs = pair_counts(lines, "g", "o", "p", ordered=ordered, deduped=True, block=8, large=large)
+        got = {(r.g, r.item_a, r.item_b): (r.times, r.baskets) for r in pairs.collect()}
+        want = defaultdict(lambda: (0, 0))
+        for g, o, a, m in rows:
+            for h, q, b, n in rows:
+                if (g, o) == (h, q) and ((a != b) if ordered else (a < b)):
+                    want[(g, a, b)] = (want[(g, a, b)][0] + m * n, want[(g, a, b)][1] + 1)
+        assert got == dict(want)
+        assert got == {(r.g, r.item_a, r.item_b): (r.times, r.baskets)
+                       for r in pair_counts(lines, "g", "o", "p", ordered=ordered, deduped=True, block=8).collect()}
+    plan = pair_counts(lines, "g", "o", "p", deduped=True, large=large)._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(r"Join \[_key#\d+L\], \[_key#\d+L\]", plan), plan
+
+
 def test_ordered_concat_in_two_levels(spark):
     rnd = random.Random(4)
     rows = [(rnd.choice([None, 1, 2]), i, None if i % 7 == 0 else f"e{i}") for i in range(300)]
