@@ -214,6 +214,32 @@ def test_phrases_equal_brute_force():
             assert language.phrases(root, t) == plain_phrases(samples, t), (samples, t)
 
 
+def test_phrases_of_many_texts_equal_brute_force(monkeypatch):
+    rng = random.Random(7)
+    word = lambda alphabet, most: "".join(rng.choice(alphabet) for _ in range(rng.randint(0, most)))
+    for alphabets in (("ab", "bcd"), ("a", "é𐐨日", "ab")):
+        samples = {f"l{i}": [word(a, 40) + a for _ in range(3)] for i, a in enumerate(alphabets)}
+        texts = [word("abcdé𐐨日\ue000", 30) for _ in range(150)] + ["", "abcd" * 200, "𐐩", "a"]
+        want = [[plain_phrases(samples[m], t) for m in sorted(samples)] for t in texts]
+        assert language.Identifier(samples).phrases(texts) == want
+        assert language.Identifier(samples, most_cells=10).phrases(texts) == want       # no tables
+        assert language.Identifier(samples, most_cells=400).phrases(texts) == want
+    model = language.Identifier({"en": ["the cat sat on the mat"], "de": ["die katze sitzt"]})
+    texts = ["a cat", None, "12", "die matte", "the cat"] * 40 + ["the cat sat " * 500]
+    one_by_one = [model.predict(t) for t in texts]
+    by_itself, plain = [], language.phrases
+    monkeypatch.setattr(language, "phrases", lambda root, t: by_itself.append(len(t)) or plain(root, t))
+    assert model.predict_all(texts) == one_by_one
+    assert by_itself == [5999] * 2         # only the one that is far longer than the others
+
+
+def test_slices_hold_whole_texts():
+    found = list(language._slices(pa.array(["a" * language.SLICE_CHARS, None, "b", "c" * language.SLICE_CHARS, "d"])))
+    assert found == [(0, 2), (2, 1), (3, 1), (4, 1)]
+    assert list(language._slices(pa.array([], pa.string()))) == []
+    assert list(language._slices(pa.array([None, "", None]))) == [(0, 3)]
+
+
 def test_letters():
     assert language.letters("The&&& É1 naïve.\n\n 日本 ***") == "the é naïve 日本"
 
