@@ -7,11 +7,12 @@ those into words ``[^\\x20\\x09]+``; all counts are per ``lang`` (null: ``und``)
   language: the items in order of (piece, position), with a gap where the next
   item is not adjacent, beside the block's distinct items and their counts. The
   relation of every length is a table in the shared folder.
-* **Group-count.** Blocks' counts are summed up by phrase, in a window that keeps
-  the blocks' rows; those of phrases found ``MIN_COUNT`` times stay, with an id. Words
+* **Group-count.** Every phrase belongs to one shard, by a hash. A block sends a shard
+  one row: its phrases in order with their counts, as compressed columns. The group of
+  a shard adds them up by phrase; those found ``MIN_COUNT`` times stay, with an id. Words
   are keyed by themselves, longer phrases by the ids of their first and last k - 1
   words, so no hash stands for a phrase.
-* **Semi-join, then extend.** These rows go back to the blocks that hold the phrase;
+* **Semi-join, then extend.** The ids go back to the blocks that hold the phrase;
   other items become gaps. Merging the sorted relation with itself one position
   on (both neighbours frequent) gives the relation of the next length. A phrase
   found often enough has only such parts, so nothing is lost.
@@ -21,10 +22,11 @@ cuts are scored, in decimals: 1000 * a * n and l * r may pass 64 bits, the floor
 quotient (at most 10 * n) may not. A candidate lies inside a longer one of the
 same count only if it is the beginning or end of one that is a word longer.
 
-Scale: a text is read once and never shuffled; a phrase is one row per block that
-holds it, so a passage in a third of all rows is pre-aggregated, and its rows are
+Scale: a text is read once and never shuffled; a phrase is counted once per block that
+holds it, so a passage in a third of all rows is pre-aggregated, and its entries are
 as many as the blocks. Nothing is broadcast by hint. A task holds a few blocks of
-about ``BLOCK_WORDS`` words, or one longer document.
+about ``BLOCK_WORDS`` words, or one longer document, or a shard: there is one for every
+``SHARD_WORDS`` words, and it has at most an entry per occurrence.
 
 Defined results: null and empty texts have no words; words are never normalised
 beyond A-Z; texts of any length are read whole; repeated rows count as often as
@@ -34,10 +36,12 @@ rows. Ties are ordered by count and by the phrase's UTF-8 bytes, so ranks are un
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aisle.llm import kernels as K
@@ -48,19 +52,40 @@ MIN_COUNT = 100
 LONGEST = 5
 TOP = 2000
 BLOCK_WORDS = 1 << 20
-#: bits of a block's number within its task, and of an item's within its block
-BLOCK_BITS, ITEM_BITS = 14, 27
+SHARD_WORDS = 1 << 21
+#: bits of a block's number within its task
+BLOCK_BITS = 14
 
 IS_BREAK = np.zeros(256, bool)
 IS_BREAK[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
 BETWEEN = IS_BREAK.copy()
 BETWEEN[[0x20, 0x09]] = True
 
-#: a block is one row with ``seq`` and the number ``n`` of its words, and one per distinct item
-BLOCK = "block long, lang string, n long, seq array<int>, item int"
-WORDS = f"{BLOCK}, word string, times long"
-GRAMS = f"{BLOCK}, head long, tail long, times long"
-BATCH_ROWS = 1 << 16
+#: a block of words; what it sends to a shard; a block of longer phrases is one row with
+#: ``seq`` (0 for a gap) and one for each shard, with the items from ``first`` on
+WORDS = "block long, lang string, n long, seq binary, word binary, counts binary"
+DEALT = "shard int, block long, lang string, word binary, counts binary"
+GRAMS = "block long, lang string, seq binary, shard int, first int, counts binary"
+#: a block's items that are frequent, with their ids; and a row with count and key of each phrase
+FOUND = "block long, items binary, id long, f long, lang string, word string, head long, tail long"
+
+
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def opened(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit integers, as compressed planes of their bytes."""
+    return squeezed(b"".join(np.asarray(c, "<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns))
+
+
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(opened(data), np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
 
 
 def words(t: K.Texts) -> tuple[pa.Array, np.ndarray]:
@@ -92,33 +117,57 @@ def closed_up(seq: np.ndarray) -> np.ndarray:
     return seq[:-1] if len(seq) and seq[-1] < 0 else seq
 
 
-def extended(seq: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Merge the relation with itself one position on, over items with ``known``:
-    (relation of the next length, its items' first parts, last parts, counts)."""
-    item = np.where((seq >= 0) & known[np.maximum(seq, 0)], seq, -1).astype(np.int64)
-    head, tail = item[:-1], item[1:]
+def shard_of_pairs(head: np.ndarray, tail: np.ndarray, shards: int) -> np.ndarray:
+    mixed = head.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tail.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((mixed >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
+def hash_of_words(found: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, found), np.int64, len(found))
+
+
+def extended(seq: np.ndarray, item: np.ndarray, id_: np.ndarray, shards: int) -> tuple[np.ndarray, ...]:
+    """Merge the relation with itself one position on, over the items with an id:
+    (relation of the next length; its items' shards, first parts, last parts, counts,
+    in order of these three)."""
+    order = np.argsort(id_)
+    known, place = id_[order], np.full(int(seq.max()) + 1, -1, np.int64)
+    place[item[order]] = np.arange(len(order))
+    at = np.where(seq >= 0, place[np.maximum(seq, 0)], -1)
+    head, tail = at[:-1], at[1:]
     pair = (head >= 0) & (tail >= 0)
     keys, inverse, times = np.unique(head[pair] * len(known) + tail[pair], return_inverse=True, return_counts=True)
     out = np.full(len(head), -1, np.int32)
-    out[pair] = inverse
-    return closed_up(out), keys // len(known), keys % len(known), times
+    head, tail = known[keys // len(known)], known[keys % len(known)]
+    shard = shard_of_pairs(head, tail, shards)
+    order = np.argsort(shard, kind="stable")
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order))
+    out[pair] = number[inverse]
+    return closed_up(out), shard[order], head[order], tail[order], times[order]
 
 
-def block_rows(number: int, lang: str, n: int, seq: np.ndarray, items: dict[str, pa.Array]) -> pa.Table:
-    """The rows of a block: its relation, then its items."""
-    m = len(items["times"])
-    first = lambda value, kind: pa.concat_arrays([pa.array([value], kind), pa.nulls(m, kind)])
-    later = lambda values: pa.concat_arrays([pa.nulls(1, values.type), values])
-    return pa.table({"block": pa.array(np.full(m + 1, number, np.int64)), "lang": pa.repeat(pa.scalar(lang, pa.string()), m + 1),
-                     "n": first(n, pa.int64()), "seq": first(seq, pa.list_(pa.int32())),
-                     "item": later(pa.array(np.arange(m, dtype=np.int32))), **{c: later(v) for c, v in items.items()}})
+def slices_of(shard: np.ndarray):
+    """(shard, first, end) of each run of a sorted array."""
+    first = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+    return zip(shard[first].tolist(), first, [*first[1:], len(shard)])
 
 
-def _block(number: int, lang: str, parts: list) -> pa.Table:
+def _block(number: int, lang: str, parts: list) -> pa.RecordBatch:
+    """The row of a block; its most frequent items have the least numbers."""
     found = pa.chunked_array([p[0] for p in parts]).combine_chunks().dictionary_encode()
-    item = found.indices.to_numpy()
+    distinct = found.dictionary.cast(pa.large_binary()).to_pylist()
+    times = np.bincount(found.indices.to_numpy())
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    item = rank[found.indices.to_numpy()]
     seq = with_gaps(item, np.concatenate([p[1] for p in parts]))
-    return block_rows(number, lang, len(item), seq, {"word": found.dictionary.cast(pa.string()), "times": pa.array(np.bincount(item))})
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array([number], pa.int64()), "lang": pa.array([lang]), "n": pa.array([len(item)], pa.int64()),
+        "seq": pa.array([packed(seq + 1)], pa.binary()), "word": pa.array([squeezed(b" ".join([distinct[i] for i in order]))], pa.binary()),
+        "counts": pa.array([packed(times[order])], pa.binary())})
 
 
 def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -134,7 +183,7 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
                 if size.pop(lang):
                     if made >> BLOCK_BITS:
                         raise ValueError("too many blocks in a task: read the texts in more partitions")
-                    yield from _block(first + made, lang, parts).to_batches(BATCH_ROWS)
+                    yield _block(first + made, lang, parts)
                     made += 1
 
         for b in batches:
@@ -154,20 +203,41 @@ def word_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     return docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang")).mapInArrow(run, WORDS)
 
 
-def next_blocks(blocks: DataFrame, back: DataFrame) -> DataFrame:
+def dealt(blocks: DataFrame, shards: int) -> DataFrame:
+    """The items of blocks of words, dealt over the shards."""
+    def run(batches):
+        for b in batches:
+            for block, lang, word, counts in zip(*(c.to_pylist() for c in b.columns)):
+                found, (times,) = opened(word).split(b" "), unpacked(counts, 1)
+                shard = hash_of_words(found) * shards >> 32
+                item = np.argsort(shard, kind="stable")
+                rows = [(p, block, lang, squeezed(b" ".join([found[i] for i in item[lo:hi]])),
+                         packed(np.diff(item[lo:hi], prepend=0), times[item[lo:hi]])) for p, lo, hi in slices_of(shard[item])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.string(), pa.binary(), pa.binary()))],
+                    names=["shard", "block", "lang", "word", "counts"])
+
+    return blocks.select("block", "lang", "word", "counts").mapInArrow(run, DEALT)
+
+
+def next_blocks(blocks: DataFrame, back: DataFrame, shards: int) -> DataFrame:
     """Semi-join of the occurrences with the frequent items (``back``: within (a
-    block), item, id), and their extension by one position."""
+    block), items), and their extension by one position."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        longs = lambda x: pa.array(x, pa.int64())
-        if not (left.num_rows and right.num_rows):
-            return block_rows(0, "", 0, [], {c: longs([]) for c in ("head", "tail", "times")}).slice(0, 0)
-        seq = left["seq"].combine_chunks().flatten().to_numpy()
-        ids = np.full(int(seq.max()) + 1, -1, np.int64)
-        ids[right["item"].to_numpy()] = right["id"].to_numpy()
-        seq, head, tail, times = extended(seq, ids >= 0)
-        out = block_rows(left["block"][0].as_py(), left["lang"][0].as_py(), 0, seq,
-                         {"head": longs(ids[head]), "tail": longs(ids[tail]), "times": longs(times)})
-        return out if len(head) else out.slice(0, 0)
+        rows = []
+        if left.num_rows and right.num_rows:
+            block, lang = left["block"][0].as_py(), left["lang"][0].as_py()
+            (seq,) = unpacked(left["seq"][0].as_py(), 1)
+            back = [unpacked(x, 2) for x in right["items"].to_pylist()]
+            item, id_ = np.concatenate([np.cumsum(x[0]) for x in back]), np.concatenate([x[1] for x in back])
+            seq, shard, head, tail, times = extended(seq - 1, item, id_, shards)
+            if len(shard):
+                rows.append((block, lang, packed(seq + 1), None, None, None))
+            rows += [(block, lang, None, p, lo, packed(np.diff(head[lo:hi], prepend=0), tail[lo:hi], times[lo:hi]))
+                     for p, lo, hi in slices_of(shard)]
+        kinds = (pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, kinds)],
+                                    names=["block", "lang", "seq", "shard", "first", "counts"])
 
     return blocks.groupBy("block").cogroup(back.groupBy("within")).applyInArrow(run, GRAMS)
 
@@ -177,23 +247,58 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(f"{folder}/{name}")
 
 
-def frequent(blocks: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Group-count and semi-join in one exchange: the (block, item) rows of the keys
-    found at least ``least`` times, with their count ``f`` and the key's ``id``, the
-    least of its places (block and item in one number)."""
-    rows = blocks.filter("item IS NOT NULL").select("block", "item", *keys, "times")
-    same = Window.partitionBy(*keys)
-    return (rows.withColumns({"f": F.sum("times").over(same), "id": F.min(place()).over(same)})
-            .filter(F.col("f") >= least).drop("times"))
-
-
-def place() -> Column:
-    return F.shiftleft(F.col("block"), ITEM_BITS).bitwiseOR(F.col("item").cast("long"))
+def frequent(items: DataFrame, least: int, shards: int) -> DataFrame:
+    """Group-count: ``id``, count ``f`` and key of the phrases found at least ``least``
+    times; and for every block its items that are such phrases, with their ids."""
+    words_ = "word" in items.columns
+
+    def run(t: pa.Table) -> pa.Table:
+        counts = [unpacked(c, 2 if words_ else 3) for c in t["counts"].to_pylist()]
+        size = [c.shape[1] for c in counts]
+        times = np.concatenate([c[-1] for c in counts])
+        if words_:
+            item = np.concatenate([np.cumsum(c[0]) for c in counts])
+            # as ids: the language, the word
+            langs = t["lang"].combine_chunks().dictionary_encode()
+            found = pa.array([w for x in t["word"].to_pylist() for w in opened(x).split(b" ")], pa.large_binary()).dictionary_encode()
+            head, tail = np.repeat(langs.indices.to_numpy(), size), found.indices.to_numpy()
+        else:
+            item = np.concatenate([np.arange(a, a + n) for a, n in zip(t["first"].to_pylist(), size)])
+            head, tail = np.concatenate([np.cumsum(c[0]) for c in counts]), np.concatenate([c[1] for c in counts])
+        order = np.lexsort((tail, head))
+        head, tail = head[order], tail[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+        first = np.flatnonzero(new)
+        f = np.add.reduceat(times[order], first)
+        # small ids for the most frequent
+        id_, often = np.full(len(f), -1, np.int64), np.flatnonzero(f >= least)
+        often = often[np.argsort(-f[often], kind="stable")]
+        id_[often] = np.arange(len(often)) * shards + t["shard"][0].as_py()
+        of = np.empty(len(order), np.int64)
+        of[order] = id_[np.cumsum(new) - 1]
+        held = np.flatnonzero(of >= 0)
+        rows = [(t["block"][i].as_py(), packed(np.diff(item[held[lo:hi]], prepend=0), of[held[lo:hi]]))
+                for i, lo, hi in slices_of(np.repeat(np.arange(len(size)), size)[held])]
+        first, m = first[often], len(often)
+        if words_:
+            texts = found.dictionary.take(pa.array(tail[first])).cast(pa.binary()).view(pa.string())
+            keys = [langs.dictionary.take(pa.array(head[first])), texts, pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())]
+        else:
+            keys = [pa.nulls(m, pa.string()), pa.nulls(m, pa.string()), pa.array(head[first]), pa.array(tail[first])]
+        block, places = zip(*rows) if rows else ((), ())
+        longs = [pa.array(x, pa.int64()) for x in (id_[often], f[often])]
+        return pa.concat_tables([
+            pa.table({"block": pa.array(block, pa.int64()), "items": pa.array(places, pa.binary())}),
+            pa.Table.from_arrays([*longs, *keys], names=["id", "f", "lang", "word", "head", "tail"])],
+            promote_options="default").select(["block", "items", "id", "f", "lang", "word", "head", "tail"]).combine_chunks()
+
+    return items.groupBy("shard").applyInArrow(run, FOUND)
 
 
 def once(rows: DataFrame) -> DataFrame:
-    """The one row of each key that gave it its id."""
-    return rows.filter(F.col("id") == place())
+    """The rows of the phrases, one each."""
+    return rows.filter("f IS NOT NULL")
 
 
 def longer_phrases(shorter: DataFrame, found: DataFrame) -> DataFrame:
@@ -232,18 +337,20 @@ def lowest_cut(k: int, n: Column) -> Column:
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LONGEST, top: int = TOP,
-                 block_words: int = BLOCK_WORDS) -> DataFrame:
+                 block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Each language's first ``top`` phrases of 2 to ``longest`` words: (lang, rank,
     phrase, a, l, r, n, score)."""
     folder = new_folder(docs.sparkSession, "collocations")
     blocks = written(word_blocks(docs, block_words), folder, "words")
-    sizes = blocks.filter("seq IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    found = written(frequent(blocks, ["lang", "word"], min_count), folder, "frequent1")
+    sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    shards = -(-(blocks.agg(F.sum("n")).first()[0] or 1) // shard_words)
+    found = written(frequent(dealt(blocks, shards), min_count, shards), folder, "frequent1")
     levels = [once(found).select("id", "lang", "f", F.array("word").alias("words"), F.array("f").alias("begins"), F.array("f").alias("ends"))]
     for k in range(2, longest + 1):
-        back = found.select(F.col("block").alias("within"), "item", "id")
-        blocks = written(next_blocks(blocks.filter("seq IS NOT NULL").select("block", "lang", "seq"), back), folder, f"grams{k}")
-        found = written(frequent(blocks, ["head", "tail"], min_count), folder, f"frequent{k}")
+        back = found.filter("items IS NOT NULL").select(F.col("block").alias("within"), "items")
+        blocks = written(next_blocks(blocks.filter("seq IS NOT NULL").select("block", "lang", "seq"), back, shards), folder, f"grams{k}")
+        items = blocks.filter("shard IS NOT NULL").select("shard", "block", "first", "counts")
+        found = written(frequent(items, min_count, shards), folder, f"frequent{k}")
         levels.append(kept(longer_phrases(levels[-1], once(found).select("head", "tail", "f", "id"))))
     rows = None
     for i, phrases in enumerate(levels[1:], 1):

@@ -74,6 +74,47 @@ def test_copies_overlaps_and_ties(spark):
     assert run(docs, min_count=15) == brute(rows, 15, 5, 2000)
 
 
+@pytest.mark.parametrize("shard_words", [1, 40])
+def test_any_number_of_shards(spark, edge_docs, shard_words):
+    rows = [(r.text, r.lang) for r in edge_docs.collect()]
+    got = run(edge_docs.select("text", "lang"), min_count=2, block_words=60, shard_words=shard_words)
+    assert got == brute(rows, 2, 5, 2000) and got
+
+
+def test_packed_columns():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 1000):
+        columns = rng.integers(-2**63, 2**63 - 1, (3, n)), rng.integers(0, 9, (1, n))
+        for c in columns:
+            assert (C.unpacked(C.packed(*c), len(c)) == c).all()
+    assert C.opened(C.squeezed(b"")) == b"" and C.opened(C.squeezed("é a".encode())).decode() == "é a"
+
+
+def test_a_block_sends_a_shard_one_small_row(spark):
+    # a row per phrase and block took 18 compressed bytes in the shuffle, and 14 in the table
+    rng, shards = np.random.default_rng(6), 4
+    texts = [" ".join(f"w{x}" for x in (rng.zipf(1.3, 2000) % 5000)) for _ in range(30)]
+    docs = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3)
+    blocks = C.word_blocks(docs, 20000).cache()
+    found = C.frequent(C.dealt(blocks, shards), 5, shards).cache()
+    back = found.filter("items IS NOT NULL").selectExpr("block AS within", "items")
+    longer = C.next_blocks(blocks.select("block", "lang", "seq"), back, shards).cache()
+    sent = longer.filter("shard IS NOT NULL").collect()
+    assert blocks.count() == 3 and len(sent) == 3 * shards == len({(r.block, r.shard) for r in sent})
+    ids = {r.word: r.id for r in C.once(found).collect()}
+    word = {i: w for w, i in ids.items()}
+    pairs, entries = Counter(), 0
+    for r in sent:
+        head, tail, times = C.unpacked(r.counts, 3)
+        entries += len(times)
+        for h, t, n in zip(np.cumsum(head).tolist(), tail.tolist(), times.tolist()):
+            pairs[word[h], word[t]] += n
+    assert pairs == Counter((a, b) for t in texts for w in [t.split()] for a, b in zip(w, w[1:]) if a in ids and b in ids)
+    assert sum(len(r.counts) for r in sent) < 5 * entries
+    for df in (blocks, found, longer):
+        df.unpersist()
+
+
 def test_very_long_text(spark):
     text = " ".join(f"w{i * i % 97}" for i in range(30000))
     assert run(spark.createDataFrame([(text, "en")], "text string, lang string"), min_count=100) == brute([(text, "en")], 100, 5, 2000)
