@@ -6,7 +6,7 @@ those into words ``[^\\x20\\x09]+``; all counts are per ``lang`` (null: ``und``)
 * **Sorted occurrence relation.** A task writes its words as blocks of one
   language: the items in order of (piece, position), with a gap where the next
   item is not adjacent, beside the block's distinct items and their counts. The
-  relation of every length is a table in the shared folder.
+  relation of a length stays on the executors' disks until the next one is made.
 * **Group-count.** Every phrase belongs to one shard, by a hash. A block sends a shard
   one row: its phrases in order with their counts, as compressed columns. The group of
   a shard adds them up by phrase; those found ``MIN_COUNT`` times stay, with an id. Words
@@ -26,7 +26,10 @@ Scale: a text is read once and never shuffled; a phrase is counted once per bloc
 holds it, so a passage in a third of all rows is pre-aggregated, and its entries are
 as many as the blocks. Nothing is broadcast by hint. A task holds a few blocks of
 about ``BLOCK_WORDS`` words, or one longer document, or a shard: there is one for every
-``SHARD_WORDS`` words, and it has at most an entry per occurrence.
+``SHARD_WORDS`` words, and it has at most an entry per occurrence. The ids
+go to the shared folder, in a file for ``FILE_SHARDS`` shards: where Spark reaches it as
+a local folder, every file of a task starts processes, and each shows the memory of the
+executor a second time until it runs. Lost blocks are made again from the text and them.
 
 Defined results: null and empty texts have no words; words are never normalised
 beyond A-Z; texts of any length are read whole; repeated rows count as often as
@@ -40,12 +43,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aisle.llm import kernels as K
-from aisle.llm.store import kept, new_folder
+from aisle.llm.store import kept
 from aisle.operators.relational import top_k_per_group
 
 MIN_COUNT = 100
@@ -53,6 +56,7 @@ LONGEST = 5
 TOP = 2000
 BLOCK_WORDS = 1 << 20
 SHARD_WORDS = 1 << 21
+FILE_SHARDS = 8
 #: bits of a block's number within its task
 BLOCK_BITS = 14
 
@@ -242,9 +246,12 @@ def next_blocks(blocks: DataFrame, back: DataFrame, shards: int) -> DataFrame:
     return blocks.groupBy("block").cogroup(back.groupBy("within")).applyInArrow(run, GRAMS)
 
 
-def written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    df.write.parquet(f"{folder}/{name}")
-    return df.sparkSession.read.parquet(f"{folder}/{name}")
+def in_files(df: DataFrame, files: int) -> DataFrame:
+    """``df``, made in as many tasks as it has, then kept in ``files`` files."""
+    df = df.persist(StorageLevel.DISK_ONLY)
+    out = kept(df.coalesce(files))
+    df.unpersist()
+    return out
 
 
 def frequent(items: DataFrame, least: int, shards: int) -> DataFrame:
@@ -340,18 +347,21 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
                  block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Each language's first ``top`` phrases of 2 to ``longest`` words: (lang, rank,
     phrase, a, l, r, n, score)."""
-    folder = new_folder(docs.sparkSession, "collocations")
-    blocks = written(word_blocks(docs, block_words), folder, "words")
-    sizes = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
+    blocks = word_blocks(docs, block_words).persist(StorageLevel.DISK_ONLY)
     shards = -(-(blocks.agg(F.sum("n")).first()[0] or 1) // shard_words)
-    found = written(frequent(dealt(blocks, shards), min_count, shards), folder, "frequent1")
+    files = -(-shards // FILE_SHARDS)
+    sizes = kept(blocks.groupBy("lang").agg(F.sum("n").alias("n")).coalesce(files))
+    found = in_files(frequent(dealt(blocks, shards), min_count, shards), files)
     levels = [once(found).select("id", "lang", "f", F.array("word").alias("words"), F.array("f").alias("begins"), F.array("f").alias("ends"))]
-    for k in range(2, longest + 1):
+    for _ in range(2, longest + 1):
         back = found.filter("items IS NOT NULL").select(F.col("block").alias("within"), "items")
-        blocks = written(next_blocks(blocks.filter("seq IS NOT NULL").select("block", "lang", "seq"), back, shards), folder, f"grams{k}")
+        shorter, blocks = blocks, next_blocks(blocks.filter("seq IS NOT NULL").select("block", "lang", "seq"), back, shards)
+        blocks = blocks.persist(StorageLevel.DISK_ONLY)
         items = blocks.filter("shard IS NOT NULL").select("shard", "block", "first", "counts")
-        found = written(frequent(items, min_count, shards), folder, f"frequent{k}")
-        levels.append(kept(longer_phrases(levels[-1], once(found).select("head", "tail", "f", "id"))))
+        found = in_files(frequent(items, min_count, shards), files)
+        levels.append(kept(longer_phrases(levels[-1], once(found).select("head", "tail", "f", "id")).coalesce(files)))
+        shorter.unpersist()
+    blocks.unpersist()
     rows = None
     for i, phrases in enumerate(levels[1:], 1):
         rest = uncovered(phrases, levels[i + 1] if i + 1 < len(levels) else None)

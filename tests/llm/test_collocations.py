@@ -1,7 +1,9 @@
 """Phrase collocation mining (11) against brute force."""
 
+import os
 import re
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +11,7 @@ import pytest
 
 from aisle.llm import collocations as C
 from aisle.llm import kernels as K
+from aisle.session import ensure_checkpoint_dir
 from tests.llm.conftest import DOCS, edge_texts, rows_of
 
 
@@ -115,6 +118,29 @@ def test_a_block_sends_a_shard_one_small_row(spark):
         df.unpersist()
 
 
+def test_few_files_in_the_shared_folder(spark):
+    # a file for each task of each step, with processes to set its rights, showed an executor's memory twice
+    def files():
+        top = urlparse(ensure_checkpoint_dir(spark)).path
+        return {os.path.join(at, f) for at, _, found in os.walk(top) for f in found if f.startswith("part-")}
+
+    rows = [(f"a b c d e f {i % 7} g", "en" if i % 3 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(6)
+    before, stored = files(), spark.sparkContext._jsc.getPersistentRDDs().size()
+    found = C.collocations(docs, min_count=20, block_words=100)
+    # one shard: the sizes, the frequent items of 5 lengths and the phrases of 4, a file each
+    assert 0 < len(files() - before) <= 10
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == stored
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 20, 5, 2000)
+
+
+@pytest.mark.parametrize("file_shards", [1, 3])
+def test_shards_share_files(spark, edge_docs, monkeypatch, file_shards):
+    monkeypatch.setattr(C, "FILE_SHARDS", file_shards)
+    rows = [(r.text, r.lang) for r in edge_docs.collect()]
+    assert run(edge_docs.select("text", "lang"), min_count=2, block_words=60, shard_words=40) == brute(rows, 2, 5, 2000)
+
+
 def test_very_long_text(spark):
     text = " ".join(f"w{i * i % 97}" for i in range(30000))
     assert run(spark.createDataFrame([(text, "en")], "text string, lang string"), min_count=100) == brute([(text, "en")], 100, 5, 2000)
