@@ -7,15 +7,15 @@ plus a per-group top-k, Python summaries are a second aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aisle.functions.exact import cents_of, money_to_units, round_to
 from aisle.operators import personas
 from aisle.operators.basket import STRONG, ranked_catalogue
-from aisle.operators.relational import top_k_per_group
+from aisle.operators.relational import row_number_by, top_k_per_group
 from aisle.params import DEFAULT, Params
 
 AT_RISK = ["High Value At Risk", "At Risk"]
@@ -285,37 +285,74 @@ def sample_per_key(rows: DataFrame, key: str, item: str, k: int, seed: str = "")
         "slot", F.col("slot") - 1).drop("_order")
 
 
+def _placed_catalogue(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(products of the order categories with their ``_place``, category sizes with
+    ``_before``: <= 6 rows). The categories stand one after the other: a product's place
+    is the number of products before its category plus its rank in it."""
+    ranked, sizes = ranked_catalogue(products)
+    before = Window.orderBy("category").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("category_size").over(before), F.lit(0)))
+    placed = ranked.join(F.broadcast(sizes), "category", "inner")
+    return placed.select((F.col("_before") + F.col("category_rank")).alias("_place"), "product_id", "product_name", "brand",
+                         "base_price"), sizes
+
+
 def _sample_products(recs: DataFrame, products: DataFrame, key: str, k: int) -> DataFrame:
     """k distinct products of each recommended category, drawn for the integer
-    request key (``draw_ranks``) and looked up by their catalogue rank: no request
-    is joined with a whole category."""
-    ranked, sizes = ranked_catalogue(products)
+    request key (``draw_ranks``) and looked up by their place in the catalogue, one
+    integer: no request is joined with a whole category. ``recs`` is shuffled with a row
+    per product, so many requests should come narrow."""
+    placed, sizes = _placed_catalogue(products)
     r = recs.join(F.broadcast(sizes.withColumnRenamed("category", "recommended_category")),
                   "recommended_category", "inner")
     r = draw_ranks(r, [key, "recommended_category"], "category_size", k)
-    cat = ranked.select(F.col("category").alias("_cat"), F.col("category_rank").alias("_r"), "product_id",
-                        "product_name", "brand", "base_price")
-    j = r.join(cat, (r.recommended_category == cat._cat) & (r["rank"] == cat._r), "inner")
-    return j.drop("_cat", "_r", "rank", "category_size").withColumnRenamed("slot", "product_slot")
-
-
-def cart_recommendations(carts: DataFrame, rollup: DataFrame, products: DataFrame,
-                         p: Params = DEFAULT) -> DataFrame:
-    """Per cart the best companion categories, with products. ``pairs_with`` lists the
-    cart's categories behind a recommendation with their numbers of strong pairs, run
-    by run, so a cart's state does not grow with the pairs."""
-    a = rollup.filter("strong_pairs > 0").select(F.col("cluster_name").alias("persona"), "category_a", "category_b",
+    r = r.withColumn("_of", F.col("_before") + F.col("rank")).drop("rank", "category_size", "_before")
+    j = r.join(placed, r["_of"] == placed["_place"], "inner")
+    return j.drop("_of", "_place").withColumnRenamed("slot", "product_slot")
+
+
+def cart_kinds(carts: DataFrame) -> DataFrame:
+    """One row per cart with its ``kind``, the sorted list of its (persona, category):
+    all that the categories recommended to it depend on."""
+    known = carts.filter(F.col("persona").isNotNull() & F.col("category").isNotNull())
+    return known.groupBy("cart_id").agg(F.array_sort(F.collect_list(F.struct("persona", "category"))).alias("kind"))
+
+
+def kind_recommendations(kinds: DataFrame, rollup: DataFrame, p: Params = DEFAULT) -> DataFrame:
+    """The best companion categories of each kind of ``cart_kinds``, numbered by
+    ``rec_id``. Carts of one persona have at most 2^6 - 1 kinds a cluster, however many
+    there are. ``pairs_with`` lists the kind's categories behind a recommendation with
+    their numbers of strong pairs, run by run."""
+    a = rollup.filter("strong_pairs > 0").select(F.col("cluster_name").alias("persona"), F.col("category_a").alias("category"),
+                                                 F.col("category_b").alias("recommended_category"),
                                                  "strong_pairs", "confidence_hundredths", "lift_hundredths")
-    j = carts.join(a, (carts.persona == a.persona) & (carts.category == a.category_a), "inner").drop(a.persona)
+    lines = kinds.select("kind").distinct().select("kind", F.inline("kind"))
     pairs = (F.sum("strong_pairs") * 100).cast("double")
-    run = F.concat("category_a", F.lit(" x"), F.col("strong_pairs").cast("string"))
-    g = j.groupBy("cart_id", "persona", F.col("category_b").alias("recommended_category")).agg(
+    run = F.concat("category", F.lit(" x"), F.col("strong_pairs").cast("string"))
+    g = lines.join(a, ["persona", "category"], "inner").groupBy("kind", "persona", "recommended_category").agg(
         (F.sum("confidence_hundredths").cast("double") / pairs).alias("avg_confidence"),
         (F.sum("lift_hundredths").cast("double") / pairs).alias("avg_lift"),
         F.array_join(F.array_sort(F.collect_list(run)), ", ").alias("pairs_with"))
-    top = top_k_per_group(g, "cart_id", [F.col("avg_confidence").desc(), F.col("recommended_category")],
+    top = top_k_per_group(g, "kind", [F.col("avg_confidence").desc(), F.col("recommended_category"), F.col("persona")],
                           p.cart_limit, rank_col="rec_rank")
-    return _sample_products(top, products, "cart_id", p.products_per_category)
+    hashed = top.withColumn("_hash", F.xxhash64("kind"))
+    return row_number_by(hashed, [], ["_hash", "kind", "rec_rank"], out="rec_id",
+                         bucket=F.shiftright("_hash", 52)).drop("_hash")
+
+
+def cart_recommendations(carts: DataFrame, rollup: DataFrame, products: DataFrame, p: Params = DEFAULT,
+                         keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Per cart the best companion categories, with products. They are worked out per
+    kind of cart. A request for a product is the cart and the number of the
+    recommendation, whose columns are added to the product found, so no wide row is
+    shuffled. ``keep`` stores a relation that is read twice."""
+    kinds = keep(cart_kinds(carts))
+    top = keep(kind_recommendations(kinds, rollup, p))
+    asked = kinds.join(top.select("kind", "rec_id", "recommended_category"), "kind", "inner").drop("kind")
+    found = _sample_products(asked, products, "cart_id", p.products_per_category).drop("recommended_category")
+    return found.join(top.drop("kind"), "rec_id", "inner").select(
+        "recommended_category", "cart_id", "persona", "avg_confidence", "avg_lift", "pairs_with", "rec_rank",
+        "product_slot", "product_id", "product_name", "brand", "base_price")
 
 
 def default_recommendations(rollup: DataFrame, products: DataFrame, p: Params = DEFAULT) -> DataFrame:
