@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aisle.functions.exact import cents_of, money_to_units, round_to
 from aisle.operators import personas
-from aisle.operators.basket import STRONG, ranked_catalogue
+from aisle.operators.basket import STRONG, placed_catalogue
 from aisle.operators.relational import row_number_by, top_k_per_group
 from aisle.params import DEFAULT, Params
 
@@ -285,24 +285,13 @@ def sample_per_key(rows: DataFrame, key: str, item: str, k: int, seed: str = "")
         "slot", F.col("slot") - 1).drop("_order")
 
 
-def _placed_catalogue(products: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(products of the order categories with their ``_place``, category sizes with
-    ``_before``: <= 6 rows). The categories stand one after the other: a product's place
-    is the number of products before its category plus its rank in it."""
-    ranked, sizes = ranked_catalogue(products)
-    before = Window.orderBy("category").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("category_size").over(before), F.lit(0)))
-    placed = ranked.join(F.broadcast(sizes), "category", "inner")
-    return placed.select((F.col("_before") + F.col("category_rank")).alias("_place"), "product_id", "product_name", "brand",
-                         "base_price"), sizes
-
-
 def _sample_products(recs: DataFrame, products: DataFrame, key: str, k: int) -> DataFrame:
     """k distinct products of each recommended category, drawn for the integer
     request key (``draw_ranks``) and looked up by their place in the catalogue, one
     integer: no request is joined with a whole category. ``recs`` is shuffled with a row
     per product, so many requests should come narrow."""
-    placed, sizes = _placed_catalogue(products)
+    placed, sizes = placed_catalogue(products)
+    placed = placed.select("_place", "product_id", "product_name", "brand", "base_price")
     r = recs.join(F.broadcast(sizes.withColumnRenamed("category", "recommended_category")),
                   "recommended_category", "inner")
     r = draw_ranks(r, [key, "recommended_category"], "category_size", k)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from aisle.operators.serving import cart_kinds, cart_recommendations
 from aisle.params import DEFAULT
+from aisle.plans import marts
 from aisle.plans.marts import Marts
 
 ROLLUP = [("A", "tops", "shoes", 2, 9000, 400), ("A", "tops", "dresses", 3, 3000, 900), ("A", "tops", "bottoms", 1, 1000, 150),
@@ -107,3 +108,19 @@ def test_shuffle_files_go_when_a_mart_is_stored(spark, small_dir):
     assert not left
     assert got.count() == 999 and got.agg(F.sum("count")).first()[0] == 20_000
     m.release()
+
+
+def test_pairs_of_many_facts_are_counted_cluster_by_cluster(spark, small_dir, monkeypatch):
+    """One action at a time and the same rows, each once."""
+    from aisle.operators import basket
+    asked, count = [], basket.affinity_pairs
+    monkeypatch.setattr(basket, "affinity_pairs", lambda lines, large: asked.append(lines) or count(lines, large))
+    whole = sorted(Marts(spark, small_dir).affinity_pairs.collect())
+    assert len(asked) == 1
+    monkeypatch.setattr(marts, "SLICED_ROWS", 1)
+    m = Marts(spark, small_dir)
+    assert sorted(m.affinity_pairs.collect()) == whole
+    parts = [{r[0] for r in lines.select("cluster_name").distinct().collect()} for lines in asked[1:]]
+    assert len(parts) > 1 and all(len(p) == 1 for p in parts)
+    assert set().union(*parts) == {r[0] for r in m.affinity_lines.select("cluster_name").distinct().collect()}
+    m.release()
